@@ -408,7 +408,7 @@ named("join_exposure_inner", lambda t: risk.currency_exposure(t.silver, t.custom
 named("join_self_avg", lambda t: risk.large_tx_flags(t.silver).select(
     "transaction_id", "customer_id", "amount", "customer_avg_amount"))
 named("join_two_dims_naive",
-      lambda t: lookups.spend_by_segment_naive(t.silver, t.customers, t.accounts))
+      lambda t: lookups.spend_naive(t.silver, t.customers, t.accounts))
 named("join_two_dims_broadcast",
       lambda t: lookups.spend_by_account_type(t.silver, t.customers, t.accounts))
 

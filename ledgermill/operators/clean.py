@@ -20,11 +20,14 @@ def parse_payload(bronze: DataFrame, keep_raw: bool = False) -> DataFrame:
     """JSON text to the typed payload columns, transport columns kept.
 
     A field of the wrong type becomes NULL, text that is no JSON gives NULL throughout;
-    ``keep_raw`` carries the text along so that quarantine can show it.
+    ``keep_raw`` carries the text along so that quarantine can show it. The parsed row comes out
+    of a one-row ``inline`` and not a projection: filters on its fields then stay above it, while
+    Spark would copy a projected ``from_json`` into each condition and parse the text again.
     """
     carried = TRANSPORT_COLUMNS + (["raw_payload"] if keep_raw else [])
-    parsed = F.from_json("raw_payload", schemas.PAYLOAD).alias("message")
-    return bronze.select(parsed, *carried).select("message.*", *carried)
+    parsed = F.inline(F.array(F.from_json("raw_payload", schemas.PAYLOAD)))
+    rows = bronze.select(*carried, parsed)
+    return rows.select(*[c for c in rows.columns if c not in carried], *carried)
 
 
 def lacks_critical() -> Column:

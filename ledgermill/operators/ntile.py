@@ -85,8 +85,9 @@ def tile_starts(
         .groupBy("ranking", "interval").agg(F.collect_set(position).alias("positions"))
     )
     within = Window.partitionBy("ranking", "interval").orderBy("key")
+    # One row per ranking and later tile at most, hence the broadcast.
     return (
-        placed.join(wanted, ["ranking", "interval"])
+        placed.join(F.broadcast(wanted), ["ranking", "interval"])
         .withColumn("position", F.row_number().over(within).cast("bigint"))
         .filter(F.array_contains("positions", F.col("position")))
         .select("ranking", "key")

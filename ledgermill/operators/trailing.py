@@ -7,21 +7,21 @@ hold, run the window over those, and join the result back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgermill.functions.measures import mean_from, rows, total
 from ledgermill.functions.times import epoch_second
 
 
 def trailing_count_per_second(
-    events: DataFrame, key: str, second: str, count: Column, seconds: int
+    events: DataFrame, key: str, second: str, seconds: int
 ) -> DataFrame:
     """Per key and second: rows in the ``seconds`` that end there, both ends and peers included.
 
     Time is cut into slots of ``seconds``; every row also goes to the next slot, so that a slot
     holds all it needs and a hot key spreads over its slots.
     """
-    per_second = events.groupBy(key, second).agg(count.alias("_rows"))
+    per_second = events.groupBy(key, second).agg(rows().alias("_rows"))
     slot = F.floor(F.col(second) / seconds)
     copies = F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy")
     slotted = per_second.select(key, second, "_rows", copies).withColumn(
@@ -43,7 +43,7 @@ def with_trailing_count(
 ) -> DataFrame:
     """Every row with the number of its key's rows in the trailing ``seconds``."""
     timed = df.withColumn("_second", epoch_second(F.col(time)))
-    counts = trailing_count_per_second(timed, key, "_second", rows(), seconds)
+    counts = trailing_count_per_second(timed, key, "_second", seconds)
     return (
         timed.join(counts.withColumnRenamed("trailing_count", name), [key, "_second"])
         .drop("_second")

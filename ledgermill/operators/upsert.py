@@ -141,7 +141,8 @@ def upsert_table(
             insert_values,
         )
         # Dynamic overwrite writes beside the table and swaps partitions when all tasks are done.
-        replace_partition(merged.drop("_action"), path, partition_by)
+        merged = merged.drop("_action").hint("rebalance", partition_by)
+        replace_partition(merged, path, partition_by)
         spark.catalog.refreshByPath(path)
     remove(spark, decided_path)
     return counts

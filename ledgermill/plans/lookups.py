@@ -15,8 +15,13 @@ def orphans(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     return transactions.join(customers.select("customer_id"), "customer_id", "left_anti")
 
 
-def spend_by_segment_naive(
-    transactions: DataFrame, customers: DataFrame, accounts: DataFrame
+SEGMENT_KEYS = ["customer_id", "segment", "country"]
+TYPE_KEYS = [*SEGMENT_KEYS, "account_type"]
+
+
+def spend_naive(
+    transactions: DataFrame, customers: DataFrame, accounts: DataFrame,
+    keys: list[str] = SEGMENT_KEYS,
 ) -> DataFrame:
     """The yardstick: every row joined with both whole dimensions, then grouped."""
     owned = accounts.drop("customer_id").withColumnRenamed("status", "account_status") \
@@ -24,7 +29,7 @@ def spend_by_segment_naive(
     return (
         transactions.join(customers, "customer_id", "left")
         .join(owned, "account_id", "left")
-        .groupBy("customer_id", "segment", "country")
+        .groupBy(*keys)
         .agg(rows().alias("tx_count"), total("amount").alias("total_amount"),
              F.avg("amount").alias("avg_amount"))
     )
@@ -44,7 +49,7 @@ def spend_by_account_type(
     grouped = (
         spent.join(accounts.select("account_id", "account_type"), "account_id", "left")
         .join(customers.select("customer_id", "segment", "country"), "customer_id", "left")
-        .groupBy("customer_id", "segment", "country", "account_type")
+        .groupBy(*TYPE_KEYS)
         .agg(F.sum("_n").alias("tx_count"),
              F.sum("_amount").cast("decimal(28,2)").alias("total_amount"))
     )

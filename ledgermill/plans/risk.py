@@ -13,6 +13,7 @@ from ledgermill.operators.clean import tag_rows, unify_versions
 from ledgermill.operators.trailing import trailing_count_per_second, trailing_daily_mean
 from ledgermill.plans.transactions import currency_volume
 from ledgermill.sources.scans import open_status, scan_day
+from ledgermill.workspace import stage
 
 # Limits of the signals.
 VELOCITY_SECONDS = 600
@@ -34,26 +35,24 @@ def velocity_alerts(
 ) -> DataFrame:
     """Accounts with more than ``limit`` transactions in some trailing ``seconds``.
 
-    Everything the alert reports adds up per second, so rows are reduced to (account, customer,
-    second) first and only seconds above the limit meet them again.
+    The seconds above the limit are few, so they are staged: their size on disk then tells Spark
+    whether to broadcast them to the ledger scan, which saves the ledger a shuffle, or to sort
+    and merge.
     """
-    per_second = (
-        transactions.groupBy(
-            "account_id", "customer_id", epoch_second(F.col("timestamp")).alias("_second"))
-        .agg(rows().alias("_count"), total("amount").alias("_amount"),
-             F.max("timestamp").alias("_latest"))
+    timed = transactions.select(
+        "account_id", "customer_id", "amount", "timestamp",
+        epoch_second(F.col("timestamp")).alias("second"),
     )
-    flagged = trailing_count_per_second(
-        per_second, "account_id", "_second", F.sum("_count"), seconds
-    ).filter(F.col("trailing_count") > limit)
+    counts = trailing_count_per_second(timed, "account_id", "second", seconds)
+    flagged = stage(counts.filter(F.col("trailing_count") > limit), "velocity")
     return tag_rows(
-        per_second.join(flagged, ["account_id", "_second"])
+        timed.join(flagged, ["account_id", "second"])
         .groupBy("account_id", "customer_id")
         .agg(
             F.max("trailing_count").alias("max_tx_in_window"),
-            F.sum("_count").alias("flagged_transactions"),
-            F.sum("_amount").cast("decimal(28,2)").alias("flagged_amount"),
-            F.max("_latest").alias("latest_flagged_at"),
+            rows().alias("flagged_transactions"),
+            total("amount").alias("flagged_amount"),
+            F.max("timestamp").alias("latest_flagged_at"),
         ),
         risk_signal="velocity_alert", risk_level="HIGH",
     )

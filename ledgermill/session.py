@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Dimensions below this size are broadcast; above it Spark falls back to a sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(100 * 1024 * 1024),
+    # Quantile sketches of this many groups stay in a task's hash table before it sorts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
@@ -32,6 +34,11 @@ def object_store(endpoint: str, access_key: str, secret_key: str) -> dict[str, s
     }
 
 
+def partitions_for(shuffle_bytes: int, task_bytes: int = 200 * 1024 * 1024) -> int:
+    """Shuffle partitions that give a task about ``task_bytes``; adaptive execution merges more."""
+    return max(1, -(-shuffle_bytes // task_bytes))
+
+
 def build_session(
     app_name: str = "ledgermill",
     master: str | None = None,

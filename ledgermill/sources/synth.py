@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgermill import schemas
@@ -17,9 +19,8 @@ ERASABLE = ["transaction_id", "customer_id", "amount", "timestamp"]
 
 def _weighted(values: list[str], weights: list[int], percent: Column) -> Column:
     """A value by its share of 100."""
-    chosen, bound = F.lit(values[-1]), sum(weights)
-    for value, weight in reversed(list(zip(values[:-1], weights[:-1]))):
-        bound = sum(weights[: values.index(value) + 1])
+    chosen = F.lit(values[-1])
+    for value, bound in reversed(list(zip(values[:-1], accumulate(weights)))):
         chosen = F.when(percent < bound, value).otherwise(chosen)
     return chosen
 

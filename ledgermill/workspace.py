@@ -32,12 +32,17 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and return a frame that reads the written table."""
+    """Write ``df`` once and return a frame that reads the written table.
+
+    A partitioned table is rebalanced first: without it every task would write a file into every
+    partition, with it files come out evenly sized and a large partition is still split.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    else:
+        writer = df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
