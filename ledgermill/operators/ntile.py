@@ -24,8 +24,13 @@ CUTS = 1024
 _STRIDES = [2**i for i in range(12, -1, -1)]
 
 
-def _key(order: Column, unique_id: str) -> Column:
-    return F.struct(order.cast("decimal(38,6)").alias("value"), F.col(unique_id).alias("id"))
+def _key(order: Column, unique_id: Column) -> Column:
+    return F.struct(order.alias("value"), unique_id.alias("id"))
+
+
+def _common_key(order: Column, unique_id: Column) -> Column:
+    """The key in the one type that serves all rankings."""
+    return _key(order.cast("decimal(38,6)"), unique_id)
 
 
 def _interval(cuts: Column, key: Column) -> Column:
@@ -39,31 +44,26 @@ def _interval(cuts: Column, key: Column) -> Column:
     )
 
 
-def _by_ranking(df: DataFrame, column: str) -> Column:
-    """One value per ranking as a map in a scalar subquery."""
-    entries = F.collect_list(F.struct("ranking", column))
-    return df.agg(F.map_from_entries(entries).alias(column)).scalar()
-
-
 def tile_starts(
     df: DataFrame, tiles: int, orders: Mapping[str, Column], unique_id: str
 ) -> DataFrame:
     """Per ranking, the sort keys of the first rows of tiles 2, 3, ... that exist."""
     count = df.agg(F.count(F.lit(1))).scalar()
-    keys = df.select(
-        F.xxhash64(unique_id).alias("hash"),
-        F.inline(F.array(*[
-            F.struct(F.lit(name).alias("ranking"), _key(order, unique_id).alias("key"))
-            for name, order in orders.items()
-        ])),
-    )
+    table = df.select(F.col(unique_id).alias("id"), *[o.alias(n) for n, o in orders.items()])
+    keys = {name: _key(F.col(name), F.col("id")) for name in orders}
     share = F.greatest(F.expr(f"n div {CUTS}"), F.lit(1))
     cuts = (
-        keys.withColumn("n", count).filter(F.pmod("hash", share) == 0)
-        .groupBy("ranking").agg(F.sort_array(F.collect_list("key")).alias("cuts"))
+        table.withColumn("n", count).filter(F.pmod(F.xxhash64("id"), share) == 0)
+        .agg(F.struct(*[F.sort_array(F.collect_list(k)).alias(n) for n, k in keys.items()]))
+        .scalar()
     )
-    placed = keys.withColumn("cuts", _by_ranking(cuts, "cuts")).select(
-        "ranking", "key", _interval(F.col("cuts")[F.col("ranking")], F.col("key")).alias("interval")
+    placed = table.withColumn("cuts", cuts).select(
+        *table.columns,
+        F.inline(F.array(*[
+            F.struct(F.lit(n).alias("ranking"),
+                     _interval(F.col("cuts")[n], k).alias("interval"))
+            for n, k in keys.items()
+        ])),
     )
     # At most one row per ranking and interval from here to the join.
     sizes = placed.groupBy("ranking", "interval").agg(F.count(F.lit(1)).alias("size"))
@@ -84,10 +84,14 @@ def tile_starts(
         .filter(position.between(F.lit(1), F.col("size")))
         .groupBy("ranking", "interval").agg(F.collect_set(position).alias("positions"))
     )
+    key = F.coalesce(*[
+        F.when(F.col("ranking") == n, _common_key(F.col(n), F.col("id"))) for n in orders
+    ])
     within = Window.partitionBy("ranking", "interval").orderBy("key")
     # One row per ranking and later tile at most, hence the broadcast.
     return (
         placed.join(F.broadcast(wanted), ["ranking", "interval"])
+        .select("ranking", "interval", "positions", key.alias("key"))
         .withColumn("position", F.row_number().over(within).cast("bigint"))
         .filter(F.array_contains("positions", F.col("position")))
         .select("ranking", "key")
@@ -102,19 +106,17 @@ def add_ntiles(
     Orders are integers or decimals, ascending; negate for descending. ``df`` is read several
     times, so stage it first where computing it is dear.
     """
-    starts = (
-        tile_starts(df, tiles, orders, unique_id)
-        .groupBy("ranking").agg(F.collect_list("key").alias("starts"))
-    )
+    first_rows = tile_starts(df, tiles, orders, unique_id)
+    starts = first_rows.agg(F.struct(*[
+        F.collect_list(F.when(F.col("ranking") == n, F.col("key"))).alias(n) for n in orders
+    ])).scalar()
 
     def tile(name: str, order: Column) -> Column:
-        key = _key(order, unique_id)
-        below = F.filter(F.col("_starts")[F.lit(name)], lambda s: s <= key)
-        # No entry at all where the table is smaller than two tiles' worth of rows.
-        return F.coalesce(F.nullif(F.size(below), F.lit(-1)), F.lit(0)) + 1
+        key = _common_key(order, F.col(unique_id))
+        return F.size(F.filter(F.col("_starts")[name], lambda s: s <= key)) + 1
 
     return (
-        df.withColumn("_starts", _by_ranking(starts, "starts"))
+        df.withColumn("_starts", starts)
         .withColumns({name: tile(name, order) for name, order in orders.items()})
         .drop("_starts")
     )

@@ -7,7 +7,7 @@ hold, run the window over those, and join the result back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgermill.functions.measures import mean_from, rows, total
 from ledgermill.functions.times import epoch_second
@@ -18,22 +18,29 @@ def trailing_count_per_second(
 ) -> DataFrame:
     """Per key and second: rows in the ``seconds`` that end there, both ends and peers included.
 
-    Time is cut into slots of ``seconds``; every row also goes to the next slot, so that a slot
-    holds all it needs and a hot key spreads over its slots.
+    Time is cut into slots of ``seconds``, so a window reaches into one earlier slot at most. Each
+    second also goes to the next slot, as part of what that slot starts with and as its removal
+    once it is out of reach. The count is then a running sum: linear however long the window,
+    and a hot key spreads over its slots, each holding two rows per second at most.
     """
     per_second = events.groupBy(key, second).agg(rows().alias("_rows"))
-    slot = F.floor(F.col(second) / seconds)
-    copies = F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy")
-    slotted = per_second.select(key, second, "_rows", copies).withColumn(
-        "_slot", slot + F.col("_copy")
-    )
-    trailing = (
-        Window.partitionBy(key, "_slot").orderBy(second).rangeBetween(-seconds, Window.currentRow)
+    slot, n = F.floor(F.col(second) / seconds), F.col("_rows")
+
+    def entry(in_slot: Column, at: Column, change: Column, carried: Column, own: bool) -> Column:
+        return F.struct(in_slot.alias("_slot"), at.alias("_at"), change.alias("_change"),
+                        carried.alias("_carried"), F.lit(own).alias("_own"))
+
+    entries = F.array(
+        entry(slot, F.col(second), n, F.lit(0).cast("bigint"), True),
+        entry(slot + 1, F.col(second) + seconds + 1, -n, n, False),
     )
+    slots = Window.partitionBy(key, "_slot")
     return (
-        slotted.withColumn("trailing_count", F.sum("_rows").over(trailing))
-        .filter("_copy = 0")
-        .select(key, second, "trailing_count")
+        per_second.select(key, second, F.inline(entries))
+        .withColumn("_started", F.sum("_carried").over(slots))
+        .withColumn("_since", F.sum("_change").over(slots.orderBy("_at")))
+        .filter("_own")
+        .select(key, second, (F.col("_started") + F.col("_since")).alias("trailing_count"))
     )
 
 
