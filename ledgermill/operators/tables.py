@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgermill.workspace import hadoop_path, new_path, remove
 
@@ -17,6 +17,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     )
 
 
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """A table whose columns may have grown over time.
+
+    Columns that older files lack are NULL. Without a given schema the files' schemas are merged;
+    Spark's default would trust whichever file it looks at.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def row_count(spark: SparkSession, path: str) -> int:
     """Rows of a table; parquet answers from its footers."""
     return spark.read.parquet(path).count()
@@ -62,7 +75,7 @@ def compact_table(spark: SparkSession, path: str, partition_by: str | None = Non
 
     ``rebalance`` merges small pieces and splits a partition value that outgrows one task.
     """
-    table = spark.read.parquet(path)
+    table = read_table(spark, path)
     if partition_by:
         replace_partition(table.hint("rebalance", partition_by), path, partition_by)
     else:
@@ -79,7 +92,7 @@ def cluster_table(
     spark: SparkSession, path: str, columns: Sequence[str], partition_by: str | None = None
 ) -> None:
     """Rewrite a table clustered by data columns (never by its partition column alone)."""
-    table = clustered(spark.read.parquet(path), columns, partition_by)
+    table = clustered(read_table(spark, path), columns, partition_by)
     if partition_by:
         replace_partition(table, path, partition_by)
     else:

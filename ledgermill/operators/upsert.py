@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgermill.operators.tables import append, replace_partition, replace_table, table_exists
+from ledgermill import schemas
+from ledgermill.operators.tables import (
+    append, read_table, replace_partition, replace_table, table_exists,
+)
 from ledgermill.workspace import new_path, remove
 
 # Columns a newer delivery of a transaction may change.
@@ -100,17 +103,19 @@ def upsert_table(
     condition: Column | None = None,
     insert_values: Mapping[str, Column] | None = None,
     partition_by: str | None = None,
+    schema: T.StructType | str | None = None,
 ) -> dict[str, int]:
     """Merge a batch into a stored table and return the rows inserted, updated and kept.
 
     Only keys, condition columns and the partition column of the target are read to decide;
     only partitions that change are rewritten. The decided batch is written down first, so the
-    rewrite and the counts see the same decisions whatever is recomputed.
+    rewrite and the counts see the same decisions whatever is recomputed. ``schema`` is the
+    table's; without it the schemas of its files are merged.
     """
     if not table_exists(spark, path):
         append(batch, path, partition_by)
-        return {"insert": spark.read.parquet(path).count(), "update": 0, "keep": 0}
-    table = spark.read.parquet(path)
+        return {"insert": read_table(spark, path, batch.schema).count(), "update": 0, "keep": 0}
+    table = read_table(spark, path, schema)
     if not partition_by:
         copy = new_path(spark, "upsert")
         upsert(table, batch, keys, update_set, condition, insert_values).write.parquet(copy)
@@ -157,5 +162,5 @@ def upsert_transactions(spark: SparkSession, path: str, batch: DataFrame) -> dic
     """``upsert_latest`` on a stored table partitioned by event day."""
     return upsert_table(
         spark, path, batch, ["transaction_id"], {c: source(c) for c in UPDATABLE}, newer(),
-        partition_by="event_date",
+        partition_by="event_date", schema=schemas.SILVER,
     )

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgermill import schemas
 from ledgermill.operators import clean, dedup, quality, tables, upsert
 from ledgermill.plans import customers as customer_plans
 from ledgermill.plans import risk, transactions
@@ -52,13 +53,12 @@ def refine_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> dict[str,
 
     The day is parsed once: valid and rejected rows go to one staged table, split by partition.
     """
-    arrived = scan_day(spark.read.parquet(lake.bronze), "ingestion_date", day)
+    bronze = spark.read.schema(schemas.BRONZE).parquet(lake.bronze)
+    arrived = scan_day(bronze, "ingestion_date", day)
     parsed_path = new_path(spark, "parsed")
-    (
-        arrived.transform(clean.parse_payload, keep_raw=True).transform(clean.route)
-        .write.partitionBy("is_valid").parquet(parsed_path)
-    )
-    parsed = spark.read.parquet(parsed_path)
+    routed = arrived.transform(clean.parse_payload, keep_raw=True).transform(clean.route)
+    routed.write.partitionBy("is_valid").parquet(parsed_path)
+    parsed = spark.read.schema(routed.schema).parquet(parsed_path)
     rejected = parsed.filter(~F.col("is_valid")).drop("is_valid")
     tables.replace_partition(
         rejected.withColumn("quarantined_at", F.current_timestamp()), lake.quarantine,
@@ -73,24 +73,30 @@ def refine_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> dict[str,
 
 def _customers(spark: SparkSession, lake: Lake) -> DataFrame | None:
     if tables.table_exists(spark, lake.customers):
-        return spark.read.parquet(lake.customers)
+        return spark.read.schema(schemas.CUSTOMERS).parquet(lake.customers)
     return None
 
 
+def _silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.schema(schemas.SILVER).parquet(lake.silver)
+
+
 def check_day(spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None) -> bool:
     """Write the day's quality metrics and return the gate's verdict."""
-    today = scan_day(spark.read.parquet(lake.silver), "event_date", day)
+    today = scan_day(_silver(spark, lake), "event_date", day)
     report = quality.dq_report(today, _customers(spark, lake), as_of)
     tables.replace_partition(report, lake.dq_metrics, "process_date")
     if not tables.table_exists(spark, lake.dq_metrics):
         return True
-    metrics = scan_day(spark.read.parquet(lake.dq_metrics), "process_date", day)
+    metrics = spark.read.schema(schemas.DQ_METRICS).parquet(lake.dq_metrics)
+    metrics = scan_day(metrics, "process_date", day)
     return quality.dq_gate(metrics).first()["gate_passed"]
 
 
 def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
     """Replace the day's snapshots of all gold tables."""
-    silver, customers = spark.read.parquet(lake.silver), spark.read.parquet(lake.customers)
+    silver = _silver(spark, lake)
+    customers = spark.read.schema(schemas.CUSTOMERS).parquet(lake.customers)
     today = scan_day(silver, "event_date", day)
     snapshots = {
         "customer_analytics": (

@@ -34,6 +34,11 @@ BRONZE = (
     "kafka_offset bigint, kafka_timestamp timestamp, ingestion_timestamp timestamp, "
     "ingestion_date date"
 )
+SILVER = PAYLOAD + (
+    ", kafka_offset bigint, kafka_partition int, kafka_timestamp timestamp, "
+    "ingestion_timestamp timestamp, ingestion_date date, processing_date date, event_date date, "
+    "is_late_arrival boolean"
+)
 CUSTOMERS = (
     "customer_id string, name string, age int, country string, segment string, email string, "
     "phone string, preferred_currency string, created_at timestamp, updated_at timestamp"
