@@ -106,13 +106,12 @@ class Tables:
         return transport.bronze_project(self.message_stream(), F.col("timestamp"))
 
     def clean_stream(self) -> DataFrame:
-        flows.use_rocksdb(self.spark)
         return flows.cleaned(self.bronze_stream())
 
     def landed(self, stream: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Run a stream over all input into a parquet sink and read that."""
         path, checkpoint = new_path(self.spark, "sink"), new_path(self.spark, "checkpoint")
-        flows.run_available(flows.parquet_sink(stream, checkpoint, partition_by), path)
+        flows.run_available(self.spark, flows.parquet_sink(stream, checkpoint, partition_by), path)
         return self.spark.read.schema(stream.schema).parquet(path)
 
 
@@ -622,12 +621,12 @@ def stream_late_split_intent(t: Tables) -> DataFrame:
     path, checkpoint = new_path(t.spark, "late-split"), new_path(t.spark, "checkpoint")
     stream = t.clean_stream().select(
         *POSITION, "transaction_id", "timestamp", "is_late_arrival")
-    flows.run_available(flows.late_split_sink(stream, checkpoint), path)
+    flows.run_available(t.spark, flows.late_split_sink(stream, checkpoint), path)
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
 @query
 def stream_upsert(t: Tables) -> DataFrame:
     path, checkpoint = new_path(t.spark, "stream-upsert"), new_path(t.spark, "checkpoint")
-    flows.run_available(flows.upsert_sink(t.bronze_stream(), path, checkpoint))
+    flows.run_available(t.spark, flows.upsert_sink(t.bronze_stream(), path, checkpoint))
     return t.spark.read.schema(t.silver.schema).parquet(path).select(*UPSERT_COLUMNS)

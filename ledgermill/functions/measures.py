@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(28,2)"
@@ -21,8 +23,17 @@ def total(column: Column | str, where: Column | None = None) -> Column:
 
 
 def mean_from(sum_: Column, count: Column) -> Column:
-    """Mean of money from an exact sum and a count, with the type ``avg`` gives."""
-    return F.try_divide(sum_, count.cast("decimal(20,0)")).cast("decimal(22,6)")
+    """Mean of money from an exact sum and a count, with the type and rounding ``avg`` gives.
+
+    Counted in millionths with the remainder taken off first: a plain decimal division would
+    round once to its own scale and again to six digits.
+    """
+    cents = (F.abs(sum_) * 100).cast("decimal(30,0)")
+    twice = F.nullif(count.cast("decimal(20,0)") * 2, F.lit(0).cast("decimal(20,0)"))
+    halves = cents * 20_000 + count.cast("decimal(20,0)")
+    millionths = (halves - halves % twice) / twice
+    signed = F.when(sum_ < 0, -millionths).otherwise(millionths).cast("decimal(28,0)")
+    return (signed * F.lit(Decimal("0.000001"))).cast("decimal(22,6)")
 
 
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:

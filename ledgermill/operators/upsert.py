@@ -113,7 +113,7 @@ def upsert_table(
     table's; without it the schemas of its files are merged.
     """
     if not table_exists(spark, path):
-        append(batch, path, partition_by)
+        append(batch.hint("rebalance", *filter(None, [partition_by])), path, partition_by)
         return {"insert": read_table(spark, path, batch.schema).count(), "update": 0, "keep": 0}
     table = read_table(spark, path, schema)
     if not partition_by:

@@ -12,7 +12,7 @@ from ledgermill.operators import clean, dedup, quality, tables, upsert
 from ledgermill.plans import customers as customer_plans
 from ledgermill.plans import risk, transactions
 from ledgermill.sources.scans import scan_day
-from ledgermill.workspace import new_path, remove
+from ledgermill.workspace import new_path, scratch
 
 
 @dataclass(frozen=True)
@@ -66,9 +66,7 @@ def refine_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> dict[str,
     )
     accepted = parsed.filter("is_valid").drop("is_valid", "quarantine_reason", "raw_payload")
     batch = dedup.dedup_latest(clean.correct_values(accepted))
-    counts = upsert.upsert_transactions(spark, lake.silver, batch)
-    remove(spark, parsed_path)
-    return counts
+    return upsert.upsert_transactions(spark, lake.silver, batch)
 
 
 def _customers(spark: SparkSession, lake: Lake) -> DataFrame | None:
@@ -116,9 +114,10 @@ def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
 def run_day(
     spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None
 ) -> dict:
-    """Silver, quality, and gold unless the gate is shut."""
-    counts = refine_day(spark, lake, day)
-    passed = check_day(spark, lake, day, as_of)
-    if passed:
-        gold_day(spark, lake, day)
+    """Silver, quality, and gold unless the gate is shut; leaves no working tables behind."""
+    with scratch(spark):
+        counts = refine_day(spark, lake, day)
+        passed = check_day(spark, lake, day, as_of)
+        if passed:
+            gold_day(spark, lake, day)
     return {**counts, "gate_passed": passed}

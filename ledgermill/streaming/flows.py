@@ -6,8 +6,11 @@ works on; ``run_available`` drives a query over all input that is there and retu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ledgermill.functions.measures import rows, total
 from ledgermill.operators import clean
@@ -20,15 +23,41 @@ WATERMARK = "30 minutes"
 TRIGGER = "1 minute"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a query copies when it starts: RocksDB state in ``partitions`` pieces.
 
-def run_available(writer: DataStreamWriter, path: str | None = None) -> None:
+    The number of pieces is fixed for the life of a checkpoint; the default is one per core of
+    the cluster.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def start(
+    spark: SparkSession, writer: DataStreamWriter, path: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    with state_settings(spark, state_partitions):
+        return writer.start(path) if path else writer.start()
+
+
+def run_available(
+    spark: SparkSession, writer: DataStreamWriter, path: str | None = None,
+    state_partitions: int | None = None,
+) -> None:
     """Process everything available, then stop."""
-    writer = writer.trigger(availableNow=True)
-    query = writer.start(path) if path else writer.start()
-    query.awaitTermination()
+    start(spark, writer.trigger(availableNow=True), path, state_partitions).awaitTermination()
 
 
 def parquet_sink(
@@ -46,9 +75,12 @@ def bronze_sink(stream: DataFrame, checkpoint: str) -> DataStreamWriter:
     return parquet_sink(stream, checkpoint, "ingestion_date")
 
 
-def start_bronze(stream: DataFrame, path: str, checkpoint: str, every: str = TRIGGER):
+def start_bronze(
+    stream: DataFrame, path: str, checkpoint: str, every: str = TRIGGER
+) -> StreamingQuery:
     """Start the long-running ingestion and return its query."""
-    return bronze_sink(stream, checkpoint).trigger(processingTime=every).start(path)
+    writer = bronze_sink(stream, checkpoint).trigger(processingTime=every)
+    return start(stream.sparkSession, writer, path)
 
 
 def cleaned(bronze: DataFrame, delay: str = WATERMARK) -> DataFrame:

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -28,7 +31,21 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving whatever was staged inside; write results elsewhere before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

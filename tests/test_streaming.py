@@ -52,7 +52,6 @@ def folder(spark, arrivals):
 
 
 def stream(spark, folder, files=1):
-    flows.use_rocksdb(spark)
     messages = transport.file_stream(spark, folder, files_per_trigger=files)
     return transport.bronze_project(messages, F.col("timestamp"))
 
@@ -60,7 +59,7 @@ def stream(spark, folder, files=1):
 def land(spark, streaming, partition_by=None):
     path = new_path(spark, "out")
     flows.run_available(
-        flows.parquet_sink(streaming, new_path(spark, "checkpoint"), partition_by), path)
+        spark, flows.parquet_sink(streaming, new_path(spark, "checkpoint"), partition_by), path)
     return spark.read.schema(streaming.schema).parquet(path)
 
 
@@ -76,7 +75,7 @@ def rows(df):
 def test_bronze_equals_batch_and_restarts_exactly_once(spark, folder, bronze):
     path, checkpoint = new_path(spark, "bronze"), new_path(spark, "checkpoint")
     for _ in range(2):
-        flows.run_available(flows.bronze_sink(stream(spark, folder, 3), checkpoint), path)
+        flows.run_available(spark, flows.bronze_sink(stream(spark, folder, 3), checkpoint), path)
     assert rows(spark.read.schema(bronze.schema).parquet(path)) == rows(bronze)
 
 
@@ -103,7 +102,7 @@ def delayed(bronze):
 def test_late_rows_are_routed_not_dropped(spark, folder, bronze):
     path = new_path(spark, "late")
     silver = flows.cleaned(delayed(stream(spark, folder)))
-    flows.run_available(flows.late_split_sink(silver, new_path(spark, "checkpoint")), path)
+    flows.run_available(spark, flows.late_split_sink(silver, new_path(spark, "checkpoint")), path)
     landed = spark.read.schema(silver.schema).parquet(path)
     counts = dict(map(tuple, landed.groupBy("is_late_arrival").count().collect()))
     assert counts == {True: 66, False: 264}
@@ -146,7 +145,7 @@ def test_flags_exceed_the_limit(spark, folder):
 
 def test_upsert_per_batch_equals_batch_dedup(spark, folder, bronze):
     path, checkpoint = new_path(spark, "upsert"), new_path(spark, "checkpoint")
-    flows.run_available(flows.upsert_sink(stream(spark, folder, 2), path, checkpoint))
+    flows.run_available(spark, flows.upsert_sink(stream(spark, folder, 2), path, checkpoint))
     columns = ["transaction_id", "status", "ingestion_timestamp", "event_date"]
     merged = spark.read.parquet(path).select(*columns)
     assert rows(merged) == rows(
