@@ -396,7 +396,8 @@ exposure AS (
 _FAILED = {
     "completeness_critical_fields": (1.0, LACKING),
     "validity_amount_positive": (0.99, "amount <= 0"),
-    "validity_currency_known": (0.99, "currency NOT IN ('USD','EUR','BRL','GBP','JPY','CAD','AUD')"),
+    "validity_currency_known": (
+        0.99, "currency NOT IN ('USD','EUR','BRL','GBP','JPY','CAD','AUD')"),
     "validity_status_known": (1.0, "status NOT IN ('completed','pending','failed','unknown')"),
     "late_arrival_rate": (0.9, "is_late_arrival"),
 }
@@ -543,8 +544,8 @@ def _share() -> str:
 def _breakdown(columns: str) -> str:
     return transaction_report(f"""
       SELECT {columns} FROM (
-        SELECT currency, CAST(sum(tx_count) AS BIGINT) AS total_transactions, sum(total_volume) AS v,
-          sum(sum(total_volume)) OVER () AS w
+        SELECT currency, CAST(sum(tx_count) AS BIGINT) AS total_transactions,
+          sum(total_volume) AS v, sum(sum(total_volume)) OVER () AS w
         FROM gold_transactions
         WHERE granularity = 'daily_by_type' AND process_date = {DAY} GROUP BY currency)""")
 
@@ -563,7 +564,8 @@ def oracle_sql() -> dict[str, str]:
     sql["scan_staged"] = ledger(
         "SELECT transaction_id, kafka_offset, processing_date, event_date FROM clean "
         f"WHERE processing_date = {DAY}")
-    sql["stream_source_options"] = ledger(f"SELECT {position}, kafka_key, kafka_timestamp FROM bronze")
+    sql["stream_source_options"] = ledger(
+        f"SELECT {position}, kafka_key, kafka_timestamp FROM bronze")
     sql["load_entities_json"] = ledger("SELECT * FROM customers")
     sql["read_report_tables"] = ledger(
         """SELECT 'gold_customer_analytics' AS table_name, process_date, count(*) AS row_count

@@ -79,16 +79,27 @@ def _silver(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.read.schema(schemas.SILVER).parquet(lake.silver)
 
 
-def check_day(spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None) -> bool:
+def check_day(
+    spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None
+) -> bool:
     """Write the day's quality metrics and return the gate's verdict."""
     today = scan_day(_silver(spark, lake), "event_date", day)
     report = quality.dq_report(today, _customers(spark, lake), as_of)
     tables.replace_partition(report, lake.dq_metrics, "process_date")
+    return gate_open(spark, lake, day)
+
+
+def gate_open(spark: SparkSession, lake: Lake, day: str | dt.date) -> bool:
+    """The verdict on a day from its stored metrics; a day without any passes."""
     if not tables.table_exists(spark, lake.dq_metrics):
         return True
     metrics = spark.read.schema(schemas.DQ_METRICS).parquet(lake.dq_metrics)
-    metrics = scan_day(metrics, "process_date", day)
-    return quality.dq_gate(metrics).first()["gate_passed"]
+    return quality.dq_gate(scan_day(metrics, "process_date", day)).first()["gate_passed"]
+
+
+def bronze_is_fresh(spark: SparkSession, lake: Lake, as_of: str | None = None) -> bool:
+    bronze = spark.read.schema(schemas.BRONZE).parquet(lake.bronze)
+    return quality.bronze_freshness(bronze, as_of).first()["is_fresh"]
 
 
 def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:

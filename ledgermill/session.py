@@ -14,7 +14,7 @@ SETTINGS = {
     # A skewed join is split even when the split costs the next operator a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Dimensions below this size are broadcast; above it Spark falls back to a sort-merge join.
-    "spark.sql.autoBroadcastJoinThreshold": str(100 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     # Quantile sketches of this many groups stay in a task's hash table before it sorts.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -24,7 +24,8 @@ def kafka_stream(
     spark: SparkSession, servers: str, topic: str = schemas.TOPIC, starting: str = "latest"
 ) -> DataFrame:
     """Messages from a broker. Needs the Kafka connector on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting)).load()
+    options = kafka_options(servers, topic, starting)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def file_stream(

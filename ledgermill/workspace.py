@@ -21,7 +21,7 @@ _scopes: list[list[str]] = []
 def shared_root(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``."""
     app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
