@@ -161,11 +161,11 @@ def _cleaned(source: str) -> str:
   FROM {source} WHERE NOT ({LACKING})"""
 
 
-def latest(source: str, where: str = "true") -> str:
+def latest(source: str, where: str = "true", order: str = "DESC") -> str:
     return f"""
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ingestion_timestamp DESC,
-      kafka_partition DESC, kafka_offset DESC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
+      ingestion_timestamp {order}, kafka_partition {order}, kafka_offset {order}) AS rn
     FROM {source} WHERE {where}) WHERE rn = 1"""
 
 
@@ -439,7 +439,7 @@ def dq_only(check: str) -> str:
 # --- merge ----------------------------------------------------------------------------------
 
 MERGED = f"""
-stored AS ({latest('clean', f"kafka_offset % 2 = 0 AND event_date < {MERGE_DAY}")}),
+stored AS ({latest('clean', f"event_date < {MERGE_DAY}", "ASC")}),
 merged AS (
   SELECT s.transaction_id,
     CASE WHEN t.transaction_id IS NULL THEN 'insert'

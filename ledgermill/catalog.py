@@ -24,7 +24,7 @@ from ledgermill.workspace import new_path, stage
 PROCESS_DATE = "2024-01-30"
 SNAPSHOT_DATES = ["2024-01-28", "2024-01-29", "2024-01-30"]
 AS_OF = "2024-01-31 00:00:00"
-# Silver before this day plays the stored table, all deliveries play the batch.
+# What arrived first before this day is the stored table of the merge queries.
 MERGE_DAY = "2024-01-16"
 DAY_SECONDS = 86_400
 
@@ -253,10 +253,10 @@ def dq_metrics_append(t: Tables) -> DataFrame:
 
 
 def stored_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """First deliveries of the early days as stored table, all deliveries as batch."""
-    first = F.col("kafka_offset") % 2 == 0
-    early = F.col("event_date") < times.day(MERGE_DAY)
-    return dedup.dedup_latest(t.cleaned.filter(first & early)), dedup.dedup_latest(t.cleaned)
+    """First arrivals of the early days as stored table, last arrivals of all days as batch."""
+    early = t.cleaned.filter(F.col("event_date") < times.day(MERGE_DAY))
+    arrival = [F.asc(c) for c in ("ingestion_timestamp", "kafka_partition", "kafka_offset")]
+    return dedup.keep_first(early, ["transaction_id"], arrival), dedup.dedup_latest(t.cleaned)
 
 
 UPSERT_COLUMNS = ["transaction_id", "status", "amount", "ingestion_timestamp",

@@ -61,11 +61,13 @@ def trailing_daily_mean(
     df: DataFrame, name: str, key: str, amount: str, day: str, days: int
 ) -> DataFrame:
     """Per key and day: mean amount over that day and the ``days`` before it."""
-    daily = df.groupBy(key, day).agg(total(amount).alias("_sum"), rows().alias("_rows"))
+    daily = df.groupBy(key, day).agg(total(amount).alias("_amount"), rows().alias("_count"))
     number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
     trailing = (
         Window.partitionBy(key).orderBy(number).rangeBetween(-days, Window.currentRow)
     )
-    mean = mean_from(F.sum("_sum").over(trailing).cast("decimal(28,2)"),
-                     F.sum("_rows").over(trailing))
-    return daily.select(key, day, mean.alias(name))
+    summed = daily.select(
+        key, day, F.sum("_amount").over(trailing).cast("decimal(28,2)").alias("_amount"),
+        F.sum("_count").over(trailing).alias("_count"),
+    )
+    return summed.select(key, day, mean_from(F.col("_amount"), F.col("_count")).alias(name))

@@ -15,8 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Dimensions below this size are broadcast; above it Spark falls back to a sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    # Quantile sketches of this many groups stay in a task's hash table before it sorts.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Compressed files grow in memory; size estimates must know, or too much is broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
