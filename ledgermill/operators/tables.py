@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgermill.workspace import hadoop_path, new_path, remove
 
+Arrange = Callable[[DataFrame], DataFrame]
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True where the folder holds data, not just markers such as ``_SUCCESS``."""
@@ -61,25 +63,43 @@ def replace_partition(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a whole unpartitioned table, also by rows read from it."""
-    spark = df.sparkSession
-    copy = new_path(spark, "replace")
-    df.write.parquet(copy)
-    spark.read.schema(df.schema).parquet(copy).write.mode("overwrite").parquet(path)
+def rewrite_table(
+    rows: DataFrame, path: str, partition_by: str | None = None, arrange: Arrange | None = None
+) -> None:
+    """Replace a table, or the partitions that occur, by rows computed from it.
+
+    The rows are written beside the table before any of its files go, so that no plan reads what
+    it overwrites and an interrupted swap leaves a full copy to swap in again.
+    """
+    spark = rows.sparkSession
+    copy = new_path(spark, "rewrite")
+    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
+    writer.parquet(copy)
+    kept = spark.read.schema(rows.schema).parquet(copy)
+    arranged = arrange(kept) if arrange else kept
+    if partition_by:
+        replace_partition(arranged, path, partition_by)
+    else:
+        arranged.write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
     remove(spark, copy)
 
 
-def compact_table(spark: SparkSession, path: str, partition_by: str | None = None) -> None:
-    """Rewrite a table in files of the size adaptive execution aims at.
+def _days(table: DataFrame, partition_by: str | None, values: Sequence | None) -> DataFrame:
+    return table.filter(F.col(partition_by).isin(list(values))) if values else table
+
+
+def compact_table(
+    spark: SparkSession, path: str, partition_by: str | None = None, values: Sequence | None = None
+) -> None:
+    """Rewrite a table, or the given partitions, in files of the size adaptive execution aims at.
 
     ``rebalance`` merges small pieces and splits a partition value that outgrows one task.
     """
-    table = read_table(spark, path)
-    if partition_by:
-        replace_partition(table.hint("rebalance", partition_by), path, partition_by)
-    else:
-        replace_table(table.hint("rebalance"), path)
+    columns = [partition_by] if partition_by else []
+    rewrite_table(
+        _days(read_table(spark, path), partition_by, values), path, partition_by,
+        lambda rows: rows.hint("rebalance", *columns))
 
 
 def clustered(df: DataFrame, columns: Sequence[str], partition_by: str | None = None) -> DataFrame:
@@ -89,11 +109,10 @@ def clustered(df: DataFrame, columns: Sequence[str], partition_by: str | None =
 
 
 def cluster_table(
-    spark: SparkSession, path: str, columns: Sequence[str], partition_by: str | None = None
+    spark: SparkSession, path: str, columns: Sequence[str], partition_by: str | None = None,
+    values: Sequence | None = None,
 ) -> None:
-    """Rewrite a table clustered by data columns (never by its partition column alone)."""
-    table = clustered(read_table(spark, path), columns, partition_by)
-    if partition_by:
-        replace_partition(table, path, partition_by)
-    else:
-        replace_table(table, path)
+    """Rewrite a table, or the given partitions, clustered by data columns."""
+    rewrite_table(
+        _days(read_table(spark, path), partition_by, values), path, partition_by,
+        lambda rows: clustered(rows, columns, partition_by))

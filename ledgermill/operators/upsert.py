@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgermill import schemas
 from ledgermill.operators.tables import (
-    append, read_table, replace_partition, replace_table, table_exists,
+    append, read_table, rewrite_table, table_exists,
 )
 from ledgermill.workspace import new_path, remove
 
@@ -121,7 +121,8 @@ def upsert_table(
         upsert(table, batch, keys, update_set, condition, insert_values).write.parquet(copy)
         merged = spark.read.parquet(copy)
         counts = _counts(merged)
-        replace_table(merged.drop("_action"), path)
+        merged.drop("_action").write.mode("overwrite").parquet(path)
+        spark.catalog.refreshByPath(path)
         remove(spark, copy)
         return counts
 
@@ -145,10 +146,9 @@ def upsert_table(
             affected, moved.drop("_action", "_home", "_in_source"), keys, update_set, condition,
             insert_values,
         )
-        # Dynamic overwrite writes beside the table and swaps partitions when all tasks are done.
-        merged = merged.drop("_action").hint("rebalance", partition_by)
-        replace_partition(merged, path, partition_by)
-        spark.catalog.refreshByPath(path)
+        rewrite_table(
+            merged.drop("_action"), path, partition_by,
+            lambda rows: rows.hint("rebalance", partition_by))
     remove(spark, decided_path)
     return counts
 

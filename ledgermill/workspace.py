@@ -39,13 +39,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete on leaving whatever was staged inside; write results elsewhere before."""
+    """Delete whatever was staged inside once the block is done.
+
+    After a failure everything stays, as it may hold the only full copy of a partition.
+    """
     _scopes.append([])
     try:
         yield
-    finally:
-        for path in _scopes.pop():
-            remove(spark, path)
+    except BaseException:
+        _scopes.pop()
+        raise
+    for path in _scopes.pop():
+        remove(spark, path)
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -126,7 +126,9 @@ def test_tables(spark, silver, tmp_path):
     before = sorted(map(str, table.collect()))
     tables.compact_table(spark, path, "event_date")
     assert len(files(path, 15)) == 1
-    tables.cluster_table(spark, path, ["currency", "amount"], "event_date")
+    other = files(path, 16)
+    tables.cluster_table(spark, path, ["currency", "amount"], "event_date", ["2024-01-15"])
+    assert files(path, 16) == other
     assert sorted(map(str, spark.read.parquet(path).collect())) == before
     replacement = rows.filter("transaction_id = 'TXN002'").withColumn("status", F.lit("x"))
     for _ in range(2):
