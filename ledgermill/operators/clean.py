@@ -112,8 +112,8 @@ def decision_tree(parsed: DataFrame) -> DataFrame:
     """First failing rule of each row in ``quarantine_reason``, NULL where the row is accepted.
 
     Only the first arrival of an id among the otherwise acceptable rows is accepted. The first
-    arrival is found by a grouped minimum, which merges map-side, and joined back: no task ever
-    holds all copies of one id, as a window over the id would.
+    arrival of every repeated id is found by a grouped minimum, which merges map-side, and joined
+    back: no task ever holds all copies of one id, as a window over the id would.
     """
     amount, currency = F.col("amount"), F.upper(F.trim("currency"))
     rule = (
@@ -128,11 +128,12 @@ def decision_tree(parsed: DataFrame) -> DataFrame:
     first = (
         judged.filter(F.col("_rule").isNull())
         .groupBy("transaction_id")
-        .agg(F.min(arrival).alias("_first"))
+        .agg(F.min(arrival).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .filter("_copies > 1")
     )
     repeated = F.when(F.col("_rule").isNull() & (arrival != F.col("_first")), "duplicate")
     return (
         judged.join(first, "transaction_id", "left")
         .withColumn("quarantine_reason", F.coalesce("_rule", repeated))
-        .drop("_rule", "_first")
+        .drop("_rule", "_first", "_copies")
     )

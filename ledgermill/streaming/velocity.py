@@ -35,6 +35,8 @@ def trailing_sums(seconds: np.ndarray, counts: np.ndarray, span: int) -> np.ndar
 
 
 class TrailingCount(StatefulProcessor):
+    """Counts of one account; a batch brings one row per second the watermark has closed."""
+
     def __init__(self, span: int):
         self.span = span
 

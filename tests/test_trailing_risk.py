@@ -8,7 +8,7 @@ from conftest import at, transaction
 from pyspark.sql import functions as F
 
 from ledgermill.operators import trailing
-from ledgermill.plans import risk
+from ledgermill.plans import lookups, risk
 
 CUSTOMERS = "customer_id string, country string, segment string"
 
@@ -80,6 +80,15 @@ def test_trailing_mean_forgets_old_days(frame):
         ("TXN050", Decimal("5.833333"))]
 
 
+def test_orphans(spark, frame):
+    rows = frame(transaction(1), transaction(2), transaction(3, customer_id=None),
+                 transaction(2, 1, transaction_id="T9"))
+    known = spark.createDataFrame([("CUS001", "BR", "retail")], CUSTOMERS)
+    found = lookups.orphans(rows, known)
+    assert sorted(r["transaction_id"] for r in found.collect()) == ["T9", "TXN002", "TXN003"]
+    assert found.columns == rows.columns
+
+
 def test_geo_and_exposure(spark, frame):
     customers = spark.createDataFrame(
         [("CUS001", "BR", "retail"), ("CUS002", None, "sme")], CUSTOMERS)
