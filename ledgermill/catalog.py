@@ -56,6 +56,11 @@ class Tables:
     def cleaned(self) -> DataFrame:
         return clean.clean_transactions(self.bronze)
 
+    @functools.cached_property
+    def staging(self) -> DataFrame:
+        """Cleaned rows, every delivery, as a table for queries that read them several times."""
+        return stage(self.cleaned, "staging", "event_date")
+
     @functools.cached_property
     def silver(self) -> DataFrame:
         return stage(dedup.dedup_latest(self.cleaned), "silver", "event_date")
@@ -254,9 +259,9 @@ def dq_metrics_append(t: Tables) -> DataFrame:
 
 def stored_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     """First arrivals of the early days as stored table, last arrivals of all days as batch."""
-    early = t.cleaned.filter(F.col("event_date") < times.day(MERGE_DAY))
+    early = t.staging.filter(F.col("event_date") < times.day(MERGE_DAY))
     arrival = [F.asc(c) for c in ("ingestion_timestamp", "kafka_partition", "kafka_offset")]
-    return dedup.keep_first(early, ["transaction_id"], arrival), dedup.dedup_latest(t.cleaned)
+    return dedup.keep_first(early, ["transaction_id"], arrival), dedup.dedup_latest(t.staging)
 
 
 UPSERT_COLUMNS = ["transaction_id", "status", "amount", "ingestion_timestamp",
@@ -355,8 +360,9 @@ named("derive_dates", lambda t: clean.derive_dates(t.parsed).select(
     *POSITION, "processing_date", "event_date"))
 named("flag_late", lambda t: clean.flag_late(t.parsed).select(*POSITION, "is_late_arrival"))
 named("clean_transactions", lambda t: t.cleaned)
-named("quarantine_reasons_intent", lambda t: clean.decision_tree(t.parsed).select(
-    *POSITION, "transaction_id", "quarantine_reason"))
+named("quarantine_reasons_intent",
+      lambda t: clean.decision_tree(stage(t.parsed, "parsed")).select(
+          *POSITION, "transaction_id", "quarantine_reason"))
 named("filter_not_failed", lambda t: scans.not_failed(t.silver).select("transaction_id", "status"))
 named("filter_open_status",
       lambda t: scans.open_status(t.silver).select("transaction_id", "status"))

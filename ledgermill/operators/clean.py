@@ -111,6 +111,8 @@ def tag_rows(df: DataFrame, **constants) -> DataFrame:
 def decision_tree(parsed: DataFrame) -> DataFrame:
     """First failing rule of each row in ``quarantine_reason``, NULL where the row is accepted.
 
+    ``parsed`` is read twice, so stage it first.
+
     Only the first arrival of an id among the otherwise acceptable rows is accepted. The first
     arrival of every repeated id is found by a grouped minimum, which merges map-side, and joined
     back: no task ever holds all copies of one id, as a window over the id would.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import schemas
 from ledgermill.operators import clean, dedup
+from ledgermill.plans import profile
 from ledgermill.plans import transactions as tx
 from ledgermill.sources import transport
 from ledgermill.streaming import flows, velocity
@@ -152,6 +153,13 @@ def test_upsert_per_batch_equals_batch_dedup(spark, folder, bronze):
         dedup.dedup_latest(clean.clean_transactions(bronze)).select(*columns))
 
 
+def test_running_tallies(spark, folder, bronze):
+    tallies = profile.tally(stream(spark, folder, 2))
+    writer = tallies.writeStream.outputMode("complete").format("memory").queryName("tallies")
+    flows.run_available(spark, writer.option("checkpointLocation", new_path(spark, "checkpoint")))
+    assert rows(spark.table("tallies")) == rows(profile.tally(bronze))
+
+
 def test_trailing_sums():
     import numpy as np
     sums = velocity.trailing_sums(np.array([0, 5, 10, 11]), np.array([1, 2, 3, 4]), 10)
