@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MONEY = "decimal(28,2)"
+SALTS = 64
 
 
 def rows() -> Column:
@@ -41,6 +43,25 @@ def percent(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(F.try_divide(part * 100, whole), scale)
 
 
+def quantiles_by(
+    df: DataFrame, keys: Sequence[str], others: Sequence[Column], named: Mapping[str, float],
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Approximate amount quantiles per group, all from one sketch, beside other aggregates.
+
+    Every task ships a sketch per group, and a sketch may be large. The distinct count of a salt
+    makes Spark merge the sketches of each salt first, so a group with a third of all rows is
+    merged by many tasks and not by one. The count itself is only there to be needed.
+    """
+    salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    sketch = F.percentile_approx("amount", list(named.values()), accuracy)
+    grouped = salted.groupBy(*keys).agg(
+        *others, sketch.alias("_quantiles"), F.count_distinct("_salt").alias("_salts"))
+    merged = F.when(F.col("_salts") > 0, F.col("_quantiles"))
+    return grouped.withColumns(
+        {name: merged[i] for i, name in enumerate(named)}).drop("_quantiles", "_salts")
+
+
 def distinct_days(column: str, last_day: Column, span: int) -> Column:
     """Number of distinct days among the ``span`` days that end on ``last_day``.
 

@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgermill.functions.measures import rows, total
+from ledgermill.functions.measures import quantiles_by, rows, total
 from ledgermill.functions.times import day
 from ledgermill.operators.clean import tag_rows, unify_versions
 from ledgermill.sources.scans import TRANSACTION_LOOKBACK, has_payment, scan_lookback
@@ -23,31 +23,22 @@ def _volume() -> list[Column]:
 
 
 def quantiles(df: DataFrame, keys: list[str], accuracy: int = 10_000) -> DataFrame:
-    """Amount quantiles per group, all from one sketch."""
-    return _spread(df.groupBy(*keys).agg(_sketch(accuracy)))
-
-
-def _sketch(accuracy: int = 10_000) -> Column:
-    return F.percentile_approx("amount", list(QUANTILES.values()), accuracy).alias("_quantiles")
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    named = {name: F.col("_quantiles")[i] for i, name in enumerate(QUANTILES)}
-    return df.withColumns(named).drop("_quantiles")
+    """Amount quantiles per group."""
+    return quantiles_by(df, keys, [], QUANTILES, accuracy)
 
 
 def daily_by_type(transactions: DataFrame) -> DataFrame:
     status = F.col("status")
-    grouped = transactions.groupBy("event_date", "transaction_type", "currency").agg(
+    measures = [
         *_volume(),
         F.avg("amount").alias("avg_amount"),
-        _sketch(),
         F.count_if(status == "completed").alias("completed_count"),
         F.count_if(status == "failed").alias("failed_count"),
         F.count_if("is_late_arrival").alias("late_arrival_count"),
-    )
+    ]
+    keys = ["event_date", "transaction_type", "currency"]
     return (
-        _spread(grouped)
+        quantiles_by(transactions, keys, measures, QUANTILES)
         .withColumn("success_rate", F.col("completed_count") / F.col("tx_count"))
         .withColumn("granularity", F.lit("daily_by_type"))
     )

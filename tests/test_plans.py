@@ -54,7 +54,14 @@ def test_dedup_cuts_copies_before_the_shuffle(silver):
 
 def test_customer_aggregate_does_not_expand_rows(silver):
     text = plan(cust.customer_core_agg(silver, "2024-01-30"))
-    assert "Expand" not in text and text.count("Exchange") == 2
+    # Two levels each for values and sketches, then at most a broadcast.
+    assert "Expand" not in text and text.count("Exchange hashpartitioning") == 4
+
+
+def test_sketches_of_a_hot_group_are_merged_in_two_levels(silver):
+    text = plan(tx.daily_by_type(silver))
+    assert re.search(r"keys=\[event_date#\d+, transaction_type#\d+, currency#\d+, _salt#\d+\], "
+                     r"functions=\[.*merge_percentile_approx", text)
 
 
 def test_quality_report_scans_once(silver, spark):
