@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
 from checks.compare import connect, difference
+from ledgermill import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
