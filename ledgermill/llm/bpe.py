@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh
+from ledgermill.llm.common import arrow, fresh
 
 #: Words that a worker keeps; about 350 bytes each.
 CACHE = 300_000
@@ -154,7 +154,7 @@ def mapped(docs: DataFrame, carry: list[str], schema: str,
     out = docs.select(*carry).schema
     for field in made:
         out = out.add(field)
-    arrow = [pa.int64() if f.dataType.typeName() == "long" else pa.binary()
+    kinds = [pa.int64() if f.dataType.typeName() == "long" else pa.binary()
              if f.dataType.typeName() == "binary" else pa.string() for f in made]
     names = [*carry, *made.names]
 
@@ -162,11 +162,11 @@ def mapped(docs: DataFrame, carry: list[str], schema: str,
         coder = encoder(vocabulary)
         for batch in batches:
             found = [row(coder.encode(x.as_py()), coder) for x in batch.column(batch.num_columns - 1)]
-            columns = list(zip(*found)) or [()] * len(arrow)
+            columns = list(zip(*found)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, arrow))], names=names)
+                [*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, kinds))], names=names)
 
-    return kept.mapInArrow(run, out)
+    return kept.transform(arrow, run, out)
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.workspace import stage
+from ledgermill.llm import files
+from ledgermill.workspace import shared_root, stage
 
 #: Words are runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,6 +22,33 @@ BLANK = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Once per application, give all Python workers this package from the shared folder, so that
+    executors need not have it installed and workers keep its modules between tasks."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as out:
+        for file in sorted((top / "ledgermill").rglob("*.py")):
+            out.write(file, file.relative_to(top))
+    path = f"{shared_root(spark)}/ledgermill.zip"
+    files.put(path, content.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
+
+
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+          schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh
+from ledgermill.llm.common import arrow, fresh
 
 DIMENSIONS, GRAM, SEED = 1024, 3, 20
 UNKNOWN = "und"
@@ -144,8 +144,8 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                  pa.array([v.astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))],
                 names=["lang", "v"])
 
-    parts = rows.select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(
-        run, "lang string, v array<long>")
+    parts = rows.select(F.col("lang").cast("string"), F.col("text").cast("string")).transform(
+        arrow, run, "lang string, v array<long>")
     total = (parts.select("lang", F.posexplode("v").alias("k", "x"))
              .groupBy("lang", "k").agg(F.sum("x").alias("x"))
              .groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))),
@@ -194,7 +194,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
     schema = rows.select("doc_id", "held_out", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(run, schema)
+    return rows.transform(arrow, run, schema)
 
 
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
@@ -214,4 +214,4 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
             yield batch.select(columns).filter(keep)
 
     rows = docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text").cast("string").alias(text))
-    return rows.mapInArrow(run, docs.schema)
+    return rows.transform(arrow, run, docs.schema)

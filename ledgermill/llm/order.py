@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm import files
+from ledgermill.llm.common import arrow
 from ledgermill.workspace import new_path, stage
 
 LENGTH, PER_SHARD, KEY = 256, 8192, 0x5EED
@@ -111,8 +112,8 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = No
                  pa.array(count, pa.int64()), pa.array(tokens, pa.binary())],
                 names=["doc_id", "part", "n_tokens", "tokens"])
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {kind}, part long, n_tokens long, tokens binary")
+    return docs.select("doc_id", F.col("text").cast("string")).transform(
+        arrow, run, f"doc_id {kind}, part long, n_tokens long, tokens binary")
 
 
 def numbered(found: DataFrame) -> tuple[DataFrame, int]:
@@ -179,9 +180,9 @@ def materialise(docs: DataFrame, folder: str, length: int = LENGTH, per_shard: i
         if current >= 0:
             yield flush()
 
-    packed = rows.select("number", "tokens").mapInArrow(pack, "shard long, slots binary, lines binary")
+    packed = rows.select("number", "tokens").transform(arrow, pack, "shard long, slots binary, lines binary")
     wrote = stage(packed.repartitionByRange("shard").sortWithinPartitions("shard")
-                  .mapInArrow(write, "shard long, bytes long"), "shards")
+                  .transform(arrow, write, "shard long, bytes long"), "shards")
     if wrote.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] != n * stride:
         raise RuntimeError("shards are incomplete")
     files.put(f"{folder}/manifest.json", json.dumps(
@@ -194,7 +195,7 @@ def materialise(docs: DataFrame, folder: str, length: int = LENGTH, per_shard: i
                                              names=["doc_id", "part", "n_tokens", "slot"])
 
     narrow = rows.select("doc_id", "part", "n_tokens", "number")
-    return narrow.mapInArrow(place, narrow.withColumnRenamed("number", "slot").schema)
+    return narrow.transform(arrow, place, narrow.withColumnRenamed("number", "slot").schema)
 
 
 def manifest(folder: str) -> dict:
@@ -235,8 +236,8 @@ def read_back(spark: SparkSession, folder: str) -> DataFrame:
                      pa.array(crcs, pa.int64())], names=["slot", "shard", "byte_offset", "record_crc32"])
 
     shards = -(-n // per_shard)
-    return spark.range(0, shards, 1, max(1, min(shards, 100_000))).mapInArrow(
-        run, "slot long, shard long, byte_offset long, record_crc32 long")
+    return spark.range(0, shards, 1, max(1, min(shards, 100_000))).transform(
+        arrow, run, "slot long, shard long, byte_offset long, record_crc32 long")
 
 
 def training_order(docs: DataFrame, length: int = LENGTH, per_shard: int = PER_SHARD,

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm.common import arrow
 from ledgermill.workspace import stage
 
 BUCKETS, SEED = 8192, 23
@@ -66,7 +67,7 @@ def log_ratios(docs: DataFrame, good: DataFrame) -> np.ndarray:
             names=["bucket", "raw", "good"])
 
     sums = (marked.select(F.col("text").cast("string"), "target")
-            .mapInArrow(run, "bucket long, raw long, good long")
+            .transform(arrow, run, "bucket long, raw long, good long")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect())
     counts = np.ones((2, BUCKETS))
     for r in sums:  # BUCKETS rows
@@ -145,6 +146,6 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None,
 
     rows = docs.select("doc_id", F.col("text").cast("string"))
     schema = rows.select("doc_id", F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("gumbel_key")).schema
-    scored = stage(rows.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()), "scored")
+    scored = stage(rows.transform(arrow, run, schema).withColumn("uid", F.monotonically_increasing_id()), "scored")
     keep = top(scored, "gumbel_key", "uid", int(share * scored.count() + 0.5))
     return scored.select("doc_id", "log_weight", "gumbel_key", keep.alias("kept"))

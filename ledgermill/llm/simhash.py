@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import anchored, fresh
+from ledgermill.llm.common import anchored, arrow, fresh
 from ledgermill.llm.graph import components
 from ledgermill.workspace import stage
 
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, carry: list[str], words: int = WORDS) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values)], names=[*carry, "fp"])
 
-    return kept.mapInArrow(run, schema)
+    return kept.transform(arrow, run, schema)
 
 
 def masks(entries: int, radius: int = RADIUS) -> list[int]:
@@ -145,7 +145,7 @@ def links(entries: DataFrame, radius: int = RADIUS, slice_rows: int = SLICE) ->
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
                 rest = [x[done:] for x in rest]
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.transform(arrow, run, "a long, b long")
 
 
 def forest(fp: np.ndarray, cell: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import files
-from ledgermill.llm.common import anchored
+from ledgermill.llm.common import anchored, arrow
 from ledgermill.workspace import new_path, stage
 
 LINES, LEAST_PAYLOAD = 1000, 100
@@ -143,7 +143,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
             out.close()
 
     return stage(marked.withColumn("page_id", F.col("page_id").cast("long"))
-                 .withColumn("refers_to", F.col("refers_to").cast("long")).mapInArrow(run, _CAPTURE_SQL), "captures")
+                 .withColumn("refers_to", F.col("refers_to").cast("long")).transform(arrow, run, _CAPTURE_SQL), "captures")
 
 
 _CAPTURE = pa.schema([("key", pa.string()), ("id", pa.int64()), ("file", pa.string()),
@@ -189,7 +189,7 @@ def build_index(captures: DataFrame, folder: str, lines: int = LINES) -> list[di
 
     made = stage(
         captures.repartitionByRange("key", "id").sortWithinPartitions("key", "id", "file", "offset")
-        .mapInArrow(run, "part string, low_key string, low_id long, high_key string, high_id long, blocks long"),
+        .transform(arrow, run, "part string, low_key string, low_id long, high_key string, high_id long, blocks long"),
         "index-parts")
     return [r.asDict() for r in made.orderBy("low_key", "low_id").collect()]
 
@@ -251,9 +251,9 @@ def lookup(queries: DataFrame, folder: str, parts: list[dict]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 5, _CAPTURE.types)], schema=_CAPTURE)
 
-    asked = queries.select("key", "id").distinct().mapInArrow(route, "key string, id long, part int")
+    asked = queries.select("key", "id").distinct().transform(arrow, route, "key string, id long, part int")
     return (asked.repartitionByRange("part", "key", "id").sortWithinPartitions("part", "key", "id")
-            .mapInArrow(search, _CAPTURE_SQL))
+            .transform(arrow, search, _CAPTURE_SQL))
 
 
 _PAGE_SQL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -275,7 +275,7 @@ def read(captures: DataFrame, folder: str) -> DataFrame:
 
     span = F.floor(F.col("offset") / READ)
     return (captures.select("file", "offset", "length").repartition("file", span)
-            .sortWithinPartitions("file", "offset").mapInArrow(run, _PAGE_SQL))
+            .sortWithinPartitions("file", "offset").transform(arrow, run, _PAGE_SQL))
 
 
 _PAGE = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
@@ -292,7 +292,7 @@ def keys(pages: DataFrame) -> DataFrame:
                 [pa.array([surt(x) for x in batch.column(0).to_pylist()], pa.string()), pa.array(ids, pa.int64())],
                 names=["key", "id"])
 
-    return pages.select(F.col("url").cast("string"), F.col("page_id").cast("long")).mapInArrow(run, "key string, id long")
+    return pages.select(F.col("url").cast("string"), F.col("page_id").cast("long")).transform(arrow, run, "key string, id long")
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
