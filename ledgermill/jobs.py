@@ -3,8 +3,8 @@
     python -m ledgermill.jobs --lake s3a://bucket/lake ingest --servers broker:9092
     python -m ledgermill.jobs --lake s3a://bucket/lake day --process-date 2024-01-30
 
-``gate`` and ``freshness`` end with status 1 when the answer is no; ``day`` runs refine, check
-and, where the gate is open, gold.
+``day`` runs refine, check and, where the gate is open, gold. ``check``, ``day``, ``gate`` and
+``freshness`` end with status 1 when the answer is no.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from ledgermill import schemas
+from ledgermill.operators import quality
 from ledgermill.plans import daily
 from ledgermill.session import build_session
 from ledgermill.sources import transport
@@ -37,6 +38,9 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--starting-offsets", default="latest")
     ingest.add_argument("--trigger-interval", default=flows.TRIGGER)
     ingest.add_argument("--once", action="store_true", help="stop when all input is read")
+    ingest.add_argument("--max-offsets", type=int, help="messages of one trigger; all by default")
+    ingest.add_argument("--accept-data-loss", action="store_true",
+                        help="go on where messages expired unread")
 
     today = dt.datetime.now(dt.timezone.utc).date().isoformat()
     for name, text in {
@@ -44,15 +48,29 @@ def parser() -> argparse.ArgumentParser:
         "gold": "gold snapshots of a day", "day": "refine, check, gold",
         "gate": "may the day proceed?",
     }.items():
-        jobs.add_parser(name, help=text).add_argument("--process-date", default=today)
-    jobs.add_parser("freshness", help="has bronze grown within two hours?")
+        job = jobs.add_parser(name, help=text)
+        job.add_argument("--process-date", default=today)
+        if name in ("check", "day"):
+            job.add_argument("--as-of", help="moment of checking; now, or the end of a past day")
+            job.add_argument("--threshold", action="append", default=[], metavar="CHECK=RATE",
+                             type=threshold, help="least pass rate of a check")
+    fresh = jobs.add_parser("freshness", help="has bronze grown within two hours?")
+    fresh.add_argument("--as-of", help="moment of checking, now by default")
     return main
 
 
+def threshold(text: str) -> tuple[str, float]:
+    name, _, rate = text.partition("=")
+    if name not in quality.CHECKS:
+        raise argparse.ArgumentTypeError(f"checks are {', '.join(quality.CHECKS)}")
+    return name, float(rate)
+
+
 def ingest(spark: SparkSession, lake: daily.Lake, options: argparse.Namespace) -> None:
     if options.servers:
         messages = transport.kafka_stream(
-            spark, options.servers, options.topic, options.starting_offsets)
+            spark, options.servers, options.topic, options.starting_offsets,
+            options.max_offsets, not options.accept_data_loss)
     else:
         messages = transport.file_stream(spark, options.files)
     bronze, checkpoint = transport.bronze_project(messages), lake.path("_checkpoints", "bronze")
@@ -72,15 +90,20 @@ def run(spark: SparkSession, arguments: list[str]) -> int:
         elif options.job == "refine":
             print(json.dumps(daily.refine_day(spark, lake, options.process_date)))
         elif options.job == "check":
-            daily.check_day(spark, lake, options.process_date)
+            passed = daily.check_day(
+                spark, lake, options.process_date, options.as_of, dict(options.threshold))
+            return 0 if passed else 1
         elif options.job == "gold":
             daily.gold_day(spark, lake, options.process_date)
         elif options.job == "day":
-            print(json.dumps(daily.run_day(spark, lake, options.process_date)))
+            result = daily.run_day(
+                spark, lake, options.process_date, options.as_of, dict(options.threshold))
+            print(json.dumps(result))
+            return 0 if result["gate_passed"] else 1
         elif options.job == "gate":
             return 0 if daily.gate_open(spark, lake, options.process_date) else 1
         else:
-            return 0 if daily.bronze_is_fresh(spark, lake) else 1
+            return 0 if daily.bronze_is_fresh(spark, lake, options.as_of) else 1
     return 0
 
 

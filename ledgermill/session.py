@@ -22,36 +22,25 @@ SETTINGS = {
 }
 
 
-def object_store(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
-    """Settings for an S3-compatible store addressed by path."""
-    prefix = "spark.hadoop.fs.s3a."
-    return {
-        prefix + "endpoint": endpoint,
-        prefix + "access.key": access_key,
-        prefix + "secret.key": secret_key,
-        prefix + "path.style.access": "true",
-        prefix + "impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
-    }
-
-
-def partitions_for(shuffle_bytes: int, task_bytes: int = 200 * 1024 * 1024) -> int:
-    """Shuffle partitions that give a task about ``task_bytes``; adaptive execution merges more."""
-    return max(1, -(-shuffle_bytes // task_bytes))
-
-
 def build_session(
     app_name: str = "ledgermill",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    shared_folder: str | None = None,
 ) -> SparkSession:
-    """A UTC session with adaptive execution; ``extra`` wins over the defaults."""
+    """A UTC session with adaptive execution; ``extra`` wins over the defaults.
+
+    ``shared_folder`` is where working tables go, a folder that all executors reach.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(SETTINGS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shared_folder:
+        settings["spark.checkpoint.dir"] = shared_folder
     settings.update(extra or {})
     for name, value in settings.items():
         builder = builder.config(name, value)

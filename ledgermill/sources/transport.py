@@ -6,25 +6,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgermill import schemas
 
-# Fixed value: back-pressure limit of one trigger.
-MAX_OFFSETS = 100_000
 
-
-def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    return {
+def kafka_options(
+    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
+) -> dict[str, str]:
+    """Source options. A trigger takes all there is unless ``max_offsets`` limits it, and messages
+    that expired unread are an error unless their loss is accepted."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(MAX_OFFSETS),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return options
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str = schemas.TOPIC, starting: str = "latest"
+    spark: SparkSession, servers: str, topic: str = schemas.TOPIC, starting: str = "latest",
+    max_offsets: int | None = None, fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Messages from a broker. Needs the Kafka connector on the class path."""
-    options = kafka_options(servers, topic, starting)
+    options = kafka_options(servers, topic, starting, max_offsets, fail_on_data_loss)
     return spark.readStream.format("kafka").options(**options).load()
 
 

@@ -7,15 +7,19 @@ column pruning, which ``checkpoint()`` files do not offer.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
-_scopes: list[list[str]] = []
+# The innermost scope of this thread's context: a streaming batch, which runs in another thread,
+# never leaves its files to a scope it doesn't know.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -25,15 +29,18 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="ledgermill-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="ledgermill-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/ledgermill-{app}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet."""
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -43,13 +50,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     After a failure everything stays, as it may hold the only full copy of a partition.
     """
-    _scopes.append([])
+    staged: list[str] = []
+    token = _scope.set(staged)
     try:
         yield
-    except BaseException:
-        _scopes.pop()
-        raise
-    for path in _scopes.pop():
+    finally:
+        _scope.reset(token)
+    for path in staged:
         remove(spark, path)
 
 
@@ -84,3 +91,6 @@ def remove(spark: SparkSession, path: str) -> None:
 def drop_workspace(spark: SparkSession) -> None:
     """Delete everything this application staged. Frames read from it become unusable."""
     remove(spark, shared_root(spark))
+    own = _local_roots.pop(spark.sparkContext.applicationId, None)
+    if own:
+        shutil.rmtree(own, ignore_errors=True)

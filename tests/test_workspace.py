@@ -1,11 +1,12 @@
 """Working tables, session helpers, scores."""
 
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill import session, workspace
+from ledgermill import workspace
 from ledgermill.functions import measures, scoring
 from ledgermill.functions.text import draw, pick
 
@@ -47,17 +48,35 @@ def test_a_cluster_needs_a_shared_folder():
         workspace.shared_root(Session())
 
 
-def test_partitions_for():
-    assert session.partitions_for(100 * 1024**4) == 524_288
-    assert session.partitions_for(0) == 1
-    assert session.object_store("e", "a", "s")["spark.hadoop.fs.s3a.endpoint"] == "e"
+def test_another_thread_keeps_its_tables(spark):
+    """A streaming batch stages while the main thread is in a scope of its own."""
+    made = []
+
+    def batch():
+        made.append(workspace.stage(spark.range(5), "other"))
+
+    with workspace.scratch(spark):
+        thread = threading.Thread(target=batch)
+        thread.start()
+        thread.join()
+        workspace.stage(spark.range(3), "own")
+    assert made[0].count() == 5
+
+
+def test_nested_scopes(spark):
+    with workspace.scratch(spark):
+        outer = workspace.stage(spark.range(3), "outer")
+        with workspace.scratch(spark):
+            workspace.stage(spark.range(3), "inner")
+        assert outer.count() == 3
 
 
 def test_tiers_and_levels(spark):
     scores = spark.range(16).select(scoring.activity_tier(F.col("id")).alias("t")).collect()
     assert [r["t"] for r in scores] == (
         ["churned"] * 4 + ["at_risk"] * 2 + ["potential"] * 3 + ["loyal"] * 3 + ["champion"] * 4)
-    levels = spark.range(12).select(scoring.outsized_level(F.col("id")).alias("l")).collect()
+    levels = spark.range(12).select(
+        scoring.outsized_level(F.col("id"), F.lit(1)).alias("l")).collect()
     assert [r["l"] for r in levels] == ["MEDIUM"] * 6 + ["HIGH"] * 5 + ["CRITICAL"]
 
 
