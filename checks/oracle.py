@@ -6,8 +6,9 @@ would decide exact halves by its binary error.
 
 from __future__ import annotations
 
-SNAPSHOTS = ["2024-01-28", "2024-01-29", "2024-01-30"]
+SNAPSHOTS = ["2024-01-15", "2024-01-29", "2024-01-30", "2024-01-31"]
 DAY = "DATE '2024-01-30'"
+REPORT_DAY = ["2024-01-30"]
 MERGE_DAY = "DATE '2024-01-16'"
 LIMIT_DAY = 86_400
 
@@ -46,7 +47,6 @@ CATEGORIES = ("['grocery','restaurant','travel','entertainment','healthcare','ut
               "'online_retail','fuel']")
 PAYMENTS = "['credit_card','debit_card','pix','wire_transfer','cash']"
 ACCOUNT_TYPES = "['checking','savings','investment','credit']"
-SEGMENTS = "['retail','premium','private','sme','corporate']"
 
 PAYLOAD = [
     "transaction_id", "account_id", "customer_id", "transaction_type", "amount", "currency",
@@ -87,7 +87,9 @@ sent AS (
   SELECT event_id % 500 = 499 AS corrupt, event_id,
     CASE WHEN event_id % 40 = 3 THEN ' ' || txn || ' ' ELSE txn END AS transaction_id,
     CASE WHEN event_id % 40 = 3 THEN ' ' || acc || ' ' ELSE acc END AS account_id,
-    CASE WHEN event_id % 100 <> 7 THEN printf('CUS%08d', user_id) END AS customer_id,
+    CASE WHEN event_id % 100 <> 7 THEN
+      printf('CUS%08d', user_id + CASE WHEN event_id % 90 = 31 THEN 50000000 ELSE 0 END)
+    END AS customer_id,
     CASE WHEN event_id % 5 = 2 THEN ' ' || upper(kind) ELSE kind END AS transaction_type,
     CAST(CASE WHEN event_id % 300 = 19 THEN 0 WHEN event_id % 20 = 13 THEN -amt ELSE amt END
          AS DECIMAL(18,2)) AS amount,
@@ -183,9 +185,6 @@ customers AS (
       AS updated_at
   FROM customer JOIN nation ON c_nationkey = n_nationkey
 )"""
-FUNDED = """
-funded AS (SELECT printf('CUS%08d', c_custkey) AS customer_id FROM customer
-           WHERE c_acctbal >= 0)"""
 ACCOUNTS = f"""
 accounts AS (
   SELECT printf('ACC%08d', c_custkey * 2 + nth) AS account_id,
@@ -198,7 +197,7 @@ accounts AS (
     CAST(DATE '2019-01-01' + CAST(c_custkey % 1800 AS INTEGER) AS TIMESTAMP) AS created_at
   FROM customer, (VALUES (0), (1)) n(nth)
 )"""
-LEDGER = [SENT, BRONZE, PARSED, CLEAN, SILVER, CUSTOMERS, FUNDED, ACCOUNTS]
+LEDGER = [SENT, BRONZE, PARSED, CLEAN, SILVER, CUSTOMERS, ACCOUNTS]
 
 
 def ledger(select: str, *more: str) -> str:
@@ -337,14 +336,20 @@ velocity AS (
 )"""
 
 
+# The amount divided by the mean as decimals, with sixteen digits.
+_SIXTEEN = half_up("CAST(amount * 100 AS HUGEINT) * 100000000000000000000",
+                   "CAST(customer_avg_amount * 1000000 AS HUGEINT)")
+DECIMAL_RATIO = (f"CAST(CAST({_SIXTEEN} AS DECIMAL(21,0)) * "
+                 "CAST('0.0000000000000001' AS DECIMAL(17,16)) AS DECIMAL(38,16))")
+
+
 def outsized(name: str, means: str, join: str) -> str:
     return f"""
 {name} AS (
   SELECT account_id, t.customer_id, transaction_id, amount, customer_avg_amount,
-    CAST(amount AS DOUBLE) / CAST(customer_avg_amount AS DOUBLE) AS amount_vs_avg_ratio,
+    {DECIMAL_RATIO} AS amount_vs_avg_ratio,
     "timestamp", 'large_transaction' AS risk_signal,
-    CASE WHEN CAST(amount AS DOUBLE) / CAST(customer_avg_amount AS DOUBLE) > 10 THEN 'CRITICAL'
-         WHEN CAST(amount AS DOUBLE) / CAST(customer_avg_amount AS DOUBLE) > 5 THEN 'HIGH'
+    CASE WHEN {DECIMAL_RATIO} > 10 THEN 'CRITICAL' WHEN {DECIMAL_RATIO} > 5 THEN 'HIGH'
          ELSE 'MEDIUM' END AS risk_level
   FROM silver t JOIN ({means}) m ON {join}
   WHERE amount > customer_avg_amount * 3
@@ -403,7 +408,30 @@ _FAILED = {
 }
 
 
-def dq(dimension: str) -> str:
+DAILY_VOLUME = """
+calendar AS (
+  SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE)
+    AS process_date FROM silver),
+daily AS (
+  SELECT process_date, count(transaction_id) AS total_count
+  FROM calendar LEFT JOIN silver ON event_date = process_date GROUP BY process_date),
+volume AS (
+  SELECT process_date, total_count, history_days, lower_bound, upper_bound,
+    CASE WHEN history_days < 7 OR total_count BETWEEN lower_bound AND upper_bound
+         THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM (
+    SELECT process_date, total_count, coalesce(n, 0) AS history_days,
+      CAST(s AS DOUBLE) / n - 3 * (sqrt(CAST(q * n - s * s AS DOUBLE)) / n) AS lower_bound,
+      CAST(s AS DOUBLE) / n + 3 * (sqrt(CAST(q * n - s * s AS DOUBLE)) / n) AS upper_bound
+    FROM daily LEFT JOIN (
+      SELECT d.process_date, count(*) AS n, sum(p.total_count) AS s,
+        sum(CAST(p.total_count AS HUGEINT) * p.total_count) AS q
+      FROM daily d JOIN daily p
+        ON p.process_date BETWEEN d.process_date - 7 AND d.process_date - 1
+      GROUP BY d.process_date) USING (process_date)))"""
+
+
+def dq() -> str:
     lines = [
         f"SELECT event_date, '{name}' AS check_name, CAST({least} AS DOUBLE) AS threshold, "
         f"count(*) FILTER ({test}) AS failed_count, count(*) AS total_count "
@@ -412,13 +440,16 @@ def dq(dimension: str) -> str:
     ]
     lines.append(
         "SELECT event_date, 'referential_integrity_customer', CAST(0.99 AS DOUBLE), "
-        f"count(*) FILTER (customer_id NOT IN (SELECT customer_id FROM {dimension})), count(*) "
+        "count(*) FILTER (customer_id NOT IN (SELECT customer_id FROM customers)), count(*) "
         "FROM silver GROUP BY event_date")
     lines.append(
         "SELECT event_date, 'freshness_2h', CAST(1 AS DOUBLE), CAST(max(\"timestamp\") < "
         "CAST(event_date + 1 AS TIMESTAMP) - INTERVAL 2 HOUR AS BIGINT), 1 "
         "FROM silver GROUP BY event_date")
-    return f"""
+    lines.append(
+        "SELECT process_date, 'volume_anomaly', CAST(1 AS DOUBLE), "
+        "CAST(status = 'FAIL' AS BIGINT), 1 FROM volume")
+    return f"""{DAILY_VOLUME},
 checks AS ({' UNION ALL '.join(lines)}),
 dq AS (
   SELECT check_name,
@@ -433,7 +464,7 @@ dq AS (
 
 def dq_only(check: str) -> str:
     return ledger(
-        f"SELECT * EXCLUDE (checked_at) FROM dq WHERE check_name = '{check}'", dq("funded"))
+        f"SELECT * EXCLUDE (checked_at) FROM dq WHERE check_name = '{check}'", dq())
 
 
 # --- merge ----------------------------------------------------------------------------------
@@ -443,7 +474,7 @@ stored AS ({latest('clean', f"event_date < {MERGE_DAY}", "ASC")}),
 merged AS (
   SELECT s.transaction_id,
     CASE WHEN t.transaction_id IS NULL THEN 'insert'
-         WHEN s.ingestion_timestamp > t.ingestion_timestamp THEN 'update' ELSE 'keep' END
+         WHEN s.ingestion_timestamp > t.ingestion_timestamp THEN 'update' ELSE 'duplicate' END
       AS _action, s AS src, t AS tgt
   FROM silver s LEFT JOIN stored t ON s.transaction_id = t.transaction_id
 )"""
@@ -478,6 +509,7 @@ spend AS (
     {money('sum(amount)')} AS total_amount, {mean('sum(amount)', 'count(*)')} AS avg_amount
   FROM silver t LEFT JOIN customers c ON t.customer_id = c.customer_id
     LEFT JOIN accounts a ON t.account_id = a.account_id
+  WHERE event_date BETWEEN {DAY} - 30 AND {DAY}
   GROUP BY t.customer_id, segment, country, account_type
 )"""
 SIGNAL = ("{account} AS account_id, {customer} AS customer_id, risk_signal, risk_level, "
@@ -574,7 +606,7 @@ def oracle_sql() -> dict[str, str]:
            FROM gold_transactions GROUP BY process_date
            UNION ALL SELECT 'silver_dq_metrics', process_date, count(*)
            FROM dq GROUP BY process_date""",
-        snapshots(SNAPSHOTS), CORE, RECENT, GOLD_TRANSACTIONS, dq("funded"))
+        snapshots(SNAPSHOTS), CORE, RECENT, GOLD_TRANSACTIONS, dq())
 
     # sinks and table operations
     sql["bronze_sink"] = sql["stream_bronze"] = sql["bronze_project"]
@@ -588,18 +620,20 @@ def oracle_sql() -> dict[str, str]:
         "SELECT process_date, event_date, transaction_type, currency, count(*) AS tx_count, "
         f"{money('sum(amount)')} AS total_volume FROM recent "
         "GROUP BY process_date, event_date, transaction_type, currency",
-        snapshots(SNAPSHOTS), RECENT)
-    sql["dq_metrics_append"] = ledger("SELECT * EXCLUDE (checked_at) FROM dq", dq("customers"))
+        snapshots(SNAPSHOTS[:-1]), RECENT)
+    sql["dq_metrics_append"] = ledger("SELECT * EXCLUDE (checked_at) FROM dq", dq())
     sql["upsert_latest"] = ledger(f"SELECT {MERGED_COLUMNS}, _action FROM merged", MERGED)
     sql["upsert_table"] = ledger(f"SELECT {MERGED_COLUMNS} FROM merged", MERGED)
     sql["upsert_metrics"] = ledger(
-        "SELECT _action, count(*) AS row_count FROM merged GROUP BY _action", MERGED)
+        "SELECT CASE WHEN tgt.transaction_id IS NOT NULL AND src.event_date < DATE '2024-01-05' "
+        "THEN 'untouched' ELSE _action END AS _action, count(*) AS row_count FROM merged "
+        "GROUP BY ALL", MERGED)
     sql["upsert_generic"] = """
       SELECT o_orderkey, o_custkey,
         CASE WHEN o_orderdate >= DATE '1997-01-01' THEN 'C' ELSE o_orderstatus END
           AS o_orderstatus,
         o_totalprice, o_orderdate, o_orderpriority,
-        CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'keep'
+        CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'untouched'
              WHEN o_orderdate < DATE '1998-01-01' THEN 'update' ELSE 'insert' END AS _action
       FROM orders"""
     sql["table_exists"] = ledger(
@@ -666,7 +700,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT transaction_id, amount, payment_method, device_fingerprint, ip_country FROM silver")
 
     # joins
-    one = [snapshots(SNAPSHOTS[-1:]), CORE]
+    one = [snapshots(REPORT_DAY), CORE]
     sql["join_customer_left"] = ledger(
         "SELECT customer_id, recency_days, frequency, monetary, name, country, segment, "
         "preferred_currency, age FROM core LEFT JOIN customers USING (customer_id)", *one)
@@ -675,7 +709,7 @@ def oracle_sql() -> dict[str, str]:
         "recency_days, frequency, monetary FROM core", *one)
     sql["orphans_anti"] = ledger(
         "SELECT transaction_id, customer_id, amount FROM silver "
-        "WHERE customer_id NOT IN (SELECT customer_id FROM funded)")
+        "WHERE customer_id NOT IN (SELECT customer_id FROM customers)")
     sql["join_geo_inner"] = ledger(
         "SELECT customer_id, ip_country, country, anomalous_tx_count FROM geo", GEO)
     sql["join_exposure_inner"] = ledger(
@@ -689,6 +723,7 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN accounts a ON t.account_id = a.account_id
       GROUP BY t.customer_id, segment, country""")
     sql["join_two_dims_broadcast"] = ledger("SELECT * FROM spend", SPEND_BY_TYPE)
+    sql["benchmark_agg"] = sql["join_two_dims_broadcast"]
 
     # aggregations
     sql["customer_core_agg"] = ledger(
@@ -706,10 +741,6 @@ def oracle_sql() -> dict[str, str]:
         "SELECT transaction_type, currency, quantile_disc(amount, 0.5) AS p50_amount, "
         "quantile_disc(amount, 0.95) AS p95_amount, quantile_disc(amount, 0.99) AS p99_amount "
         "FROM silver GROUP BY transaction_type, currency")
-    sql["benchmark_agg"] = ledger(
-        "SELECT segment, country, account_type, CAST(sum(tx_count) AS BIGINT) AS tx_count, "
-        f"{money('sum(total_amount)')} AS total_amount FROM spend "
-        "GROUP BY segment, country, account_type", SPEND_BY_TYPE)
     sql["stream_profile"] = ledger("""
       SELECT stat, count(*) AS n FROM (
         SELECT unnest([
@@ -757,7 +788,7 @@ def oracle_sql() -> dict[str, str]:
       ORDER BY event_date DESC, total_volume DESC, transaction_type, currency""")
     sql["top10_by_spend"] = sql["rpt_top10_customers"] = _top10()
     sql["gold_transactions_union_intent"] = transaction_report(
-        "SELECT * FROM gold_transactions", SNAPSHOTS[-1:])
+        "SELECT * FROM gold_transactions", REPORT_DAY)
     sql["risk_signals_union_intent"] = ledger(
         " UNION ALL ".join([
             _signal("velocity", account="account_id", customer="customer_id",
@@ -808,30 +839,15 @@ def oracle_sql() -> dict[str, str]:
         "dq_freshness": "freshness_2h",
     }.items():
         sql[key] = dq_only(check)
-    sql["dq_report"] = ledger("SELECT * FROM dq", dq("funded"))
+    sql["dq_report"] = ledger("SELECT * FROM dq", dq())
     sql["dq_gate"] = ledger(
         "SELECT process_date, count(*) FILTER (status = 'FAIL') AS failed_checks, "
-        "bool_and(status <> 'FAIL') AS gate_passed FROM dq GROUP BY process_date", dq("funded"))
-    sql["dq_volume_intent"] = ledger("""
-      SELECT process_date, total_count, history_days, lower_bound, upper_bound,
-        CASE WHEN lower_bound IS NULL OR total_count BETWEEN lower_bound AND upper_bound
-             THEN 'PASS' ELSE 'FAIL' END AS status
-      FROM (
-        SELECT process_date, total_count, coalesce(n, 0) AS history_days,
-          CAST(s AS DOUBLE) / n - 3 * (sqrt(CAST(q * n - s * s AS DOUBLE)) / n) AS lower_bound,
-          CAST(s AS DOUBLE) / n + 3 * (sqrt(CAST(q * n - s * s AS DOUBLE)) / n) AS upper_bound
-        FROM daily LEFT JOIN (
-          SELECT d.process_date, count(*) AS n, sum(p.total_count) AS s,
-            sum(CAST(p.total_count AS HUGEINT) * p.total_count) AS q
-          FROM daily d JOIN daily p
-            ON p.process_date BETWEEN d.process_date - 7 AND d.process_date - 1
-          GROUP BY d.process_date) USING (process_date))""",
-        "daily AS (SELECT event_date AS process_date, count(*) AS total_count FROM silver "
-        "GROUP BY event_date)")
+        "bool_and(status <> 'FAIL') AS gate_passed FROM dq GROUP BY process_date", dq())
+    sql["dq_volume_intent"] = ledger("SELECT * FROM volume", DAILY_VOLUME)
     sql["bronze_freshness"] = ledger("""
       SELECT max(ingestion_timestamp) AS latest_ts,
         coalesce(max(ingestion_timestamp) >= TIMESTAMP '2024-01-30 22:00:00', false) AS is_fresh
-      FROM bronze""")
+      FROM bronze WHERE ingestion_date >= DATE '2024-01-30'""")
     sql["dq_score"] = ledger(f"""
       SELECT account_id, failed_count, total_count,
         CASE WHEN (total_count - failed_count) / total_count >= CAST(0.8 AS DOUBLE) THEN 'PASS'
@@ -864,12 +880,14 @@ def oracle_sql() -> dict[str, str]:
     sql["rpt_activity_trend"] = customer_report(f"""
       SELECT process_date, activity_tier, count(*) AS customer_count,
         {money('sum(total_spend)')} AS total_spend
-      FROM gold_customers WHERE process_date >= {DAY} - 30 GROUP BY process_date, activity_tier""")
+      FROM gold_customers WHERE process_date BETWEEN {DAY} - 30 AND {DAY}
+      GROUP BY process_date, activity_tier""")
     sql["rpt_new_vs_returning"] = customer_report(f"""
       SELECT process_date,
         count(*) FILTER (first_transaction_at >= process_date - 30) AS new_customers,
         count(*) FILTER (first_transaction_at < process_date - 30) AS returning_customers
-      FROM gold_customers WHERE process_date >= {DAY} - 7 GROUP BY process_date""")
+      FROM gold_customers WHERE process_date BETWEEN {DAY} - 7 AND {DAY}
+      GROUP BY process_date""")
     today = f"granularity = 'daily_by_type' AND process_date = {DAY}"
     sql["rpt_daily_summary"] = transaction_report(f"""
       SELECT event_date, transaction_type, currency, tx_count, {_rounded('total_volume')},
@@ -878,8 +896,9 @@ def oracle_sql() -> dict[str, str]:
         {ratio('completed_count', 'tx_count', 4, 2)} AS success_rate_pct, failed_count,
         late_arrival_count
       FROM gold_transactions WHERE {today}""")
-    week, latest_day = f"process_date >= {DAY} - 7", f"process_date = {DAY}"
-    sql["rpt_volume_trend"] = _by_day_and_type(f"process_date >= {DAY} - 30")
+    week, latest_day = f"process_date BETWEEN {DAY} - 7 AND {DAY}", f"process_date = {DAY}"
+    last_week = f"{latest_day} AND event_date BETWEEN {DAY} - 7 AND {DAY}"
+    sql["rpt_volume_trend"] = _by_day_and_type(f"process_date BETWEEN {DAY} - 30 AND {DAY}")
     sql["rpt_volume_trend_intent"] = _by_day_and_type(latest_day)
     sql["rpt_currency_breakdown"] = _breakdown(
         f"currency, total_transactions, {money('v')} AS total_volume, "
@@ -891,19 +910,19 @@ def oracle_sql() -> dict[str, str]:
              WHEN failed_count * 100 / tx_count > 2 THEN 'WARNING' ELSE 'OK' END AS status
       FROM gold_transactions WHERE {today}""")
     sql["rpt_peak_hours"] = _by_hour_of_day(week)
-    sql["rpt_peak_hours_intent"] = _by_hour_of_day(f"{latest_day} AND event_date >= {DAY} - 7")
+    sql["rpt_peak_hours_intent"] = _by_hour_of_day(last_week)
     sql["rpt_late_impact"] = _late_by_day(week)
-    sql["rpt_late_impact_intent"] = _late_by_day(f"{latest_day} AND event_date >= {DAY} - 7")
+    sql["rpt_late_impact_intent"] = _late_by_day(last_week)
     sql["rpt_dq_dashboard"] = ledger(f"""
       SELECT process_date, check_name, status,
         {ratio('total_count - failed_count', 'total_count', 6, 4)} AS pass_rate_pct,
         round(threshold * 100, 2) AS threshold_pct, failed_count, total_count, checked_at
-      FROM dq WHERE process_date >= {DAY} - 7""", dq("funded"))
+      FROM dq WHERE process_date BETWEEN {DAY} - 7 AND {DAY}""", dq())
 
     # gold, star schema, generated input
-    sql["gold_customers"] = customer_report("SELECT * FROM gold_customers", SNAPSHOTS[-1:])
+    sql["gold_customers"] = customer_report("SELECT * FROM gold_customers", REPORT_DAY)
     sql["gold_transactions"] = ledger(
-        by_type("recent", "process_date, "), snapshots(SNAPSHOTS[-1:]), RECENT)
+        by_type("recent", "process_date, "), snapshots(REPORT_DAY), RECENT)
     sql["gold_risk"] = ledger(
         f"SELECT *, {DAY} AS process_date FROM ({volume} WHERE event_date = {DAY} "
         "GROUP BY event_date, currency)")
@@ -915,11 +934,19 @@ def oracle_sql() -> dict[str, str]:
         isodow(date) >= 6 AS is_weekend
       FROM (SELECT CAST(unnest(generate_series(min(event_date), max(event_date),
               INTERVAL 1 DAY)) AS DATE) AS date FROM silver)""")
-    merchant = "md5(coalesce(merchant, '') || '|' || coalesce(merchant_category, ''))"
+    merchant = ("md5('{\"merchant\":\"' || merchant || '\"' || coalesce("
+                "',\"merchant_category\":\"' || merchant_category || '\"', '') || '}')")
     sql["dim_merchant_intent"] = ledger(
         f"SELECT DISTINCT {merchant} AS merchant_key, merchant, merchant_category FROM silver "
         "WHERE merchant IS NOT NULL")
     sql["dim_account_intent"] = ledger("SELECT * FROM accounts")
+    sql["dim_product_intent"] = f"""
+      SELECT printf('PRD%08d', p_partkey) AS product_id, p_name AS product_name,
+        {ACCOUNT_TYPES}[p_partkey % 4 + 1] AS category, p_size / 4 AS interest_rate,
+        CASE WHEN p_partkey % 10 = 0 THEN 'discontinued' ELSE 'active' END AS status,
+        CAST(p_retailprice AS DECIMAL(18,2)) AS minimum_balance,
+        CAST(DATE '2015-01-01' + CAST(p_partkey % 2000 AS INTEGER) AS TIMESTAMP) AS created_at
+      FROM part"""
     sql["dim_customer_intent"] = ledger(
         "SELECT customer_id, name, age, country, segment, email, created_at FROM customers")
     sql["fact_transactions_intent"] = ledger(
@@ -942,54 +969,10 @@ def oracle_sql() -> dict[str, str]:
         JOIN (VALUES (0), (1)) d(delivery)
           ON d.delivery = 0 OR {draw('txn', 'repeat', 100)} < 2""")
 
-    def share(percent: str, bounds: list[tuple[int, str]], rest: str) -> str:
-        return "CASE " + " ".join(
-            f"WHEN {percent} < {b} THEN '{v}'" for b, v in bounds) + f" ELSE '{rest}' END"
-
-    sql["synth_entities"] = f"""
-      SELECT printf('TXN%08d', event_id) AS transaction_id,
-        printf('ACC%08d', event_id * 31 % 15000 + 1) AS account_id,
-        printf('CUS%08d', event_id * 17 % 10000 + 1) AS customer_id,
-        {TYPES}[event_id * 3 % 5 + 1] AS transaction_type,
-        CAST((event_id * 7919 % 1499951 + 50) / 100 AS DECIMAL(18,2)) AS amount,
-        {share('event_id * 29 % 100', [(50, 'USD'), (70, 'EUR'), (85, 'BRL'), (93, 'GBP'),
-                                       (96, 'JPY'), (98, 'CAD')], 'AUD')} AS currency,
-        'M' || (event_id * 11 % 23) AS merchant,
-        {CATEGORIES}[event_id * 5 % 8 + 1] AS merchant_category,
-        TIMESTAMP '2024-01-31 00:00:00' - to_seconds(event_id * 7 % 60) AS "timestamp",
-        {share('event_id * 37 % 100', [(88, 'completed'), (98, 'pending')], 'failed')} AS status,
-        {PAYMENTS}[event_id * 3 % 5 + 1] AS payment_method,
-        CASE WHEN event_id % 10 <> 0 THEN md5(CAST(event_id AS VARCHAR)) END
-          AS device_fingerprint,
-        'NATION_' || (event_id * 7 % 25) AS ip_country
-      FROM events"""
-    opened = "DATE '2019-01-01' + CAST(c_custkey * {0} % 1825 AS INTEGER)"
-    dates = ("CAST({0} AS TIMESTAMP) AS created_at, "
-             "CAST({0} + CAST(c_custkey * 11 % 366 AS INTEGER) AS TIMESTAMP) AS updated_at")
-    sql["synth_customers"] = f"""
-      SELECT printf('CUS%08d', c_custkey) AS customer_id, 'Customer ' || c_custkey AS name,
-        CAST(c_custkey * 13 % 63 + 18 AS INTEGER) AS age,
-        'NATION_' || (c_custkey * 7 % 25) AS country,
-        {SEGMENTS}[c_custkey * 3 % 5 + 1] AS segment,
-        'customer.' || c_custkey || '@example.com' AS email,
-        printf('+1-%010d', c_custkey) AS phone,
-        ['USD','EUR','BRL','GBP'][c_custkey % 4 + 1] AS preferred_currency,
-        {dates.format(opened.format(37))}
-      FROM customer"""
-    sql["synth_accounts"] = f"""
-      SELECT printf('ACC%08d', c_custkey) AS account_id,
-        printf('CUS%08d', c_custkey * 17 % 10000 + 1) AS customer_id,
-        {ACCOUNT_TYPES}[c_custkey * 3 % 4 + 1] AS account_type,
-        {share('c_custkey * 19 % 100', [(85, 'active'), (95, 'inactive')], 'blocked')} AS status,
-        CAST((c_custkey * 7919 % 50000001) / 100 AS DECIMAL(18,2)) AS balance,
-        ['USD','EUR','BRL','GBP'][c_custkey % 4 + 1] AS currency,
-        {dates.format(opened.format(41))}
-      FROM customer"""
-
     # streaming
-    sql["stream_watermark_intent"] = sql["stream_late_split_intent"] = ledger(
+    sql["stream_late_split_intent"] = ledger(
         f"SELECT {position}, transaction_id, \"timestamp\", is_late_arrival FROM clean")
-    sql["stream_dedup_intent"] = ledger(
+    sql["stream_watermark_intent"] = sql["stream_dedup_intent"] = ledger(
         "SELECT transaction_id, account_id, customer_id, amount, \"timestamp\" FROM silver")
     sql["stream_hourly"] = ledger(
         f"SELECT * EXCLUDE (granularity) FROM ({by_hour('silver')}), mark "

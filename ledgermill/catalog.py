@@ -22,10 +22,12 @@ from ledgermill.streaming import flows, velocity
 from ledgermill.workspace import new_path, stage
 
 PROCESS_DATE = "2024-01-30"
-SNAPSHOT_DATES = ["2024-01-28", "2024-01-29", "2024-01-30"]
+# Snapshots before and after the day of the reports, too, so that every date window cuts some.
+SNAPSHOT_DATES = ["2024-01-15", "2024-01-29", "2024-01-30", "2024-01-31"]
 AS_OF = "2024-01-31 00:00:00"
 # What arrived first before this day is the stored table of the merge queries.
 MERGE_DAY = "2024-01-16"
+UNTOUCHED_BEFORE = "2024-01-05"
 DAY_SECONDS = 86_400
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,16 +75,10 @@ class Tables:
     def accounts(self) -> DataFrame:
         return stage(ledger.accounts(self.spark, self.folder), "accounts")
 
-    @property
-    def funded_customers(self) -> DataFrame:
-        """Customers with a balance: a dimension that lacks some of the ledger's customers."""
-        funded = self.read("customer").filter("c_acctbal >= 0")
-        return funded.select(F.format_string("CUS%08d", "c_custkey").alias("customer_id"))
-
     def _snapshots(self, name: str, build: Callable[[str], DataFrame]) -> DataFrame:
         path = new_path(self.spark, name)
         for day in SNAPSHOT_DATES:
-            tables.replace_partition(build(day), path, "process_date")
+            tables.replace_partition(build(day), path, "process_date", [day])
         return self.spark.read.schema(build(SNAPSHOT_DATES[0]).schema).parquet(path)
 
     @functools.cached_property
@@ -97,8 +93,7 @@ class Tables:
 
     @functools.cached_property
     def dq_metrics(self) -> DataFrame:
-        report = quality.dq_report(self.silver, self.funded_customers, day_end())
-        return stage(report, "dq-metrics")
+        return stage(dq(self), "dq-metrics")
 
     # --- streams ---
 
@@ -242,10 +237,14 @@ def quarantine_append(t: Tables) -> DataFrame:
 
 @query
 def replace_partition(t: Tables) -> DataFrame:
-    """Three snapshots, each written twice."""
+    """Snapshots, each written twice; the last one is then replaced by nothing."""
     path = new_path(t.spark, "replaced")
     for day in SNAPSHOT_DATES * 2:
-        tables.replace_partition(tx.gold_transactions(t.silver, day), path, "process_date")
+        tables.replace_partition(
+            tx.gold_transactions(t.silver, day), path, "process_date", [day])
+    last = SNAPSHOT_DATES[-1]
+    tables.replace_partition(
+        tx.gold_transactions(t.silver.limit(0), last), path, "process_date", [last])
     return t.spark.read.parquet(path).select(
         "process_date", "event_date", "transaction_type", "currency", "tx_count", "total_volume")
 
@@ -253,7 +252,7 @@ def replace_partition(t: Tables) -> DataFrame:
 @query
 def dq_metrics_append(t: Tables) -> DataFrame:
     path = new_path(t.spark, "dq-append")
-    tables.append(quality.dq_report(t.silver, t.customers, day_end()), path)
+    tables.append(dq(t), path)
     return t.spark.read.schema(schemas.DQ_METRICS).parquet(path).drop("checked_at")
 
 
@@ -286,7 +285,10 @@ def upsert_table(t: Tables) -> DataFrame:
 
 @query
 def upsert_metrics(t: Tables) -> DataFrame:
-    return upsert.upsert_metrics(upsert.upsert_latest(*stored_and_batch(t)))
+    """Every kind of row: the batch lacks the first days of the stored table."""
+    stored, batch = stored_and_batch(t)
+    later = batch.filter(F.col("event_date") >= times.day(UNTOUCHED_BEFORE))
+    return upsert.upsert_metrics(upsert.upsert_latest(stored, later))
 
 
 @query
@@ -319,7 +321,12 @@ def row_count(t: Tables) -> DataFrame:
         for name, df in rows.items()])
 
 
-named("latest_partition", lambda t: tables.latest_partition(t.silver, "event_date"))
+
+@query
+def latest_partition(t: Tables) -> DataFrame:
+    path = new_path(t.spark, "partitions")
+    t.silver.select("transaction_id", "event_date").write.partitionBy("event_date").parquet(path)
+    return tables.latest_partition(t.spark, path, "event_date")
 
 
 @query
@@ -404,7 +411,7 @@ named("join_customer_left", lambda t: cust.with_customer(recent_rfm(t), t.custom
 named("join_rfm_left", lambda t: cust.rfm_from_core(core(t), PROCESS_DATE).select(
     "customer_id", "total_transactions", "total_spend", "active_days", "accounts_used",
     "recency_days", "frequency", "monetary"))
-named("orphans_anti", lambda t: lookups.orphans(t.silver, t.funded_customers).select(
+named("orphans_anti", lambda t: lookups.orphans(t.silver, t.customers).select(
     "transaction_id", "customer_id", "amount"))
 named("join_geo_inner", lambda t: risk.geo_anomalies(t.silver, t.customers).select(
     "customer_id", "ip_country", "country", "anomalous_tx_count"))
@@ -414,8 +421,8 @@ named("join_self_avg", lambda t: risk.large_tx_flags(t.silver).select(
     "transaction_id", "customer_id", "amount", "customer_avg_amount"))
 named("join_two_dims_naive",
       lambda t: lookups.spend_naive(t.silver, t.customers, t.accounts))
-named("join_two_dims_broadcast",
-      lambda t: lookups.spend_by_account_type(t.silver, t.customers, t.accounts))
+named("join_two_dims_broadcast", lambda t: lookups.spend_by_account_type(
+    t.silver, t.customers, t.accounts, PROCESS_DATE))
 
 # --- aggregations ---------------------------------------------------------------------------
 
@@ -427,11 +434,9 @@ named("hourly_volume", lambda t: tx.hourly_volume(t.silver))
 named("daily_by_payment", lambda t: tx.daily_by_payment(t.silver))
 named("currency_volume", lambda t: tx.currency_volume(t.silver))
 named("percentiles", lambda t: tx.quantiles(t.silver, ["transaction_type", "currency"]))
-named("benchmark_agg",
-      lambda t: lookups.spend_by_account_type(t.silver, t.customers, t.accounts)
-      .groupBy("segment", "country", "account_type")
-      .agg(F.sum("tx_count").alias("tx_count"), measures.total("total_amount")
-           .alias("total_amount")))
+named("benchmark_agg", lambda t: lookups.spend_naive(
+    scans.scan_lookback(t.silver, PROCESS_DATE, scans.TRANSACTION_LOOKBACK), t.customers,
+    t.accounts, lookups.TYPE_KEYS))
 named("stream_profile", lambda t: profile.tally(t.bronze))
 
 # --- window functions -----------------------------------------------------------------------
@@ -532,7 +537,8 @@ named("currency_exposure", lambda t: risk.currency_exposure(t.silver, t.customer
 
 
 def dq(t: Tables) -> DataFrame:
-    return quality.dq_report(t.silver, t.funded_customers, day_end())
+    return quality.dq_report(
+        t.silver, t.customers, day_end(), volume=quality.dq_volume(t.silver))
 
 
 for _key, _check in {
@@ -549,7 +555,8 @@ for _key, _check in {
 named("dq_report", dq)
 named("dq_gate", lambda t: quality.dq_gate_by_day(t.dq_metrics))
 named("dq_volume_intent", lambda t: quality.dq_volume(t.silver))
-named("bronze_freshness", lambda t: quality.bronze_freshness(t.bronze, AS_OF))
+named("bronze_freshness", lambda t: quality.bronze_freshness(
+    stage(t.bronze, "bronze", "ingestion_date"), AS_OF))
 
 
 @query
@@ -597,25 +604,33 @@ named("gold_risk", lambda t: risk.gold_risk(t.silver, PROCESS_DATE))
 named("dim_date_intent", lambda t: star.dim_date(t.silver))
 named("dim_merchant_intent", lambda t: star.dim_merchant(t.silver))
 named("dim_account_intent", lambda t: star.dim_account(t.accounts))
+named("dim_product_intent", lambda t: star.dim_product(ledger.products(t.spark, t.folder)))
 named("dim_customer_intent", lambda t: star.dim_customer(t.customers))
 named("fact_transactions_intent", lambda t: star.fact_transactions(t.silver))
 named("inject_faults", lambda t: synth.inject_faults(t.silver).select(
     "transaction_id", "customer_id", "account_id", "amount", "timestamp", "_is_late_arrival"))
-named("synth_entities", lambda t: synth.synth_transactions(
-    t.read("events").select(F.col("event_id").alias("id")), 15_000, 10_000, AS_OF, version=3))
-named("synth_customers", lambda t: synth.synth_customers(
-    t.read("customer").select(F.col("c_custkey").alias("id"))))
-named("synth_accounts", lambda t: synth.synth_accounts(
-    t.read("customer").select(F.col("c_custkey").alias("id")), 10_000))
 
 # --- streaming ------------------------------------------------------------------------------
 
 named("stream_bronze", lambda t: t.landed(t.bronze_stream(), "ingestion_date"))
-named("stream_watermark_intent", lambda t: t.landed(t.clean_stream()).select(
-    *POSITION, "transaction_id", "timestamp", "is_late_arrival"))
-named("stream_dedup_intent", lambda t: t.landed(
+named("stream_watermark_intent", lambda t: t.landed(
     flows.deduplicated(t.clean_stream())
     .select("transaction_id", "account_id", "customer_id", "amount", "timestamp")))
+
+
+@query
+def stream_dedup_intent(t: Tables) -> DataFrame:
+    """Messages out of order over several triggers: no id is lost, none lands twice."""
+    path, checkpoint = new_path(t.spark, "first"), new_path(t.spark, "checkpoint")
+    source = new_path(t.spark, "messages")
+    t.messages.repartition(3, "offset").write.parquet(source)
+    stream = transport.file_stream(t.spark, source, files_per_trigger=1)
+    bronze = transport.bronze_project(stream, F.col("timestamp"))
+    flows.run_available(t.spark, flows.first_deliveries_sink(bronze, path, checkpoint))
+    return t.spark.read.schema(t.silver.schema).parquet(path).select(
+        "transaction_id", "account_id", "customer_id", "amount", "timestamp")
+
+
 named("stream_hourly", lambda t: t.landed(
     flows.hourly_volume(flows.deduplicated(t.clean_stream()))))
 named("stream_velocity", lambda t: t.landed(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Lowest score of each tier, best first; below all of them is "churned".
 TIERS = [(12, "champion"), (9, "loyal"), (6, "potential"), (4, "at_risk")]
-# Ratio to the mean above which an amount gets the level; else "MEDIUM".
+# Multiple of the mean above which an amount gets the level; else "MEDIUM".
 OUTSIZED = [(10, "CRITICAL"), (5, "HIGH")]
 
 
@@ -17,8 +17,8 @@ def activity_tier(score: Column) -> Column:
     return grade
 
 
-def outsized_level(ratio: Column) -> Column:
+def outsized_level(amount: Column, mean: Column) -> Column:
     level = F.lit("MEDIUM")
     for bound, name in reversed(OUTSIZED):
-        level = F.when(ratio > bound, name).otherwise(level)
+        level = F.when(amount > mean * bound, name).otherwise(level)
     return level

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgermill import schemas
 from ledgermill.functions.text import known_or
 from ledgermill.functions.times import older_than
+from ledgermill.workspace import stage
 
 LATE_MINUTES = 30
 TRANSPORT_COLUMNS = [
@@ -115,7 +116,8 @@ def decision_tree(parsed: DataFrame) -> DataFrame:
 
     Only the first arrival of an id among the otherwise acceptable rows is accepted. The first
     arrival of every repeated id is found by a grouped minimum, which merges map-side, and joined
-    back: no task ever holds all copies of one id, as a window over the id would.
+    back as a staged table: no task ever holds all copies of one id, as a window over the id
+    would. Rows that fail a rule, such as all those without an id, take no part in the join.
     """
     amount, currency = F.col("amount"), F.upper(F.trim("currency"))
     rule = (
@@ -127,15 +129,14 @@ def decision_tree(parsed: DataFrame) -> DataFrame:
     )
     arrival = F.struct("ingestion_timestamp", "kafka_partition", "kafka_offset")
     judged = parsed.withColumn("transaction_id", F.trim("transaction_id")).withColumn("_rule", rule)
-    first = (
-        judged.filter(F.col("_rule").isNull())
-        .groupBy("transaction_id")
+    accepted = judged.filter(F.col("_rule").isNull()).drop("_rule")
+    first = stage(
+        accepted.groupBy("transaction_id")
         .agg(F.min(arrival).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter("_copies > 1")
-    )
-    repeated = F.when(F.col("_rule").isNull() & (arrival != F.col("_first")), "duplicate")
-    return (
-        judged.join(first, "transaction_id", "left")
-        .withColumn("quarantine_reason", F.coalesce("_rule", repeated))
-        .drop("_rule", "_first", "_copies")
-    )
+        .filter("_copies > 1").drop("_copies"),
+        "first-arrivals")
+    repeated = F.when(arrival != F.col("_first"), "duplicate")
+    told = accepted.join(first, "transaction_id", "left").withColumn("quarantine_reason", repeated)
+    refused = judged.filter(F.col("_rule").isNotNull()).withColumnRenamed(
+        "_rule", "quarantine_reason")
+    return told.drop("_first").unionByName(refused)

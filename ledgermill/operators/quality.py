@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgermill import schemas
 from ledgermill.functions.measures import rows
-from ledgermill.functions.times import instant
+from ledgermill.functions.times import day, instant
 from ledgermill.operators.clean import lacks_critical
 
 PASS_RATE = 0.99
@@ -19,8 +22,18 @@ CHECKS = {
     "referential_integrity_customer": PASS_RATE,
     "late_arrival_rate": 0.90,
     "freshness_2h": 1.0,
+    "volume_anomaly": 1.0,
 }
 FRESH_HOURS = 2
+HISTORY_DAYS = 7
+
+
+def limits(thresholds: Mapping[str, float] | None = None) -> dict[str, float]:
+    """Least pass rates, the given ones instead of the defaults."""
+    unknown = set(thresholds or {}) - set(CHECKS)
+    if unknown:
+        raise ValueError(f"no such check: {', '.join(sorted(unknown))}")
+    return CHECKS | dict(thresholds or {})
 
 
 def dq_score(failed: Column, total: Column, threshold: Column) -> dict[str, Column]:
@@ -71,31 +84,44 @@ def dq_report(
     customers: DataFrame | None = None,
     as_of: Column | str | None = None,
     by: str = "event_date",
+    thresholds: Mapping[str, float] | None = None,
+    volume: DataFrame | None = None,
 ) -> DataFrame:
-    """All checks in long form, one row per day and check; a day without rows has none.
+    """All checks in long form, one row per day and check.
 
-    ``as_of`` is the moment of checking (now by default); it may use the day column.
+    ``as_of`` is the moment of checking (now by default); it may use the day column. ``volume`` is
+    what ``dq_volume`` found; only its check has a line for days without rows.
     """
     now = F.current_timestamp() if as_of is None else instant(as_of)
+    least = limits(thresholds)
     counted = failure_counts(transactions, customers, by)
     stale = F.col("latest").isNull() | (
         F.col("latest") < now - F.make_dt_interval(hours=F.lit(FRESH_HOURS))
     )
     names = [c for c in CHECKS if c in counted.columns]
     lines = [
-        F.struct(F.lit(c).alias("check_name"), F.lit(CHECKS[c]).alias("threshold"),
+        F.struct(F.lit(c).alias("check_name"), F.lit(least[c]).alias("threshold"),
                  F.col(c).alias("failed_count"), F.col("total").alias("total_count"))
         for c in names
     ]
     lines.append(
         F.struct(F.lit("freshness_2h").alias("check_name"),
-                 F.lit(CHECKS["freshness_2h"]).alias("threshold"),
+                 F.lit(least["freshness_2h"]).alias("threshold"),
                  stale.cast("bigint").alias("failed_count"),
                  F.lit(1).cast("bigint").alias("total_count"))
     )
+    found = counted.select(
+        F.col(by).alias("process_date"), now.alias("checked_at"), F.inline(F.array(*lines)))
+    if volume is not None:
+        found = found.unionByName(
+            volume.withColumnRenamed("process_date", by).select(
+                F.col(by).alias("process_date"), now.alias("checked_at"),
+                F.lit("volume_anomaly").alias("check_name"),
+                F.lit(least["volume_anomaly"]).alias("threshold"),
+                (F.col("status") == "FAIL").cast("bigint").alias("failed_count"),
+                F.lit(1).cast("bigint").alias("total_count")))
     return (
-        counted.select(F.col(by).alias("process_date"), now.alias("checked_at"),
-                       F.inline(F.array(*lines)))
+        found
         .withColumns(dq_score(F.col("failed_count"), F.col("total_count"), F.col("threshold")))
         .select("check_name", "status", "pass_rate", "threshold", "failed_count", "total_count",
                 "process_date", "checked_at")
@@ -123,22 +149,35 @@ def dq_gate_by_day(metrics: DataFrame) -> DataFrame:
 
 
 def bronze_freshness(bronze: DataFrame, as_of: Column | str | None = None) -> DataFrame:
-    """One row: latest arrival and whether it lies within two hours; empty is stale."""
+    """One row: latest arrival and whether it lies within two hours; none in reach is stale.
+
+    Only the arrival days that those hours touch are read; ``latest_ts`` is NULL where they are
+    empty.
+    """
     now = F.current_timestamp() if as_of is None else instant(as_of)
     limit = now - F.make_dt_interval(hours=F.lit(FRESH_HOURS))
-    return bronze.agg(F.max("ingestion_timestamp").alias("latest_ts")).withColumn(
+    recent = bronze.filter(F.col("ingestion_date") >= limit.cast("date"))
+    return recent.agg(F.max("ingestion_timestamp").alias("latest_ts")).withColumn(
         "is_fresh", F.coalesce(F.col("latest_ts") >= limit, F.lit(False))
     )
 
 
 def dq_volume(
-    transactions: DataFrame, by: str = "event_date", history: int = 7, width: float = 3.0
+    transactions: DataFrame, by: str = "event_date", history: int = HISTORY_DAYS,
+    width: float = 3.0, last: str | dt.date | None = None,
 ) -> DataFrame:
-    """Per day: row count against mean ± ``width`` deviations of the days before it.
+    """Per calendar day: row count against mean ± ``width`` deviations of the days before it.
 
-    Each day's count is sent to the days it is history for; no window over all days is needed.
+    Days run from the first that has rows to ``last``, or to the last that has rows; one without
+    rows counts zero, in its own line and as history. A day with less history passes. Each day's
+    count is sent to the days it is history for; no window over all days is needed.
     """
-    counts = transactions.groupBy(by).agg(rows().alias("total_count"))
+    counted = transactions.groupBy(by).agg(rows().alias("total_count"))
+    end = F.max(by) if last is None else F.greatest(F.max(by), day(last))
+    span = counted.agg(F.min(by).alias("first"), end.alias("end")).filter("first IS NOT NULL")
+    calendar = span.select(F.explode(F.sequence("first", "end")).alias(by))
+    counts = calendar.join(counted, by, "left").select(
+        by, F.coalesce("total_count", F.lit(0)).alias("total_count"))
     exact = F.col("total_count").cast("decimal(38,0)")
     past = (
         counts.select(
@@ -153,6 +192,7 @@ def dq_volume(
     spread = F.sqrt((F.col("_q") * n - F.col("_s") * F.col("_s")).cast("double"))
     mean = F.col("_s").cast("double") / F.col("history_days")
     deviation = spread / F.col("history_days")
+    usual = F.col("total_count").between(F.col("lower_bound"), F.col("upper_bound"))
     return (
         counts.join(past, by, "left")
         .withColumns({
@@ -160,9 +200,8 @@ def dq_volume(
             "lower_bound": mean - F.lit(width) * deviation,
             "upper_bound": mean + F.lit(width) * deviation,
         })
-        .withColumn("status", F.when(
-            F.col("total_count").between(F.col("lower_bound"), F.col("upper_bound"))
-            | F.col("lower_bound").isNull(), "PASS").otherwise("FAIL"))
+        .withColumn("status", F.when((F.col("history_days") < history) | usual, "PASS")
+                    .otherwise("FAIL"))
         .select(F.col(by).alias("process_date"), "total_count", "history_days", "lower_bound",
                 "upper_bound", "status")
     )

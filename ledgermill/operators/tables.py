@@ -37,9 +37,28 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def latest_partition(table: DataFrame, column: str) -> DataFrame:
-    """One row with the highest partition value, NULL for an empty table."""
-    return table.agg(F.max(column).alias("latest"))
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of a folder's data files; none where there is no folder."""
+    jpath, fs = hadoop_path(spark, folder)
+    if not fs.exists(jpath):
+        return set()
+    names = (entry.getPath().getName() for entry in fs.listStatus(jpath))
+    return {name for name in names if not name.startswith((".", "_"))}
+
+
+def latest_partition(spark: SparkSession, path: str, column: str, kind: str = "date") -> DataFrame:
+    """One row with the highest partition value that has files, NULL for an empty table.
+
+    The values are the folders' names, so no data file is opened.
+    """
+    found = [
+        name.removeprefix(f"{column}=") for name in _files(spark, path)
+        if name.startswith(f"{column}=") and _files(spark, f"{path}/{name}")
+    ]
+    value = F.lit(None).cast(kind)
+    if found:
+        value = F.array_max(F.array(*[F.lit(v).cast(kind) for v in found]))
+    return spark.range(1).select(value.alias("latest"))
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -53,14 +72,27 @@ def append_quarantine(rejected: DataFrame, path: str) -> None:
     append(rejected.withColumn("quarantined_at", F.current_timestamp()), path)
 
 
-def replace_partition(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace exactly the partitions that occur in ``df``; running it twice changes nothing."""
+def replace_partition(
+    df: DataFrame, path: str, partition_by: str, values: Sequence | None = None
+) -> None:
+    """Replace the partitions that occur in ``df``; running it twice changes nothing.
+
+    ``values`` names the partitions that ``df`` is the whole new content of: one of them that has
+    no rows in ``df`` is removed, so that nothing stale stays.
+    """
+    spark = df.sparkSession
+    folders = [f"{path}/{partition_by}={value}" for value in values or ()]
+    before = {folder: _files(spark, folder) for folder in folders}
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
     )
+    for folder, names in before.items():
+        if names and _files(spark, folder) == names:  # a written partition has files of its own
+            remove(spark, folder)
+    spark.catalog.refreshByPath(path)
 
 
 def rewrite_table(
@@ -68,19 +100,20 @@ def rewrite_table(
 ) -> None:
     """Replace a table, or the partitions that occur, by rows computed from it.
 
-    The rows are written beside the table before any of its files go, so that no plan reads what
-    it overwrites and an interrupted swap leaves a full copy to swap in again.
+    The rows are arranged and written beside the table before any of its files go, so that no plan
+    reads what it overwrites and an interrupted swap leaves a full copy to swap in again. The swap
+    copies the arranged files without a shuffle.
     """
     spark = rows.sparkSession
     copy = new_path(spark, "rewrite")
-    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
+    arranged = arrange(rows) if arrange else rows
+    writer = arranged.write.partitionBy(partition_by) if partition_by else arranged.write
     writer.parquet(copy)
     kept = spark.read.schema(rows.schema).parquet(copy)
-    arranged = arrange(kept) if arrange else kept
     if partition_by:
-        replace_partition(arranged, path, partition_by)
+        replace_partition(kept, path, partition_by)
     else:
-        arranged.write.mode("overwrite").parquet(path)
+        kept.write.mode("overwrite").parquet(path)
     spark.catalog.refreshByPath(path)
     remove(spark, copy)
 

@@ -10,7 +10,7 @@ from ledgermill import schemas
 from ledgermill.operators.tables import (
     append, read_table, rewrite_table, table_exists,
 )
-from ledgermill.workspace import new_path, remove
+from ledgermill.workspace import scratch, stage
 
 # Columns a newer delivery of a transaction may change.
 UPDATABLE = [
@@ -40,13 +40,19 @@ def _marked(df: DataFrame, side: str) -> DataFrame:
     return df.withColumn(f"_in_{side}", F.lit(True)).alias(side)
 
 
-def _action(condition: Column | None) -> Column:
+ACTIONS = ("insert", "update", "duplicate", "untouched")
+
+
+def _update_or_duplicate(condition: Column | None) -> Column:
     update = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+    return F.when(update, "update").otherwise("duplicate")
+
+
+def _action(condition: Column | None) -> Column:
     return (
         F.when(F.col("_in_target").isNull(), "insert")
-        .when(F.col("_in_source").isNull(), "keep")
-        .when(update, "update")
-        .otherwise("keep")
+        .when(F.col("_in_source").isNull(), "untouched")
+        .otherwise(_update_or_duplicate(condition))
     )
 
 
@@ -60,7 +66,8 @@ def upsert(
 ) -> DataFrame:
     """The merged table as one frame, with what happened to each row in ``_action``.
 
-    Expressions name the two sides ``source`` and ``target``. Source keys must be unique.
+    A ``duplicate`` is a batch row whose key is known and that doesn't update; an ``untouched`` row
+    has no batch row. Expressions name the two sides ``source`` and ``target``. Source keys must be unique.
     """
     inserted = insert_values or {
         c: source(c) if c in source_rows.columns else F.lit(None) for c in target_rows.columns
@@ -105,57 +112,73 @@ def upsert_table(
     partition_by: str | None = None,
     schema: T.StructType | str | None = None,
 ) -> dict[str, int]:
-    """Merge a batch into a stored table and return the rows inserted, updated and kept.
+    """Merge a batch into a stored table and return the rows inserted, updated and duplicate.
 
-    Only keys, condition columns and the partition column of the target are read to decide;
-    only partitions that change are rewritten. The decided batch is written down first, so the
-    rewrite and the counts see the same decisions whatever is recomputed. ``schema`` is the
-    table's; without it the schemas of its files are merged.
+    Only keys, condition columns and the partition column of the target are read to decide, and
+    they meet the staged batch in an inner join: Spark broadcasts a small batch to the scan, so
+    the table's keys are not shuffled. Only partitions that change are rewritten. Decisions are
+    written down first, so the rewrite and the counts see the same ones whatever is recomputed.
+    ``schema`` is the table's; without it the schemas of its files are merged.
     """
     if not table_exists(spark, path):
         append(batch.hint("rebalance", *filter(None, [partition_by])), path, partition_by)
-        return {"insert": read_table(spark, path, batch.schema).count(), "update": 0, "keep": 0}
+        return {
+            "insert": read_table(spark, path, batch.schema).count(), "update": 0, "duplicate": 0}
     table = read_table(spark, path, schema)
-    if not partition_by:
-        copy = new_path(spark, "upsert")
-        upsert(table, batch, keys, update_set, condition, insert_values).write.parquet(copy)
-        merged = spark.read.parquet(copy)
-        counts = _counts(merged)
-        merged.drop("_action").write.mode("overwrite").parquet(path)
-        spark.catalog.refreshByPath(path)
-        remove(spark, copy)
-        return counts
-
-    decided_path = new_path(spark, "upsert")
-    home = F.coalesce(target(partition_by), source(partition_by))
-    (
-        _marked(batch, "source")
-        .join(_marked(table, "target"), _match(keys), "left")
-        .withColumn("_action", _action(condition))
-        .select("source.*", "_action", home.alias("_home"))
-        .write.parquet(decided_path)
+    with scratch(spark):
+        if not partition_by:
+            merged = stage(
+                upsert(table, batch, keys, update_set, condition, insert_values), "upsert")
+            counts = _counts(merged)
+            merged.drop("_action").write.mode("overwrite").parquet(path)
+            spark.catalog.refreshByPath(path)
+            return counts
+        batch = stage(batch, "batch")
+        known = stage(known_keys(table, batch, keys, condition, partition_by), "known")
+        decided = stage(decisions(batch, known, keys, partition_by), "decided")
+        moved = decided.filter("_action <> 'duplicate'")
+        # No more values than the table will have partition folders, which the driver lists anyway.
+        touched = [row[0] for row in moved.select("_home").distinct().collect()]
+        if touched:
+            home = F.col(partition_by)
+            affected = table.filter(
+                home.isin([v for v in touched if v is not None])
+                | (home.isNull() if None in touched else F.lit(False)))
+            merged = upsert(
+                affected, moved.drop("_action", "_home"), keys, update_set, condition,
+                insert_values)
+            rewrite_table(
+                merged.drop("_action"), path, partition_by,
+                lambda rows: rows.hint("rebalance", partition_by))
+        return _counts(decided)
+
+
+def known_keys(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], condition: Column | None,
+    partition_by: str,
+) -> DataFrame:
+    """Batch keys that the table has, what becomes of them, and the partition they are in."""
+    return (
+        batch.alias("source").join(table.alias("target"), _match(keys))
+        .select(*[source(k).alias(k) for k in keys],
+                _update_or_duplicate(condition).alias("_action"),
+                target(partition_by).alias("_home"))
     )
-    decided = spark.read.parquet(decided_path)
-    counts = _counts(decided)
-    moved = decided.filter("_action <> 'keep'")
-    # Distinct partition values: at most one per day of the batch.
-    touched = [row[0] for row in moved.select("_home").distinct().collect()]
-    if touched:
-        affected = table.filter(F.col(partition_by).isin(touched))
-        merged = upsert(
-            affected, moved.drop("_action", "_home", "_in_source"), keys, update_set, condition,
-            insert_values,
-        )
-        rewrite_table(
-            merged.drop("_action"), path, partition_by,
-            lambda rows: rows.hint("rebalance", partition_by))
-    remove(spark, decided_path)
-    return counts
+
+
+def decisions(
+    batch: DataFrame, known: DataFrame, keys: Sequence[str], partition_by: str
+) -> DataFrame:
+    """Every batch row with its action and the partition it belongs to."""
+    return batch.join(known, list(keys), "left").select(
+        *batch.columns, F.coalesce("_action", F.lit("insert")).alias("_action"),
+        F.when(F.col("_action").isNull(), F.col(partition_by)).otherwise(F.col("_home"))
+        .alias("_home"))
 
 
 def _counts(rows: DataFrame) -> dict[str, int]:
     found = {r["_action"]: r["row_count"] for r in upsert_metrics(rows).collect()}
-    return {action: found.get(action, 0) for action in ("insert", "update", "keep")}
+    return {action: found.get(action, 0) for action in ("insert", "update", "duplicate")}
 
 
 def upsert_transactions(spark: SparkSession, path: str, batch: DataFrame) -> dict[str, int]:

@@ -24,14 +24,15 @@ def recent_activity(silver: DataFrame, process_date: str | dt.date) -> DataFrame
 def customer_core_agg(
     transactions: DataFrame, process_date: str | dt.date, lookback: int = CUSTOMER_LOOKBACK
 ) -> DataFrame:
-    """One row per customer.
+    """One row per customer of the ``lookback`` days before ``process_date`` and that day.
 
-    Active days are a bit set, so the only distinct count left is that of accounts and Spark
+    Rows outside that range don't count, whatever frame is given. Active days are a bit set, so the only distinct count left is that of accounts and Spark
     needs no row expansion; every other measure merges map-side. Quantile sketches are merged in
     a grouping of their own, which reads two columns and splits hot customers; both sides come
     out partitioned by customer, so joining them shuffles nothing.
     """
     kind = F.col("transaction_type")
+    transactions = scan_lookback(transactions, process_date, lookback)
     spread = quantiles_by(transactions, ["customer_id"], [], {"p95_transaction_value": 0.95})
     values = transactions.groupBy("customer_id").agg(
         rows().alias("total_transactions"),

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgermill import schemas
+from ledgermill.functions import times
 from ledgermill.operators import clean, dedup, quality, tables, upsert
 from ledgermill.plans import customers as customer_plans
 from ledgermill.plans import risk, transactions
-from ledgermill.sources.scans import scan_day
+from ledgermill.sources.scans import scan_day, scan_lookback
 from ledgermill.workspace import new_path, scratch
 
 
@@ -62,7 +64,7 @@ def refine_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> dict[str,
     rejected = parsed.filter(~F.col("is_valid")).drop("is_valid")
     tables.replace_partition(
         rejected.withColumn("quarantined_at", F.current_timestamp()), lake.quarantine,
-        "ingestion_date",
+        "ingestion_date", [day],
     )
     accepted = parsed.filter("is_valid").drop("is_valid", "quarantine_reason", "raw_payload")
     batch = dedup.dedup_latest(clean.correct_values(accepted))
@@ -80,12 +82,22 @@ def _silver(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def check_day(
-    spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None
+    spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None,
+    thresholds: Mapping[str, float] | None = None,
 ) -> bool:
-    """Write the day's quality metrics and return the gate's verdict."""
-    today = scan_day(_silver(spark, lake), "event_date", day)
-    report = quality.dq_report(today, _customers(spark, lake), as_of)
-    tables.replace_partition(report, lake.dq_metrics, "process_date")
+    """Write the day's quality metrics and return the gate's verdict.
+
+    ``as_of`` is the moment of checking: by default now, or the end of a day that is over.
+    """
+    silver = _silver(spark, lake)
+    today = scan_day(silver, "event_date", day)
+    end = F.date_add(times.day(day), 1).cast("timestamp")
+    moment = F.least(F.current_timestamp(), end) if as_of is None else as_of
+    recent = scan_lookback(silver, day, quality.HISTORY_DAYS)
+    volume = scan_day(quality.dq_volume(recent, last=day), "process_date", day)
+    report = quality.dq_report(
+        today, _customers(spark, lake), moment, thresholds=thresholds, volume=volume)
+    tables.replace_partition(report, lake.dq_metrics, "process_date", [day])
     return gate_open(spark, lake, day)
 
 
@@ -103,32 +115,33 @@ def bronze_is_fresh(spark: SparkSession, lake: Lake, as_of: str | None = None) -
 
 
 def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
-    """Replace the day's snapshots of all gold tables."""
+    """Replace the day's snapshots of all gold tables; one that comes out empty goes."""
     silver = _silver(spark, lake)
     customers = spark.read.schema(schemas.CUSTOMERS).parquet(lake.customers)
-    today = scan_day(silver, "event_date", day)
     snapshots = {
         "customer_analytics": (
             customer_plans.gold_customers(silver, customers, day), ["customer_id", "segment"]),
         "transaction_analytics": (
             transactions.gold_transactions_union(silver, day), ["event_date", "transaction_type"]),
         "risk_metrics": (risk.gold_risk(silver, day), ["currency"]),
-        "risk_signals": (risk.risk_signals(today, customers, day), ["risk_signal"]),
+        "risk_signals": (
+            risk.risk_signals_of_day(silver, customers, day), ["risk_signal"]),
     }
     for name, (snapshot, order) in snapshots.items():
         ordered = tables.clustered(
             snapshot.withColumn("processed_at", F.current_timestamp()), order
         )
-        tables.replace_partition(ordered, lake.gold(name), "process_date")
+        tables.replace_partition(ordered, lake.gold(name), "process_date", [day])
 
 
 def run_day(
-    spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None
+    spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None,
+    thresholds: Mapping[str, float] | None = None,
 ) -> dict:
     """Silver, quality, and gold unless the gate is shut; leaves no working tables behind."""
     with scratch(spark):
         counts = refine_day(spark, lake, day)
-        passed = check_day(spark, lake, day, as_of)
+        passed = check_day(spark, lake, day, as_of, thresholds)
         if passed:
             gold_day(spark, lake, day)
     return {**counts, "gate_passed": passed}

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgermill.functions.measures import mean_from, rows, total
+from ledgermill.sources.scans import TRANSACTION_LOOKBACK, scan_lookback
 from ledgermill.workspace import stage
 
 
@@ -43,13 +46,17 @@ def spend_naive(
 
 
 def spend_by_account_type(
-    transactions: DataFrame, customers: DataFrame, accounts: DataFrame
+    transactions: DataFrame, customers: DataFrame, accounts: DataFrame,
+    as_of: str | dt.date | None = None, days: int = TRANSACTION_LOOKBACK,
 ) -> DataFrame:
-    """Spend per customer, segment, country and account type.
+    """Spend per customer, segment, country and account type; with ``as_of`` only that of the
+    ``days`` before it and that day, whose partitions are all that is read.
 
     Rows are summed per customer and account before the joins, so a hot customer meets the
     dimensions as a handful of rows, and both dimensions are pruned to what is asked for.
     """
+    if as_of is not None:
+        transactions = scan_lookback(transactions, as_of, days)
     spent = transactions.groupBy("customer_id", "account_id").agg(
         rows().alias("_n"), total("amount").alias("_amount")
     )

@@ -21,7 +21,8 @@ def _snapshot(gold: DataFrame, as_of: Day) -> DataFrame:
 
 
 def _since(gold: DataFrame, as_of: Day, days: int) -> DataFrame:
-    return gold.filter(F.col("process_date") >= F.date_sub(day(as_of), days))
+    return gold.filter(
+        F.col("process_date").between(F.date_sub(day(as_of), days), day(as_of)))
 
 
 def _grain(gold: DataFrame, granularity: str) -> DataFrame:
@@ -158,7 +159,7 @@ def peak_hours(gold: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
 
 def peak_hours_latest(gold: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
     """Event days of the last week, from one snapshot."""
-    recent = F.col("event_date") >= F.date_sub(day(as_of), days)
+    recent = F.col("event_date").between(F.date_sub(day(as_of), days), day(as_of))
     return _by_hour_of_day(_snapshot(gold, as_of).filter(recent))
 
 
@@ -175,7 +176,7 @@ def late_impact(gold: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
 
 
 def late_impact_latest(gold: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
-    recent = F.col("event_date") >= F.date_sub(day(as_of), days)
+    recent = F.col("event_date").between(F.date_sub(day(as_of), days), day(as_of))
     return _late_by_day(_snapshot(gold, as_of).filter(recent))
 
 

@@ -12,7 +12,7 @@ from ledgermill.functions.times import day, epoch_second
 from ledgermill.operators.clean import tag_rows, unify_versions
 from ledgermill.operators.trailing import trailing_count_per_second, trailing_daily_mean
 from ledgermill.plans.transactions import currency_volume
-from ledgermill.sources.scans import open_status, scan_day
+from ledgermill.sources.scans import open_status, scan_day, scan_lookback
 from ledgermill.workspace import stage
 
 # Limits of the signals.
@@ -31,13 +31,15 @@ SIGNAL_COLUMNS = {
 
 
 def velocity_alerts(
-    transactions: DataFrame, seconds: int = VELOCITY_SECONDS, limit: int = VELOCITY_LIMIT
+    transactions: DataFrame, seconds: int = VELOCITY_SECONDS, limit: int = VELOCITY_LIMIT,
+    on: str | dt.date | None = None,
 ) -> DataFrame:
     """Accounts with more than ``limit`` transactions in some trailing ``seconds``.
 
-    The seconds above the limit are few, so they are staged: their size on disk then tells Spark
-    whether to broadcast them to the ledger scan, which saves the ledger a shuffle, or to sort
-    and merge.
+    ``on`` reports the transactions of one day only; those before it still count in the windows
+    that begin there. The seconds above the limit are few, so they are staged: their size on disk
+    then tells Spark whether to broadcast them to the ledger scan, which saves the ledger a
+    shuffle, or to sort and merge.
     """
     timed = transactions.select(
         "account_id", "customer_id", "amount", "timestamp",
@@ -45,8 +47,9 @@ def velocity_alerts(
     )
     counts = trailing_count_per_second(timed, "account_id", "second", seconds)
     flagged = stage(counts.filter(F.col("trailing_count") > limit), "velocity")
+    reported = timed if on is None else timed.filter(F.col("timestamp").cast("date") == day(on))
     return tag_rows(
-        timed.join(flagged, ["account_id", "second"])
+        reported.join(flagged, ["account_id", "second"])
         .groupBy("account_id", "customer_id")
         .agg(
             F.max("trailing_count").alias("max_tx_in_window"),
@@ -59,18 +62,23 @@ def velocity_alerts(
 
 
 def _outsized(transactions: DataFrame, means: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows above the factor times their mean. No hint: the means grow with the customers."""
+    """Rows above the factor times their mean.
+
+    The means are staged: a join with a finished table is split where a customer is hot, one with
+    an aggregate on the same key is not. No hint, as they grow with the customers. Levels compare
+    decimals, so an amount of exactly ten times the mean is not above it.
+    """
     mean = F.col("customer_avg_amount")
-    ratio = F.col("amount").cast("double") / mean.cast("double")
+    ratio = F.try_divide(F.col("amount"), mean)
     flagged = (
-        transactions.join(means, keys, "left")
+        transactions.join(stage(means, "means"), keys)
         .filter(F.col("amount") > mean * OUTSIZED_FACTOR)
         .select("account_id", "customer_id", "transaction_id", "amount", "customer_avg_amount",
                 ratio.alias("amount_vs_avg_ratio"), "timestamp")
     )
     return tag_rows(
         flagged, risk_signal="large_transaction",
-        risk_level=outsized_level(F.col("amount_vs_avg_ratio")),
+        risk_level=outsized_level(F.col("amount"), F.col("customer_avg_amount")),
     )
 
 
@@ -132,7 +140,7 @@ def currency_exposure(transactions: DataFrame, customers: DataFrame) -> DataFram
         .agg(
             F.sum("_amount").cast("decimal(28,2)").alias("total_exposure"),
             F.sum("_n").alias("transaction_count"),
-            F.count_distinct("customer_id").alias("customer_count"),
+            rows().alias("customer_count"),  # one row per customer and currency here
         ),
         risk_signal="currency_exposure", risk_level="INFO",
     )
@@ -147,18 +155,13 @@ def _as_signal(df: DataFrame, **renamed: str) -> DataFrame:
     ])
 
 
-def risk_signals(
-    transactions: DataFrame,
-    customers: DataFrame,
+def _union(
+    velocity: DataFrame, large: DataFrame, transactions: DataFrame, customers: DataFrame,
     process_date: str | dt.date | Column,
-    seconds: int = VELOCITY_SECONDS,
-    limit: int = VELOCITY_LIMIT,
 ) -> DataFrame:
-    """All five signals in one shape."""
     signals = [
-        _as_signal(velocity_alerts(transactions, seconds, limit)),
-        _as_signal(large_tx_flags(transactions), flagged_amount="amount",
-                   latest_flagged_at="timestamp"),
+        _as_signal(velocity),
+        _as_signal(large, flagged_amount="amount", latest_flagged_at="timestamp"),
         _as_signal(geo_anomalies(transactions, customers), flagged_amount="anomalous_amount",
                    latest_flagged_at="latest_at"),
         _as_signal(failure_rate_flags(transactions)),
@@ -167,6 +170,38 @@ def risk_signals(
     return tag_rows(unify_versions(*signals), process_date=day(process_date))
 
 
+def risk_signals(
+    transactions: DataFrame,
+    customers: DataFrame,
+    process_date: str | dt.date | Column,
+    seconds: int = VELOCITY_SECONDS,
+    limit: int = VELOCITY_LIMIT,
+) -> DataFrame:
+    """All five signals of a frame in one shape."""
+    return _union(velocity_alerts(transactions, seconds, limit), large_tx_flags(transactions),
+                  transactions, customers, process_date)
+
+
+def risk_signals_of_day(
+    silver: DataFrame,
+    customers: DataFrame,
+    process_date: str | dt.date,
+    seconds: int = VELOCITY_SECONDS,
+    limit: int = VELOCITY_LIMIT,
+) -> DataFrame:
+    """All five signals of one day: bursts that began before midnight count in full, and amounts
+    are measured by the customer's mean over that day and the ``MEAN_DAYS`` before."""
+    today = scan_day(silver, "event_date", process_date)
+    start = day(process_date).cast("timestamp")
+    near = scan_lookback(silver, process_date, -(-seconds // 86_400)).filter(
+        F.col("timestamp") >= start - F.make_dt_interval(secs=F.lit(seconds)))
+    month = scan_lookback(silver, process_date, MEAN_DAYS)
+    means = month.groupBy("customer_id").agg(F.avg("amount").alias("customer_avg_amount"))
+    return _union(
+        velocity_alerts(near, seconds, limit, process_date),
+        _outsized(today, means, ["customer_id"]), today, customers, process_date)
+
+
 def gold_risk(silver: DataFrame, process_date: str | dt.date) -> DataFrame:
     """Volume by currency of one day, the table the risk job keeps."""
     today = scan_day(silver, "event_date", process_date)

@@ -11,8 +11,8 @@ def date_key(column: str) -> Column:
 
 
 def merchant_key() -> Column:
-    text = [F.coalesce(F.col(c), F.lit("")) for c in ("merchant", "merchant_category")]
-    return F.md5(F.concat_ws("|", *text))
+    """Hash of the pair as JSON, which quotes texts and leaves NULL out: no two pairs share one."""
+    return F.md5(F.to_json(F.struct("merchant", "merchant_category")))
 
 
 def dim_date(transactions: DataFrame) -> DataFrame:
@@ -35,6 +35,12 @@ def dim_merchant(transactions: DataFrame) -> DataFrame:
     return pairs.select(merchant_key().alias("merchant_key"), "merchant", "merchant_category")
 
 
+def dim_product(products: DataFrame) -> DataFrame:
+    return products.select(
+        "product_id", "product_name", "category", "interest_rate", "status", "minimum_balance",
+        "created_at")
+
+
 def dim_account(accounts: DataFrame) -> DataFrame:
     return accounts.select(
         "account_id", "customer_id", "account_type", "status", "balance", "currency", "created_at"

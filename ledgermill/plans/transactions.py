@@ -1,19 +1,22 @@
 """Transaction analytics at four granularities.
 
-Each granularity is its own scan: parquet hands every one of them only the few narrow columns
-it groups by, and the partial aggregation shrinks a task's rows to its groups before the shuffle.
+Alone, a granularity is its own scan: parquet hands it only the few narrow columns it groups by,
+and the partial aggregation shrinks a task's rows to its groups before the shuffle. Together they
+roll up from one scan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgermill.functions.measures import quantiles_by, rows, total
+from ledgermill.functions.measures import mean_from, quantiles_by, rows, total
 from ledgermill.functions.times import day
 from ledgermill.operators.clean import tag_rows, unify_versions
 from ledgermill.sources.scans import TRANSACTION_LOOKBACK, has_payment, scan_lookback
+from ledgermill.workspace import stage
 
 QUANTILES = {"p50_amount": 0.50, "p95_amount": 0.95, "p99_amount": 0.99}
 
@@ -73,11 +76,62 @@ def gold_transactions(silver: DataFrame, process_date: str | dt.date) -> DataFra
     return tag_rows(daily_by_type(recent), process_date=day(process_date))
 
 
+def volume_base(transactions: DataFrame) -> DataFrame:
+    """Sums at the finest grain that the four granularities share; they roll up from it."""
+    status = F.col("status")
+    return transactions.groupBy(
+        "event_date", F.date_trunc("hour", "timestamp").alias("hour"), "transaction_type",
+        "currency", "merchant_category", "payment_method",
+    ).agg(
+        *_volume(),
+        F.count_if(status == "completed").alias("completed_count"),
+        F.count_if(status == "failed").alias("failed_count"),
+        F.count_if("is_late_arrival").alias("late_arrival_count"),
+    )
+
+
+def _rolled(base: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
+    return base.groupBy(*keys).agg(
+        total("total_volume").alias("total_volume"),
+        *[F.sum(c).alias(c) for c in ["tx_count", *counts]])
+
+
+def _beside(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on keys that may be NULL."""
+    same = reduce(Column.__and__, [df[k].eqNullSafe(other[k]) for k in keys])
+    return df.join(other, same).select(
+        *[df[c] for c in df.columns], *[other[c] for c in other.columns if c not in keys])
+
+
 def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> DataFrame:
-    """All four granularities in one snapshot; columns a granularity lacks are NULL."""
+    """All four granularities in one snapshot; columns a granularity lacks are NULL.
+
+    One wide scan is summed and staged; the other two scans read what sums cannot give, quantile
+    sketches and distinct merchants, and only the columns for these.
+    """
     recent = scan_lookback(silver, process_date, TRANSACTION_LOOKBACK)
-    parts = [daily_by_type, daily_by_merchant, hourly_volume, daily_by_payment]
-    return tag_rows(unify_versions(*[p(recent) for p in parts]), process_date=day(process_date))
+    base = stage(volume_base(recent), "volume-base")
+    mean = mean_from(F.col("total_volume"), F.col("tx_count"))
+    type_keys = ["event_date", "transaction_type", "currency"]
+    merchant_keys = ["event_date", "merchant_category"]
+    by_type = _beside(
+        _rolled(base, type_keys, ["completed_count", "failed_count", "late_arrival_count"]),
+        quantiles(recent, type_keys), type_keys,
+    ).withColumns({
+        "avg_amount": mean,
+        "success_rate": F.col("completed_count") / F.col("tx_count"),
+        "granularity": F.lit("daily_by_type"),
+    })
+    merchants = recent.groupBy(*merchant_keys).agg(
+        F.count_distinct("merchant").alias("unique_merchants"))
+    by_merchant = _beside(_rolled(base, merchant_keys, []), merchants, merchant_keys).withColumns(
+        {"avg_amount": mean, "granularity": F.lit("daily_by_merchant")})
+    hourly = _rolled(base, ["hour", "transaction_type"], []).withColumns(
+        {"event_date": F.to_date("hour"), "granularity": F.lit("hourly")})
+    by_payment = _rolled(has_payment(base), ["event_date", "payment_method"], []).withColumn(
+        "granularity", F.lit("daily_by_payment"))
+    parts = unify_versions(by_type, by_merchant, hourly, by_payment)
+    return tag_rows(parts, process_date=day(process_date))
 
 
 def currency_volume(transactions: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Ledger tables derived from the star-schema and event tables of a data folder.
 
 Every event becomes a message with a JSON transaction, some of them untidy on purpose: padded
-or upper-case text, negative and zero amounts, unknown codes, missing customers, payloads that
-are no JSON, and a second delivery of some ids a little later.
+or upper-case text, negative and zero amounts, unknown codes, missing and unknown customers,
+payloads that are no JSON, and a second delivery of some ids a little later.
 """
 
 from __future__ import annotations
@@ -67,10 +67,12 @@ def messages(events: DataFrame) -> DataFrame:
 
     account = padded(_code("ACC", F.col("user_id") * 2 + (
         F.col("event_type") == "purchase").cast("bigint")))
+    # Some customers are unknown to the dimension.
+    stranger = F.when(_every(90, 31), 50_000_000).otherwise(0)
     payload = F.struct(
         padded(_code("TXN", F.col("event_id"))).alias("transaction_id"),
         account.alias("account_id"),
-        F.when(~_every(100, 7), _code("CUS", F.col("user_id"))).alias("customer_id"),
+        F.when(~_every(100, 7), _code("CUS", F.col("user_id") + stranger)).alias("customer_id"),
         kind.alias("transaction_type"),
         amount.cast("decimal(18,2)").alias("amount"),
         currency.alias("currency"),
@@ -141,3 +143,19 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
             created.cast("timestamp").alias("updated_at"),
         )
     )
+
+
+def products(spark: SparkSession, folder: str) -> DataFrame:
+    """A product per part: its number, name, type of account, a rate and a least balance."""
+    key = F.col("p_partkey")
+    created = F.date_add(F.lit("2015-01-01").cast("date"), (key % 2000).cast("int"))
+    return read_table(spark, folder, "part").select(
+        _code("PRD", key).alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        pick(schemas.ACCOUNT_TYPES, key % 4).alias("category"),
+        (F.col("p_size") / 4.0).alias("interest_rate"),
+        F.when(key % 10 == 0, "discontinued").otherwise("active").alias("status"),
+        F.col("p_retailprice").cast("decimal(18,2)").alias("minimum_balance"),
+        created.cast("timestamp").alias("created_at"),
+        F.date_add(created, (key % 730).cast("int")).cast("timestamp").alias("updated_at"),
+    )

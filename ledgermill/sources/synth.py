@@ -1,14 +1,10 @@
-"""Generated entities and faults: repeatable arithmetic on row ids, no random numbers."""
+"""Faults for given rows: repeatable arithmetic on row ids, no random numbers."""
 
 from __future__ import annotations
 
-from itertools import accumulate
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from ledgermill import schemas
 from ledgermill.functions.text import draw, pick
-from ledgermill.functions.times import instant
 
 # Shares of faulty rows in percent, and the fields a fault may erase.
 DUPLICATE_PERCENT = 2
@@ -17,74 +13,6 @@ NULL_PERCENT = 1
 ERASABLE = ["transaction_id", "customer_id", "amount", "timestamp"]
 
 
-def _weighted(values: list[str], weights: list[int], percent: Column) -> Column:
-    """A value by its share of 100."""
-    chosen = F.lit(values[-1])
-    for value, bound in reversed(list(zip(values[:-1], accumulate(weights)))):
-        chosen = F.when(percent < bound, value).otherwise(chosen)
-    return chosen
-
-
-def synth_customers(ids: DataFrame, start: str = "2019-01-01") -> DataFrame:
-    """One customer per ``id`` (1-based bigint column), e.g. of ``spark.range``."""
-    n = F.col("id")
-    opened = F.date_add(F.lit(start).cast("date"), (n * 37 % 1825).cast("int"))
-    return ids.select(
-        F.format_string("CUS%08d", n).alias("customer_id"),
-        F.concat(F.lit("Customer "), n).alias("name"),
-        (n * 13 % 63 + 18).cast("int").alias("age"),
-        F.concat(F.lit("NATION_"), n * 7 % 25).alias("country"),
-        pick(schemas.SEGMENTS, n * 3 % 5).alias("segment"),
-        F.concat(F.lit("customer."), n, F.lit("@example.com")).alias("email"),
-        F.format_string("+1-%010d", n).alias("phone"),
-        pick(schemas.CURRENCIES[:4], n % 4).alias("preferred_currency"),
-        opened.cast("timestamp").alias("created_at"),
-        F.date_add(opened, (n * 11 % 366).cast("int")).cast("timestamp").alias("updated_at"),
-    )
-
-
-def synth_accounts(ids: DataFrame, customer_count: int, start: str = "2019-01-01") -> DataFrame:
-    """One account per ``id``, owned by one of ``customer_count`` customers."""
-    n = F.col("id")
-    opened = F.date_add(F.lit(start).cast("date"), (n * 41 % 1825).cast("int"))
-    return ids.select(
-        F.format_string("ACC%08d", n).alias("account_id"),
-        F.format_string("CUS%08d", n * 17 % customer_count + 1).alias("customer_id"),
-        pick(schemas.ACCOUNT_TYPES, n * 3 % 4).alias("account_type"),
-        _weighted(["active", "inactive", "blocked"], [85, 10, 5], n * 19 % 100).alias("status"),
-        (n * 7919 % 50_000_001 / F.lit(100)).cast("decimal(18,2)").alias("balance"),
-        pick(schemas.CURRENCIES[:4], n % 4).alias("currency"),
-        opened.cast("timestamp").alias("created_at"),
-        F.date_add(opened, (n * 11 % 366).cast("int")).cast("timestamp").alias("updated_at"),
-    )
-
-
-def synth_transactions(
-    ids: DataFrame, account_count: int, customer_count: int, now: str, version: int = 2
-) -> DataFrame:
-    """One transaction per ``id`` within the minute before ``now``, in a payload version's shape."""
-    n = F.col("id")
-    moment = instant(now) - F.make_dt_interval(secs=(n * 7 % 60).cast("decimal(18,6)"))
-    columns = [
-        F.format_string("TXN%08d", n).alias("transaction_id"),
-        F.format_string("ACC%08d", n * 31 % account_count + 1).alias("account_id"),
-        F.format_string("CUS%08d", n * 17 % customer_count + 1).alias("customer_id"),
-        pick(schemas.TRANSACTION_TYPES, n * 3 % 5).alias("transaction_type"),
-        ((n * 7919 % 1_499_951 + 50) / F.lit(100)).cast("decimal(18,2)").alias("amount"),
-        _weighted(schemas.CURRENCIES, [50, 20, 15, 8, 3, 2, 2], n * 29 % 100).alias("currency"),
-        F.concat(F.lit("M"), n * 11 % 23).alias("merchant"),
-        pick(schemas.MERCHANT_CATEGORIES, n * 5 % 8).alias("merchant_category"),
-        moment.alias("timestamp"),
-        _weighted(schemas.STATUSES, [88, 10, 2], n * 37 % 100).alias("status"),
-    ]
-    if version >= 2:
-        columns.append(pick(schemas.PAYMENT_METHODS, n * 3 % 5).alias("payment_method"))
-    if version >= 3:
-        columns.append(F.when(n % 10 != 0, F.md5(n.cast("string"))).alias("device_fingerprint"))
-        columns.append(F.concat(F.lit("NATION_"), n * 7 % 25).alias("ip_country"))
-    return ids.select(*columns)
-
-
 def inject_faults(df: DataFrame) -> DataFrame:
     """Late events, erased fields and repeated deliveries, chosen by each row's own id.
 

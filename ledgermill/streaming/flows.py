@@ -12,10 +12,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ledgermill import schemas
 from ledgermill.functions.measures import rows, total
 from ledgermill.operators import clean
 from ledgermill.operators.dedup import dedup_latest
-from ledgermill.operators.upsert import upsert_transactions
+from ledgermill.operators.upsert import upsert_table, upsert_transactions
 from ledgermill.session import ROCKSDB
 
 # Event-time slack and default trigger.
@@ -91,7 +92,9 @@ def cleaned(bronze: DataFrame, delay: str = WATERMARK) -> DataFrame:
 def deduplicated(transactions: DataFrame) -> DataFrame:
     """Drop repeated deliveries that arrive within the watermark; state expires with it.
 
-    Copies further apart pass, so the silver upsert stays responsible for uniqueness.
+    Copies further apart pass, and rows later than the watermark are left out by Spark without a
+    trace: where every id must arrive, use ``first_deliveries_sink``, which has no watermark, or
+    take the late rows from ``late_split_sink``.
     """
     return transactions.dropDuplicatesWithinWatermark(["transaction_id"])
 
@@ -102,7 +105,11 @@ def late_split_sink(transactions: DataFrame, checkpoint: str) -> DataStreamWrite
 
 
 def hourly_volume(transactions: DataFrame) -> DataFrame:
-    """Volume per closed hour and type."""
+    """Volume per closed hour and type.
+
+    An hour is final once the watermark has passed it. Rows later than that are in the late
+    partition of ``late_split_sink``; the same function over them gives what to add.
+    """
     hour = F.window("timestamp", "1 hour").alias("window")
     return (
         transactions.groupBy(hour, "transaction_type")
@@ -123,3 +130,18 @@ def upsert_sink(bronze: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
         upsert_transactions(batch.sparkSession, path, latest)
 
     return bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+def first_deliveries_sink(bronze: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Clean each micro-batch and add the ids that the table doesn't have yet.
+
+    However late a row comes, it lands, and an id lands once: the table is the memory, not a state
+    with a time limit. A repeated batch adds nothing.
+    """
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        latest = dedup_latest(clean.clean_transactions(batch))
+        upsert_table(
+            batch.sparkSession, path, latest, ["transaction_id"], {}, F.lit(False),
+            partition_by="event_date", schema=schemas.SILVER)
+
+    return bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -7,7 +7,9 @@ import pytest
 from conftest import at, transaction
 from pyspark.sql import functions as F
 
+from ledgermill import schemas
 from ledgermill.operators import clean, dedup, tables, upsert
+from ledgermill.workspace import stage
 
 
 @pytest.fixture
@@ -57,7 +59,7 @@ def test_merge_actions(silver):
         transaction(5, amount=Decimal("5")))
     rows = {r["transaction_id"]: r for r in upsert.upsert_latest(stored, batch).collect()}
     assert {k: r["_action"] for k, r in rows.items()} == {
-        "TXN001": "update", "TXN002": "keep", "TXN003": "keep", "TXN004": "keep",
+        "TXN001": "update", "TXN002": "duplicate", "TXN003": "duplicate", "TXN004": "duplicate",
         "TXN005": "insert"}
     # Only the updatable columns change; the event day never moves.
     assert rows["TXN001"]["status"] == "failed"
@@ -74,17 +76,17 @@ def test_stored_merge_is_idempotent_and_local(spark, silver, tmp_path):
     first = silver(transaction(1, ingestion_timestamp=at(1)),
                    transaction(2, timestamp=at(1, day=16)))
     assert upsert.upsert_transactions(spark, path, first) == {
-        "insert": 2, "update": 0, "keep": 0}
+        "insert": 2, "update": 0, "duplicate": 0}
     untouched = files(path, 16)
     batch = silver(transaction(1, ingestion_timestamp=at(2), status="failed"),
                    transaction(2, timestamp=at(1, day=16)),
                    transaction(3, timestamp=at(3, day=17)))
     assert upsert.upsert_transactions(spark, path, batch) == {
-        "insert": 1, "update": 1, "keep": 1}
+        "insert": 1, "update": 1, "duplicate": 1}
     once = sorted(map(str, spark.read.parquet(path).collect()))
     assert files(path, 16) == untouched
     assert upsert.upsert_transactions(spark, path, batch) == {
-        "insert": 0, "update": 0, "keep": 3}
+        "insert": 0, "update": 0, "duplicate": 3}
     assert sorted(map(str, spark.read.parquet(path).collect())) == once
     assert len(once) == 3
 
@@ -109,7 +111,7 @@ def test_generic_merge_with_insert_values(spark, tmp_path):
         spark, path, batch, ["k"],
         {"n": upsert.source("n") + upsert.target("n")},
         insert_values={"k": upsert.source("k"), "v": F.lit("new")})
-    assert counts == {"insert": 1, "update": 1, "keep": 1}
+    assert counts == {"insert": 1, "update": 1, "duplicate": 0}
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [
         (1, "a", 10), (2, "b", 25), (3, "new", None)]
 
@@ -121,8 +123,10 @@ def test_tables(spark, silver, tmp_path):
     tables.append(rows.repartition(3), path, "event_date")
     assert tables.table_exists(spark, path) and tables.row_count(spark, path) == 3
     table = spark.read.parquet(path)
-    assert str(tables.latest_partition(table, "event_date").first()[0]) == "2024-01-16"
-    assert tables.latest_partition(table.limit(0), "event_date").first()[0] is None
+    latest = tables.latest_partition(spark, path, "event_date")
+    assert str(latest.first()[0]) == "2024-01-16"
+    assert "FileScan" not in latest._jdf.queryExecution().toString()
+    assert tables.latest_partition(spark, path + "-none", "event_date").first()[0] is None
     before = sorted(map(str, table.collect()))
     tables.compact_table(spark, path, "event_date")
     assert len(files(path, 15)) == 1
@@ -144,3 +148,57 @@ def test_unpartitioned_rewrites(spark, tmp_path):
     tables.compact_table(spark, path)
     tables.cluster_table(spark, path, ["id"])
     assert spark.read.parquet(path).agg(F.count("*"), F.sum("id")).first()[:] == (100, 4950)
+
+
+def test_replacing_by_nothing_removes_the_partition(spark, silver, tmp_path):
+    path = str(tmp_path / "t")
+    rows = silver(transaction(1), transaction(2, timestamp=at(1, day=16)))
+    tables.append(rows, path, "event_date")
+    first = rows.filter("transaction_id = 'TXN001'")
+    tables.replace_partition(first.limit(0), path, "event_date", ["2024-01-15"])
+    assert files(path, 15) == [] and len(files(path, 16)) == 1
+    tables.replace_partition(first, path, "event_date", ["2024-01-15"])
+    tables.replace_partition(first, path, "event_date", ["2024-01-15", "2024-01-16"])
+    assert len(files(path, 15)) == 1 and files(path, 16) == []
+
+
+def test_metrics_tell_duplicates_from_untouched_rows(silver):
+    stored = silver(*[transaction(i, ingestion_timestamp=at(5)) for i in range(1, 6)])
+    batch = silver(transaction(1, ingestion_timestamp=at(6)),
+                   transaction(2, ingestion_timestamp=at(5)), transaction(9))
+    found = upsert.upsert_metrics(upsert.upsert_latest(stored, batch)).collect()
+    assert dict(map(tuple, found)) == {"insert": 1, "update": 1, "duplicate": 1, "untouched": 3}
+
+
+def test_a_small_batch_does_not_shuffle_the_table(spark, silver, tmp_path):
+    path = str(tmp_path / "silver")
+    tables.append(silver(*[transaction(i) for i in range(50)]), path, "event_date")
+    table = spark.read.schema(schemas.SILVER).parquet(path)
+    batch = stage(silver(transaction(1, status="failed"), transaction(60)), "batch")
+    known = upsert.known_keys(
+        table, batch, ["transaction_id"], upsert.newer(), "event_date")
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    columns = [s for s in plan.split("ReadSchema: ")[1:] if "ingestion_timestamp" in s]
+    assert all("amount" not in s.split(">")[0] for s in columns)
+
+
+def test_merge_into_a_null_partition(spark, silver, tmp_path):
+    path = str(tmp_path / "silver")
+    upsert.upsert_transactions(spark, path, silver(transaction(1, timestamp=None)))
+    again = silver(transaction(1, timestamp=None, ingestion_timestamp=at(23), status="failed"))
+    assert upsert.upsert_transactions(spark, path, again)["update"] == 1
+    rows = spark.read.schema(schemas.SILVER).parquet(path).collect()
+    assert [(r["status"], r["event_date"]) for r in rows] == [("failed", None)]
+
+
+def test_rewrite_is_arranged_once(spark, silver, tmp_path):
+    """Sixty-four tasks over three days leave few files in the copy and in the table."""
+    path = str(tmp_path / "t")
+    rows = silver(*[transaction(i, timestamp=at(1, day=15 + i % 3)) for i in range(300)])
+    tables.append(rows, path, "event_date")
+    spread = spark.read.schema(schemas.SILVER).parquet(path).repartition(64)
+    tables.rewrite_table(
+        spread, path, "event_date", lambda df: df.hint("rebalance", "event_date"))
+    assert max(len(files(path, d)) for d in (15, 16, 17)) <= 2
+    assert spark.read.parquet(path).count() == 300

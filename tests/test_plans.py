@@ -1,5 +1,6 @@
 """Physical plans: what is pushed down, what is shuffled, what stays out of single tasks."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -115,6 +116,74 @@ def test_trailing_windows_are_split_by_time(silver):
     assert "partial_count(1)" in text
 
 
+def run_with_small_skew(spark, df):
+    """The plan that ran where partitions above a few kilobytes count as skewed."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        result = df()
+        result.collect()
+        return plan(result)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_customer_is_split(spark, silver):
+    hot = F.when(F.col("kafka_offset") % 3 > 0, "HOT").otherwise(F.col("customer_id"))
+    many = F.explode(F.array([F.lit(i) for i in range(20)]))
+    rows = silver.withColumn("customer_id", hot).withColumn("_copy", many).drop("_copy")
+    rows = stage(rows.repartition(16), "hot")
+    text = run_with_small_skew(spark, lambda: risk.large_tx_flags(rows).select(
+        "transaction_id", "amount", "risk_level"))
+    assert "skew=true" in text
+
+
+def test_rows_without_id_never_enter_the_join(spark):
+    bronze = catalog.tables_of(spark, "/root/testdata/sf0.001").bronze
+    parsed = stage(clean.parse_payload(bronze), "parsed")
+    text = plan(clean.decision_tree(parsed))
+    # The union's first branch is the join, over rows that pass all rules; its second is a scan.
+    union, join = text.index("Union"), text.index("Join")
+    assert union < join and text.count("Join") == 1
+    accepted = text[join:text.index("FileScan", join)]
+    assert re.search(r"Filter .*isnull\(trim\(transaction_id", accepted)
+
+
+def test_one_wide_scan_for_all_granularities(silver):
+    text = plan(tx.gold_transactions_union(silver, "2024-01-30"))
+    schemas_read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    ledger_scans = [s for s in schemas_read if "amount:" in s or "merchant:" in s]
+    # Beside the staged base: amounts for the sketches, merchants for the distinct count.
+    assert len(ledger_scans) == 2
+    assert sorted(s.count(":") for s in ledger_scans) == [2, 3]
+
+
+def test_freshness_reads_the_last_days_only(spark):
+    bronze = catalog.tables_of(spark, "/root/testdata/sf0.001").bronze
+    table = stage(bronze, "bronze", "ingestion_date")
+    text = plan(quality.bronze_freshness(table, "2024-01-31 00:00:00"))
+    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_date#\d+ >= 2024-01-30", text)
+
+
+def test_a_wide_frame_counts_the_lookback_only(frame):
+    rows = [transaction(i, customer_id="C", timestamp=dt.datetime(2024, 1, 30) - dt.timedelta(i))
+            for i in range(-3, 120)]
+    df = frame(*rows).withColumn("event_date", F.to_date("timestamp"))
+    core = cust.customer_core_agg(df, "2024-01-30").first()
+    assert (core["total_transactions"], core["active_days"]) == (91, 91)
+
+
 def test_hot_customer_results(frame, spark):
     """A customer with a third of all rows: same numbers as plain arithmetic."""
     rows = [transaction(i, i, customer_id="HOT" if i % 3 == 0 else f"C{i}", account_id=f"A{i % 2}")

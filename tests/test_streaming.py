@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -92,6 +93,32 @@ def test_dedup_within_watermark(spark, folder, bronze):
     assert ids.count() == ids.distinct().count() == 300
 
 
+@pytest.fixture(scope="module")
+def disorder(spark, arrivals):
+    """The same messages dealt to six files by offset, so that every file brings early events
+    hours behind what earlier triggers have seen; one id comes once, last and very late."""
+    path = new_path(spark, "disorder")
+    for k in range(6):
+        part = arrivals[k::6]
+        if k == 5:
+            key, value, topic, partition, _, arrival = arrivals[0]
+            value = re.sub(rb"TXN\d+", b"LATE001", value).replace(b"2024-01-15T", b"2024-01-14T")
+            part = [*part, (key, value, topic, partition, 10_000, arrival)]
+        spark.createDataFrame(part, schemas.TRANSPORT).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_no_id_is_lost_however_late(spark, disorder):
+    path, checkpoint = new_path(spark, "first"), new_path(spark, "checkpoint")
+    for _ in range(2):
+        flows.run_available(
+            spark, flows.first_deliveries_sink(stream(spark, disorder), path, checkpoint))
+    batch = transport.bronze_project(spark.read.parquet(disorder), F.col("timestamp"))
+    wanted = dedup.dedup_latest(clean.clean_transactions(batch)).select("transaction_id")
+    landed = spark.read.parquet(path).select("transaction_id")
+    assert rows(landed) == rows(wanted) and wanted.count() == 301
+
+
 def delayed(bronze):
     """Every fifth message arrives forty minutes later than it did."""
     arrival = F.col("ingestion_timestamp")
@@ -168,8 +195,10 @@ def test_trailing_sums():
 
 def test_kafka_options():
     options = transport.kafka_options("broker:9092", "topic")
-    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "100000"
+    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "true"
+    assert "maxOffsetsPerTrigger" not in options
+    options = transport.kafka_options("b", "t", max_offsets=7, fail_on_data_loss=False)
+    assert (options["maxOffsetsPerTrigger"], options["failOnDataLoss"]) == ("7", "false")
 
 
 def test_keyed_json(spark):

@@ -120,3 +120,44 @@ def test_signals_share_one_shape(spark, frame):
     signals = risk.risk_signals(rows, customers, "2024-01-15")
     assert {r["risk_signal"] for r in signals.collect()} == {"geo_anomaly", "currency_exposure"}
     assert signals.columns == [*risk.SIGNAL_COLUMNS, "process_date"]
+
+
+def test_levels_at_the_bounds_are_exact(frame):
+    """Exactly ten and five times the mean are not above it; in doubles 2.35 / 0.235 would be."""
+    means = [(f"C{i}", Decimal(m)) for i, m in enumerate(
+        ["0.235000", "0.235000", "0.470000", "0.500000"])]
+    rows = [transaction(i, customer_id=f"C{i}", amount=Decimal(a)) for i, a in enumerate(
+        ["2.35", "2.36", "2.35", "2.51"])]
+    df = frame(*rows)
+    known = df.sparkSession.createDataFrame(
+        means, "customer_id string, customer_avg_amount decimal(22,6)")
+    found = {r["customer_id"]: r for r in risk._outsized(df, known, ["customer_id"]).collect()}
+    assert {c: r["risk_level"] for c, r in found.items()} == {
+        "C0": "HIGH", "C1": "CRITICAL", "C2": "MEDIUM", "C3": "HIGH"}
+    assert found["C0"]["amount_vs_avg_ratio"] == 10
+
+
+def test_a_burst_over_midnight_is_flagged(spark, frame):
+    start = dt.datetime(2024, 1, 15, 23, 57)
+    burst = [transaction(i, account_id="A", customer_id="C",
+                         timestamp=start + dt.timedelta(minutes=i)) for i in range(7)]
+    old = [transaction(50 + i, account_id="A", customer_id="C", timestamp=at(12, i))
+           for i in range(9)]
+    df = frame(*burst, *old).withColumn("event_date", F.to_date("timestamp"))
+    people = spark.createDataFrame([("C", "BR", "retail")], CUSTOMERS)
+    signals = risk.risk_signals_of_day(
+        df.withColumn("ip_country", F.lit("BR")), people, "2024-01-16")
+    velocity = signals.filter("risk_signal = 'velocity_alert'").collect()
+    # Three of the seven lie before midnight; the two last ones see six and seven.
+    assert [(r["account_id"], r["flagged_amount"]) for r in velocity] == [("A", Decimal("20.00"))]
+
+
+def test_a_day_is_measured_by_the_month(spark, frame):
+    usual = [transaction(i, customer_id="C", timestamp=at(10, day=1 + i)) for i in range(14)]
+    large = transaction(99, customer_id="C", amount=Decimal("60.00"), timestamp=at(10))
+    df = frame(*usual, large).withColumn("event_date", F.to_date("timestamp"))
+    people = spark.createDataFrame([("C", "BR", "retail")], CUSTOMERS)
+    signals = risk.risk_signals_of_day(
+        df.withColumn("ip_country", F.lit("BR")), people, "2024-01-15")
+    found = signals.filter("risk_signal = 'large_transaction'").collect()
+    assert [(r["transaction_id"], r["risk_level"]) for r in found] == [("TXN099", "MEDIUM")]
