@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from examples import CLASHES, DOCS, awkward
+from llm.examples import CLASHES, DOCS, awkward
 
 
 @pytest.fixture(scope="session")

@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from examples import bag
+from llm.examples import bag
 
 from ledgermill.llm import langid
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
-from examples import bag
+from llm.examples import bag
 from pyspark.sql import functions as F
 
 from ledgermill.llm import mix

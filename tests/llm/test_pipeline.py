@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import pytest
-from examples import bag
+from llm.examples import bag
 
 from checks.compare import connect, difference
 from ledgermill.llm import bpe, catalog, langid, mix, recipes, simhash

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from examples import bag, words
+from llm.examples import bag, words
 from pyspark.sql import functions as F
 
 from ledgermill.llm import recipes

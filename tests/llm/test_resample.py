@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from examples import bag
+from llm.examples import bag
 
 from ledgermill.llm import resample
 

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from examples import bag, words
+from llm.examples import bag, words
 
 from ledgermill.llm import rules
 

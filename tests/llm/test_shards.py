@@ -5,7 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from examples import bag
+from llm.examples import bag
 
 from ledgermill.llm import shards
 

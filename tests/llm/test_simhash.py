@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from examples import awkward, bag, words
+from llm.examples import awkward, bag, words
 
 from ledgermill.llm import graph, simhash
 

@@ -5,7 +5,7 @@ import hashlib
 from collections import Counter
 
 import pytest
-from examples import bag
+from llm.examples import bag
 
 from ledgermill.llm import warc
 from ledgermill.workspace import new_path
