@@ -8,8 +8,9 @@ down first. By the triangle inequality a pair whose distances to any one pivot d
 than the radius cannot link: a cell is sorted by the first coordinate and walked in that window,
 the other coordinates discard nearly all that is left, and only survivors are compared.
 
-A cell with many entries is dealt out as cells of two slices each, so no task holds a whole hot
-group. A cell gives only a spanning forest of its links, its members tied like a binary heap, so
+A cell with many entries is cut by the bits outside its key in the same way; one that still has
+many, because its entries are near-copies of each other, is dealt out as cells of two slices each,
+so no task holds a whole hot group. A cell gives only a spanning forest of its links, its members tied like a binary heap, so
 that neither the edges nor a node's degree grow with the square of a group.
 """
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import anchored, arrow, fresh
@@ -103,42 +104,65 @@ def masks(entries: int, radius: int = RADIUS) -> list[int]:
     return [sum(chosen) for chosen in itertools.combinations(blocks, m - radius)]
 
 
+def rest_masks(mask: int, radius: int = RADIUS) -> list[int]:
+    """The bits outside a mask in radius + 1 parts, one of which no ``radius`` changes touch."""
+    bits = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(bits) * k // (radius + 1) for k in range(radius + 2)]
+    return [sum(1 << b for b in bits[x:y]) for x, y in itertools.pairwise(cuts)]
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _keys_of(chosen: list[int]) -> Column:
+    """What is left of a fingerprint under each mask."""
+    return F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in chosen))
+
+
 def links(entries: DataFrame, radius: int = RADIUS, slice_rows: int = SLICE) -> DataFrame:
     """Edges (a, b) of a spanning forest of all links among the distinct longs in ``fp``."""
     keys = masks(entries.count(), radius)
-    found = entries.select("fp", F.posexplode(F.array(
-        *(F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in keys))).alias("t", "key"))
+    found = entries.select("fp", F.posexplode(_keys_of(keys)).alias("t", "key"))
     crowded = stage(
         found.groupBy("t", "key").count().filter(F.col("count") > slice_rows)
-        .select("t", "key", F.ceil(F.col("count") / slice_rows).cast("int").alias("slices")),
-        "crowded")
+        .select("t", "key", F.lit(True).alias("crowded")), "crowded")
+    # Within a crowded cell the other bits make keys in the same way; pairs that link agree in one.
+    rest = F.array(*(_keys_of(rest_masks(m, radius)) for m in keys))
+    finer = F.when(F.col("crowded"), F.element_at(rest, F.col("t") + 1)).otherwise(
+        F.array(F.lit(0).cast("long")))
+
+    def split(rows: DataFrame) -> DataFrame:
+        return rows.select("fp", "t", "key", F.posexplode(finer).alias("u", "key2"))
+
+    cell = ["t", "key", "u", "key2"]
+    still = stage(
+        split(found.join(crowded, ["t", "key"])).groupBy(*cell).count()
+        .filter(F.col("count") > slice_rows)
+        .select(*cell, F.ceil(F.col("count") / slice_rows).cast("int").alias("slices")), "sliced")
     slices = F.coalesce("slices", F.lit(1))
     own = F.pmod(F.xxhash64("fp", F.lit(7)), slices).cast("int")
     cells = (
-        found.join(crowded, ["t", "key"], "left")
-        .select("fp", "t", "key", own.alias("own"),
+        split(found.join(crowded, ["t", "key"], "left")).join(still, cell, "left")
+        .select("fp", *cell, own.alias("own"),
                 F.explode(F.sequence(F.lit(0), slices - 1)).alias("other"))
-        .select("fp", "t", "key", F.least("own", "other").alias("i"),
+        .select("fp", *cell, F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j"),
                 F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(int(PIVOTS[0]))).cast("long")))
                 .cast("int").alias("first")))
-    order = ["t", "key", "i", "j"]
+    order = [*cell, "i", "j"]
     dealt = cells.repartition(*order).sortWithinPartitions(*order, "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(1 + len(order))]
                 rest = new if rest is None else [np.concatenate(x) for x in zip(rest, new)]
             if rest is None or not len(rest[0]):
                 continue
             cell = np.concatenate(([0], np.cumsum(
-                np.any([x[1:] != x[:-1] for x in rest[1:5]], axis=0))))
+                np.any([x[1:] != x[:-1] for x in rest[1:]], axis=0))))
             done = len(cell) if batch is None else int(np.searchsorted(cell, cell[-1]))
             if done:
                 a, b = forest(rest[0][:done].view(np.uint64), cell[:done], radius)

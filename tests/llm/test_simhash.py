@@ -93,6 +93,16 @@ def test_links_span_what_all_pairs_span(spark, slice_rows):
     assert all(root == min(group) for root, group in ours.items())
 
 
+def test_rest_of_a_key_survives_too():
+    rng = random.Random(9)
+    for mask in simhash.masks(10**8):
+        rest = simhash.rest_masks(mask)
+        assert sum(rest) == (1 << 64) - 1 - mask
+        for _ in range(20):
+            change = near(0, rng, 4)
+            assert mask & change or any(m & change == 0 for m in rest)
+
+
 def test_a_hot_group_makes_no_more_edges_than_nodes():
     rng = random.Random(6)
     fp = np.array(sorted({near(1 << 60, rng, 2) for _ in range(600)}), np.uint64)
@@ -153,3 +163,16 @@ def test_components_of_chains_hubs_and_loops(spark):
     assert {found[k] for k in range(51)} == {0}
     assert {found[k] for k in range(100, 160)} == {100} and found[201] == 200
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_crowded_cells_are_cut_finer_and_lose_nothing(spark):
+    """All entries share one block of bits, and some of them lie close together."""
+    rng = random.Random(11)
+    prints = sorted({(near(x, rng, 2) & ~0x1FFF) | 5 for x in some_prints(12, 40, 30)})
+    df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
+    found = {r["node"]: r["root"] for r in graph.components(simhash.links(df, 4, 20)).collect()}
+    want = {}
+    for x, label in zip(prints, brute(prints)):
+        want.setdefault(label, []).append(signed(x))
+    lowest = {x: min(group) for group in want.values() for x in group}
+    assert {x: found.get(x, x) for x in lowest} == lowest
