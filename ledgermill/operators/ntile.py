@@ -1,16 +1,9 @@
 """``ntile`` over a whole table without a single-task window.
 
-A global ``ntile`` sorts every row in one task. Only the first row of each tile matters, so
-find those few rows and compare everything with them:
-
-1. cut points: the sort keys of a small, hash-chosen share of the rows;
-2. rows per interval between cuts, hence the interval that holds each tile's first row;
-3. ``row_number`` inside those few intervals gives the first rows exactly;
-4. tile of a row = 1 + number of later tiles' first rows at or below its key.
-
-The answer does not depend on which cuts were chosen: they only decide how small the intervals
-are. Sort keys end in a unique id, so no value, however frequent, makes a large interval.
-Several rankings of the same rows share each of the steps.
+A global ``ntile`` sorts every row in one task. Here the rows of all rankings are dealt to tasks by
+ranges of (ranking, value, id) in one exchange and sorted there. A row's rank is its place in its
+task plus the rows of the tasks before, and its tile follows from the rank. Sort keys end in a
+unique id, so no value, however frequent, makes a range that cannot be cut.
 """
 
 from __future__ import annotations
@@ -19,83 +12,43 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CUTS = 1024
-# Powers of two for a binary search among at most 2 * 4096 - 1 cuts.
-_STRIDES = [2**i for i in range(12, -1, -1)]
-
-
-def _key(order: Column, unique_id: Column) -> Column:
-    return F.struct(order.alias("value"), unique_id.alias("id"))
-
+from ledgermill.workspace import stage
 
-def _common_key(order: Column, unique_id: Column) -> Column:
-    """The key in the one type that serves all rankings."""
-    return _key(order.cast("decimal(38,6)"), unique_id)
+# A monotonically increasing id has the task in its upper bits and the row in these.
+_ROW_BITS = 33
+_ROW = (1 << _ROW_BITS) - 1
 
 
-def _interval(cuts: Column, key: Column) -> Column:
-    """How many cuts lie below the key (binary search in a sorted array)."""
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in _STRIDES]),
-        F.lit(0),
-        lambda at, stride: F.when(
-            F.get(cuts, at + stride - F.lit(1)) < key, at + stride
-        ).otherwise(at),
-    )
+def _tile(rank: Column, count: Column, tiles: int) -> Column:
+    """Tile, from 1, of a rank, from 0: the first ``count % tiles`` tiles have a row more."""
+    small, longer = F.floor(count / tiles), count % tiles
+    in_longer = longer * (small + 1)
+    return F.when(rank < in_longer, F.floor(rank / (small + 1)) + 1).otherwise(
+        longer + F.floor(F.try_divide(rank - in_longer, small)) + 1).cast("int")
 
 
-def tile_starts(
-    df: DataFrame, tiles: int, orders: Mapping[str, Column], unique_id: str
-) -> DataFrame:
-    """Per ranking, the sort keys of the first rows of tiles 2, 3, ... that exist."""
-    count = df.agg(F.count(F.lit(1))).scalar()
-    table = df.select(F.col(unique_id).alias("id"), *[o.alias(n) for n, o in orders.items()])
-    keys = {name: _key(F.col(name), F.col("id")) for name in orders}
-    share = F.greatest(F.expr(f"n div {CUTS}"), F.lit(1))
-    cuts = (
-        table.withColumn("n", count).filter(F.pmod(F.xxhash64("id"), share) == 0)
-        .agg(F.struct(*[F.sort_array(F.collect_list(k)).alias(n) for n, k in keys.items()]))
-        .scalar()
-    )
-    placed = table.withColumn("cuts", cuts).select(
-        *table.columns,
-        F.inline(F.array(*[
-            F.struct(F.lit(n).alias("ranking"),
-                     _interval(F.col("cuts")[n], k).alias("interval"))
-            for n, k in keys.items()
-        ])),
-    )
-    # At most one row per ranking and interval from here to the join.
-    sizes = placed.groupBy("ranking", "interval").agg(F.count(F.lit(1)).alias("size"))
-    earlier = (
-        Window.partitionBy("ranking").orderBy("interval")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    tile = F.col("tile")
-    position = F.col("first_rank") - F.col("before")
-    wanted = (
-        sizes.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-        .withColumn("n", count)
-        .withColumn("tile", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))))
-        # Tiles have n div k rows, the first n mod k of them one more.
-        .withColumn(
-            "first_rank",
-            tile * F.expr(f"n div {tiles}") + F.least(tile, F.expr(f"n % {tiles}")) + 1)
-        .filter(position.between(F.lit(1), F.col("size")))
-        .groupBy("ranking", "interval").agg(F.collect_set(position).alias("positions"))
-    )
-    key = F.coalesce(*[
-        F.when(F.col("ranking") == n, _common_key(F.col(n), F.col("id"))) for n in orders
+def ranks(df: DataFrame, orders: Mapping[str, Column], unique_id: str) -> DataFrame:
+    """(id, ranking, rank, count): the place, from 0, of every row in every ranking."""
+    values = F.array(*[
+        F.struct(F.lit(k).alias("ranking"), order.cast("decimal(38,6)").alias("value"))
+        for k, order in enumerate(orders.values())
     ])
-    within = Window.partitionBy("ranking", "interval").orderBy("key")
-    # One row per ranking and later tile at most, hence the broadcast.
-    return (
-        placed.join(F.broadcast(wanted), ["ranking", "interval"])
-        .select("ranking", "interval", "positions", key.alias("key"))
-        .withColumn("position", F.row_number().over(within).cast("bigint"))
-        .filter(F.array_contains("positions", F.col("position")))
-        .select("ranking", "key")
-    )
+    key = ["ranking", "value", "id"]
+    placed = stage(
+        df.select(F.col(unique_id).alias("id"), F.inline(values))
+        .repartitionByRange(*key).sortWithinPartitions(*key)
+        .select("id", "ranking", F.monotonically_increasing_id().alias("place")), "ranked")
+    task = F.shiftrightunsigned("place", _ROW_BITS)
+    sizes = placed.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("size"))
+    # One row per task from here to the join.
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(sizes.select(
+        "task", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"),
+        (F.sum("size").over(Window.partitionBy()) / len(orders)).cast("bigint").alias("count")),
+        "rank-starts")
+    rank = F.col("start") + F.col("place").bitwiseAND(F.lit(_ROW)) - F.col("ranking") * F.col("count")
+    return placed.withColumn("task", task).join(starts, "task").select(
+        "id", "ranking", rank.alias("rank"), "count")
 
 
 def add_ntiles(
@@ -103,20 +56,11 @@ def add_ntiles(
 ) -> DataFrame:
     """A column ``ntile(tiles) over (order by <order>, <unique_id>)`` per entry of ``orders``.
 
-    Orders are integers or decimals, ascending; negate for descending. ``df`` is read several
-    times, so stage it first where computing it is dear.
+    Orders are integers or decimals, ascending; negate for descending. ``df`` is read twice, so
+    stage it first where computing it is dear.
     """
-    first_rows = tile_starts(df, tiles, orders, unique_id)
-    starts = first_rows.agg(F.struct(*[
-        F.collect_list(F.when(F.col("ranking") == n, F.col("key"))).alias(n) for n in orders
-    ])).scalar()
-
-    def tile(name: str, order: Column) -> Column:
-        key = _common_key(order, F.col(unique_id))
-        return F.size(F.filter(F.col("_starts")[name], lambda s: s <= key)) + 1
-
-    return (
-        df.withColumn("_starts", starts)
-        .withColumns({name: tile(name, order) for name, order in orders.items()})
-        .drop("_starts")
-    )
+    tile = _tile(F.col("rank"), F.col("count"), tiles)
+    wide = ranks(df, orders, unique_id).groupBy("id").agg(*[
+        F.max(F.when(F.col("ranking") == k, tile)).alias(name) for k, name in enumerate(orders)])
+    return df.join(wide.withColumnRenamed("id", unique_id), unique_id).select(
+        *df.columns, *orders)
