@@ -36,7 +36,8 @@ def _letters() -> np.ndarray:
 
 @lru_cache(maxsize=1 << 16)
 def _letter(code: int) -> np.ndarray:
-    return (np.random.default_rng([SEED, code]).integers(0, 2, DIMENSIONS, np.int8) * 2 - 1).astype(np.int8)
+    drawn = np.random.default_rng([SEED, code]).integers(0, 2, DIMENSIONS, np.int8)
+    return (drawn * 2 - 1).astype(np.int8)
 
 
 def grams(text: str) -> np.ndarray:
@@ -132,7 +133,8 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs, codes = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
+            langs, codes = np.unique(
+                np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
             items = ((int(c), g) for c, x in zip(codes, batch.column(1)) if len(g := grams(x.as_py())))
             for groups, found in _chunks(items):
                 part = bundle(groups, found, len(langs))
@@ -154,7 +156,8 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages")
     vectors = np.array([v for _, v in found], np.float64).reshape(-1, DIMENSIONS)
-    return [x for x, _ in found], vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+    lengths = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+    return [x for x, _ in found], vectors / lengths
 
 
 def predictor(langs: list[str], prototypes: np.ndarray):
@@ -167,7 +170,8 @@ def predictor(langs: list[str], prototypes: np.ndarray):
         items = ((k, g) for k, x in enumerate(texts) if x and len(g := grams(x)))
         for places, found in _chunks(items):
             vectors = bundle(list(range(len(places))), found, len(places))
-            cosine = vectors @ prototypes.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+            lengths = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+            cosine = vectors @ prototypes.T / lengths
             for place, best, row in zip(places, cosine.argmax(axis=1), cosine):
                 names[place], scores[place] = langs[best], float(min(1.0, max(0.0, row[best])))
         return names, scores
@@ -192,8 +196,10 @@ def identify(docs: DataFrame) -> DataFrame:
                 [*batch.columns[:2], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])
 
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
-    schema = rows.select("doc_id", "held_out", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    rows = docs.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
+    schema = rows.select(
+        "doc_id", "held_out", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return rows.transform(arrow, run, schema)
 
 

@@ -10,7 +10,7 @@ documents are grouped and joined as recipes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import anchored, computed, lower_az
@@ -61,7 +61,7 @@ def recipes(docs: DataFrame, carry: list[str], hashed=digest) -> DataFrame:
         return rows.withColumn("ordinals", F.array().cast("array<int>"))
     # Contents of the hashes in question, numbered, and every recipe in which they occur.
     contents = pieces(cut).join(twice, "h", "left_semi").distinct()
-    number = F.row_number().over(_window("h", "chunk"))
+    number = F.row_number().over(Window.partitionBy("h").orderBy("chunk"))
     numbered = stage(contents.withColumn("ordinal", number), "numbered")
     affected = (rows.select("uid", "text_sha256", F.explode("recipe").alias("h"))
                 .join(twice, "h", "left_semi").select("uid").distinct())
@@ -82,12 +82,6 @@ def recipes(docs: DataFrame, carry: list[str], hashed=digest) -> DataFrame:
         "ordinals", F.coalesce("ordinals", F.array().cast("array<int>"))), "recipes")
 
 
-def _window(key: str, order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy(order)
-
-
 def duplicates(docs: DataFrame, carry: list[str] | None = None, hashed=digest) -> DataFrame:
     """One row per row of ``docs``, dropped ones too: ``carry`` (``doc_id`` by default, and it must
     be among them), ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.

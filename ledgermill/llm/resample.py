@@ -146,6 +146,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None,
 
     rows = docs.select("doc_id", F.col("text").cast("string"))
     schema = rows.select("doc_id", F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("gumbel_key")).schema
-    scored = stage(rows.transform(arrow, run, schema).withColumn("uid", F.monotonically_increasing_id()), "scored")
+    scored = rows.transform(arrow, run, schema)
+    scored = stage(scored.withColumn("uid", F.monotonically_increasing_id()), "scored")
     keep = top(scored, "gumbel_key", "uid", int(share * scored.count() + 0.5))
     return scored.select("doc_id", "log_weight", "gumbel_key", keep.alias("kept"))

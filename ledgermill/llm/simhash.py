@@ -10,8 +10,9 @@ the other coordinates discard nearly all that is left, and only survivors are co
 
 A cell with many entries is cut by the bits outside its key in the same way; one that still has
 many, because its entries are near-copies of each other, is dealt out as cells of two slices each,
-so no task holds a whole hot group. A cell gives only a spanning forest of its links, its members tied like a binary heap, so
-that neither the edges nor a node's degree grow with the square of a group.
+so no task holds a whole hot group. A cell gives only a spanning forest of its links, its members
+tied like a binary heap, so that neither the edges nor a node's degree grow with the square of a
+group.
 """
 
 from __future__ import annotations
@@ -157,7 +158,7 @@ def links(entries: DataFrame, radius: int = RADIUS, slice_rows: int = SLICE) ->
         rest: list[np.ndarray] | None = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(1 + len(order))]
+                new = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:1 + len(order)]]
                 rest = new if rest is None else [np.concatenate(x) for x in zip(rest, new)]
             if rest is None or not len(rest[0]):
                 continue
@@ -211,7 +212,9 @@ def forest(fp: np.ndarray, cell: np.ndarray, radius: int) -> tuple[np.ndarray, n
     return value[child], value[parent[child]]
 
 
-def _grouped(docs: DataFrame, carry: list[str], words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+def _grouped(
+    docs: DataFrame, carry: list[str], words: int, radius: int
+) -> tuple[DataFrame, DataFrame]:
     """(carry, fp) of every row, and (fp, root, component_id) of every fingerprint; both written."""
     marked = stage(fingerprints(docs, carry, words), "fingerprints")
     entries = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "entries")

@@ -116,10 +116,13 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", *anchor, F.col("url").cast("string"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    narrow = stage(rows.select("page_id", *anchor, "digest", F.octet_length("payload").alias("payload_bytes")), "payloads")
+    size = F.octet_length("payload").alias("payload_bytes")
+    narrow = stage(rows.select("page_id", *anchor, "digest", size), "payloads")
     again = stage(revisits(narrow, anchor), "revisits")
     marked = rows.join(again, anchor, "left").select(
-        "page_id", "url", "payload", "digest", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
+        F.col("page_id").cast("long").alias("page_id"), "url", "payload", "digest",
+        F.col("refers_to").cast("long").alias("refers_to"),
+        F.coalesce("revisit", F.lit(False)).alias("revisit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, name, at = None, "", 0
@@ -137,13 +140,11 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
                 made.append((surt(page["url"]), NO_ID if page_id is None else page_id, name, at, len(data)))
                 at += len(data)
             out.flush()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 5, _CAPTURE.types)], schema=_CAPTURE)
+            yield _captures(made)
         if out is not None:
             out.close()
 
-    return stage(marked.withColumn("page_id", F.col("page_id").cast("long"))
-                 .withColumn("refers_to", F.col("refers_to").cast("long")).transform(arrow, run, _CAPTURE_SQL), "captures")
+    return stage(marked.transform(arrow, run, _CAPTURE_SQL), "captures")
 
 
 _CAPTURE = pa.schema([("key", pa.string()), ("id", pa.int64()), ("file", pa.string()),
@@ -151,6 +152,12 @@ _CAPTURE = pa.schema([("key", pa.string()), ("id", pa.int64()), ("file", pa.stri
 _CAPTURE_SQL = "key string, id long, file string, offset long, length long"
 
 
+def _captures(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(_CAPTURE)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, _CAPTURE.types)], schema=_CAPTURE)
+
+
 def build_index(captures: DataFrame, folder: str, lines: int = LINES) -> list[dict]:
     """Write sorted blocks and their directories; the bounds of each index part, in order.
 
@@ -187,10 +194,10 @@ def build_index(captures: DataFrame, folder: str, lines: int = LINES) -> list[di
                 "part": name, "low_key": first[0], "low_id": first[1], "high_key": last[0],
                 "high_id": last[1], "blocks": len(directory)}])
 
+    bounds = "low_key string, low_id long, high_key string, high_id long"
     made = stage(
         captures.repartitionByRange("key", "id").sortWithinPartitions("key", "id", "file", "offset")
-        .transform(arrow, run, "part string, low_key string, low_id long, high_key string, high_id long, blocks long"),
-        "index-parts")
+        .transform(arrow, run, f"part string, {bounds}, blocks long"), "index-parts")
     return [r.asDict() for r in made.orderBy("low_key", "low_id").collect()]
 
 
@@ -207,7 +214,8 @@ class _Part:
     def load(self, n: int) -> None:
         if n != self.at:
             _, _, offset, length = self.directory[n]
-            self.block = [x.split(" ") for x in gzip.decompress(self.file.read_at(length, offset)).decode().split("\n")]
+            text = gzip.decompress(self.file.read_at(length, offset)).decode()
+            self.block = [x.split(" ") for x in text.split("\n")]
             self.keys = [(x[0], int(x[1])) for x in self.block]
             self.at = n
 
@@ -236,7 +244,8 @@ def lookup(queries: DataFrame, folder: str, parts: list[dict]) -> DataFrame:
         for batch in batches:
             keys, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             found = [bisect.bisect_left(highs, x) for x in zip(keys, ids)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], names=["key", "id", "part"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.int32())], names=["key", "id", "part"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, part = -1, None
@@ -248,8 +257,7 @@ def lookup(queries: DataFrame, folder: str, parts: list[dict]) -> DataFrame:
                 if n != at:
                     at, part = n, _Part(folder, names[n])
                 made += [(key, page, *x) for x in part.find((key, page))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 5, _CAPTURE.types)], schema=_CAPTURE)
+            yield _captures(made)
 
     asked = queries.select("key", "id").distinct().transform(arrow, route, "key string, id long, part int")
     return (asked.repartitionByRange("part", "key", "id").sortWithinPartitions("part", "key", "id")
@@ -289,10 +297,11 @@ def keys(pages: DataFrame) -> DataFrame:
         for batch in batches:
             ids = [NO_ID if x is None else x for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([surt(x) for x in batch.column(0).to_pylist()], pa.string()), pa.array(ids, pa.int64())],
-                names=["key", "id"])
+                [pa.array([surt(x) for x in batch.column(0).to_pylist()], pa.string()),
+                 pa.array(ids, pa.int64())], names=["key", "id"])
 
-    return pages.select(F.col("url").cast("string"), F.col("page_id").cast("long")).transform(arrow, run, "key string, id long")
+    named = pages.select(F.col("url").cast("string"), F.col("page_id").cast("long"))
+    return named.transform(arrow, run, "key string, id long")
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -325,5 +334,6 @@ def captures_of(folder: str, parts: list[dict], url: str) -> list[dict]:
                     if line[0] != want:
                         break
                     with files.open_random(f"{folder}/{line[2]}") as file:
-                        out.append(parse(zlib.decompress(file.read_at(int(line[4]), int(line[3])), wbits=31)))
+                        data = file.read_at(int(line[4]), int(line[3]))
+                    out.append(parse(zlib.decompress(data, wbits=31)))
     return out
