@@ -61,17 +61,9 @@ def targets(sizes: DataFrame) -> DataFrame:
         .otherwise((free * F.col("weight")).cast("double") / share.cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, carry: list[str] | None = None, seed: int = SEED) -> DataFrame:
-    """``carry`` (``doc_id`` by default), ``size``, ``source_size``, ``target`` and ``taken`` of
-    every row: the words that the mix takes of it, repeats counted.
-
-    A source gives its target, rounded, to the word: all its words as often as they fit, then the
-    documents first in key order, the last of them in part. Null and empty texts have size 0 and
-    give nothing, a null source is a source. Rows with equal keys come by size and id; rows that
-    are equal in these are interchangeable. An empty table gives an empty one, other columns are
-    not read, and reruns agree.
-    """
-    carry = carry or ["doc_id"]
+def _placed(docs: DataFrame, carry: list[str], seed: int) -> DataFrame:
+    """``carry``, ``source``, ``key``, ``size``, ``source_size``, ``target``, the whole ``passes`` over
+    the source, and ``part``, the words taken of the row beyond these."""
     rows = stage(docs.select(
         *carry, F.col("doc_id").alias("id"), F.col("source").cast("string").alias("source"),
         tokens(F.col("text").cast("string")).alias("size"), key(seed).alias("key")), "sized")
@@ -99,8 +91,25 @@ def mix(docs: DataFrame, carry: list[str] | None = None, seed: int = SEED) -> Da
     joined = placed.join(cuts, (placed.source == cuts.c_source) & (placed.none == cuts.c_null)
                          & (placed.range == cuts.c_range))
     part = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("start") - F.col("inside")))
-    return joined.select(*carry, "size", "source_size", "target",
-                         (F.col("passes") * F.col("size") + part).cast("long").alias("taken"))
+    return joined.select(
+        *carry, F.when(~F.col("none"), F.col("source")).alias("source"), "key", "size", "source_size",
+        "target", "passes", part.cast("long").alias("part"))
+
+
+def mix(docs: DataFrame, carry: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """``carry`` (``doc_id`` by default), ``size``, ``source_size``, ``target`` and ``taken`` of
+    every row: the words that the mix takes of it, repeats counted.
+
+    A source gives its target, rounded, to the word: all its words as often as they fit, then the
+    documents first in key order, the last of them in part. Null and empty texts have size 0 and
+    give nothing, a null source is a source. Rows with equal keys come by size and id; rows that
+    are equal in these are interchangeable. An empty table gives an empty one, other columns are
+    not read, and reruns agree.
+    """
+    carry = carry or ["doc_id"]
+    return _placed(docs, carry, seed).select(
+        *carry, "size", "source_size", "target",
+        (F.col("passes") * F.col("size") + F.col("part")).alias("taken"))
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -110,14 +119,33 @@ def first_words(text: Column, n: Column) -> Column:
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: a row for every whole repeat and one for the part at a
-    source's cut, its text up to the last word taken. Columns and their order stay."""
+    source's cut, its text up to the last word taken. Columns and their order stay.
+
+    A row's number of repeats follows from its key and its source's cut, so texts are not shuffled:
+    they meet one line per source, and the rows at a cut, which the sizes alone tell apart.
+    """
     rows, anchor = anchored(docs)
-    found = mix(rows.select("doc_id", "source", "text", *anchor), anchor, seed)
-    size, taken, n = fresh(rows, "mix_size"), fresh(rows, "mix_taken"), fresh(rows, "mix_n")
-    found = stage(found.filter("taken > 0").select(
-        *anchor, F.col("size").alias(size), F.col("taken").alias(taken)), "taken")
-    copies = rows.join(found, anchor).select(
-        "*", F.explode(F.sequence(F.lit(1), F.ceil(F.col(taken) / F.col(size)).cast("int"))).alias(n))
-    left = F.least(F.col(size), F.col(taken) - (F.col(n) - 1) * F.col(size)).cast("int")
-    text = F.when(left < F.col(size), first_words(F.col("text"), left)).otherwise(F.col("text"))
-    return copies.select(*((text if c.lower() == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    placed = stage(_placed(rows.select("doc_id", "source", "text", *anchor), anchor, seed), "placed")
+    cuts = placed.filter("size > 0").groupBy("source").agg(
+        F.max("passes").alias("passes"),
+        F.min(F.when(F.col("part") < F.col("size"), F.col("key"))).alias("cut"))
+    names = {c: fresh(rows, f"mix_{c}") for c in ("key", "source", "passes", "cut", "part", "whole", "n")}
+    cuts = stage(cuts, "source-cuts").select(*(F.col(c).alias(names[c]) for c in ("source", "passes", "cut")))
+    at_cut = placed.join(cuts, F.col("source").eqNullSafe(F.col(names["source"]))
+                         & (F.col("key") == F.col(names["cut"])))
+    at_cut = stage(at_cut.select(*anchor, F.when(F.col("part") < F.col("size"), F.col("part"))
+                                 .alias(names["part"])), "at-cut")
+    c = {name: F.col(own) for name, own in names.items()}
+    found = (
+        rows.filter(F.col("text").cast("string").rlike(WORD)).withColumn(names["key"], key(seed))
+        .join(cuts, F.col("source").cast("string").eqNullSafe(c["source"]))
+        .join(at_cut.withColumn(names["whole"], F.lit(True)), anchor, "left"))
+    # At the cut a row without a part of its own came whole.
+    extra = F.when(c["whole"], c["part"].isNull()).otherwise(F.coalesce(c["key"] < c["cut"], F.lit(True)))
+    whole = (c["passes"] + extra.cast("long")).cast("int")
+    part = F.coalesce(c["part"], F.lit(0)).cast("int")
+    copies = found.withColumn(names["whole"], whole).withColumn(
+        names["n"], F.explode(F.sequence(F.lit(1), c["whole"] + F.lit(1))))
+    copies = copies.filter((c["n"] <= c["whole"]) | (part > 0))
+    text = F.when(c["n"] > c["whole"], first_words(F.col("text"), part)).otherwise(F.col("text"))
+    return copies.select(*((text if x.lower() == "text" else F.col(f"`{x}`")).alias(x) for x in docs.columns))
