@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill import jobs
+from ledgermill import jobs, schemas
 from ledgermill.operators import tables
 from ledgermill.plans import reports, star
 from ledgermill.plans.daily import Lake, run_day
@@ -104,3 +104,10 @@ def test_no_two_merchants_share_a_key(spark):
 def test_day_without_messages(spark, lake):
     result = run_day(spark, lake, "2030-01-01")
     assert result["gate_passed"] is True
+
+
+def test_products_have_the_entity_schema(spark):
+    products = ledger.products(spark, FOLDER)
+    wanted = spark.createDataFrame([], schemas.PRODUCTS)
+    assert dict(products.dtypes) == dict(wanted.dtypes)
+    assert star.dim_product(products).count() == products.count() > 0
