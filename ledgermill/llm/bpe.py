@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.common import arrow, fresh
 
-#: Words and pieces that a worker keeps, some 200 MB of them.
-CACHE = 500_000
+#: Words and pieces that a worker keeps, some 80 MB of them.
+CACHE = 200_000
 #: Widths of a token id and of a place in a piece.
 _ID_BITS, _PLACE_BITS = 24, 40
 _PLACE = (1 << _PLACE_BITS) - 1

@@ -22,15 +22,23 @@ BLANK = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows and bytes of one batch to a Python worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Once per application, give all Python workers this package from the shared folder, so that
-    executors need not have it installed and workers keep its modules between tasks."""
+    executors need not have it installed and workers keep its modules between tasks.
+
+    Texts may be long, so batches to the workers hold few rows and, beyond one row, few bytes.
+    """
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
+    for name, most in BATCH.items():
+        spark.conf.set(name, most)
     top = Path(__file__).resolve().parents[2]
     content = io.BytesIO()
     with zipfile.ZipFile(content, "w") as out:

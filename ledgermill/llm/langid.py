@@ -20,8 +20,8 @@ from ledgermill.llm.common import arrow, fresh
 
 DIMENSIONS, GRAM, SEED = 1024, 3, 20
 UNKNOWN = "und"
-#: Code points that are worked on together.
-_CHUNK = 200_000
+#: n-grams and texts that are worked on together; a longer text is alone.
+_CHUNK, _TEXTS = 200_000, 128
 #: n-gram vectors a worker keeps, one kilobyte each.
 _KEPT = 1 << 15
 #: Prototypes travel to every task, so there may be only so many; more is an error.
@@ -103,12 +103,12 @@ def bundle(groups: list[int], found: list[np.ndarray], n: int) -> np.ndarray:
 
 
 def _chunks(items: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Texts' n-grams in portions of at most ``_CHUNK`` or one text."""
+    """Texts' n-grams in portions of at most ``_CHUNK`` of ``_TEXTS`` texts, or of one text."""
     names: list[int] = []
     found: list[np.ndarray] = []
     size = 0
     for name, g in items:
-        if names and size + len(g) > _CHUNK:
+        if names and (size + len(g) > _CHUNK or len(names) == _TEXTS):
             yield names, found
             names, found, size = [], [], 0
         names.append(name)
@@ -161,13 +161,13 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def predictor(langs: list[str], prototypes: np.ndarray):
-    """A function from texts to (language, cosine) lists."""
+    """A function from a column of texts to (language, cosine) lists."""
 
-    def predict(texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(texts: pa.Array) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not langs:
             return names, scores
-        items = ((k, g) for k, x in enumerate(texts) if x and len(g := grams(x)))
+        items = ((k, g) for k, x in enumerate(texts) if len(g := grams(x.as_py() or "")))
         for places, found in _chunks(items):
             vectors = bundle(list(range(len(places))), found, len(places))
             lengths = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
@@ -191,7 +191,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predict(batch.column(2).to_pylist())
+            names, scores = predict(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])
@@ -215,7 +215,7 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predict(batch.column(batch.num_columns - 1).to_pylist())
+            names, scores = predict(batch.column(batch.num_columns - 1))
             keep = pa.array([n != UNKNOWN and s > least for n, s in zip(names, scores)], pa.bool_())
             yield batch.select(columns).filter(keep)
 

@@ -133,7 +133,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weights, keys = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
                 weight = float(ratio[features(text)].sum())
                 drawn = xxhash.xxh64(f"{seed}|{doc_id}|")
                 drawn.update((text or "").encode("utf-8", "surrogatepass"))
