@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm import files
 from ledgermill.llm.common import arrow
-from ledgermill.workspace import new_path, stage
+from ledgermill.workspace import new_path, remove, stage
 
 LENGTH, PER_SHARD, KEY = 256, 8192, 0x5EED
 ROUNDS = 6
+#: Shards in a row that one task writes, and that one task reads back.
+SPAN, READ = 8, 16
+#: Writing tasks at most; how hard sequences are compressed on their way to them, and how many
+#: bytes of them a task packs together.
+TASKS, LEVEL, BUFFER = 100_000, 6, 64 << 20
 
 
 def default_vocabulary() -> str:
@@ -116,11 +121,13 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = No
         arrow, run, f"doc_id {kind}, part long, n_tokens long, tokens binary")
 
 
-def numbered(found: DataFrame) -> tuple[DataFrame, int]:
-    """The frame, written, with ``number`` from 0 without gaps, and the number of rows."""
+def numbered(found: DataFrame) -> tuple[DataFrame, int, str]:
+    """The frame, written, with ``number`` from 0 without gaps; how many rows, and where they lie."""
     spark = found.sparkSession
     path = new_path(spark, "sequences")
-    found.withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    writer = found.withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "zstd")
+    writer.option("parquet.compression.codec.zstd.level", LEVEL).option(
+        "parquet.page.size", 8 << 20).parquet(path)
     rows = spark.read.parquet(path)
     partition = F.shiftrightunsigned("uid", 33)
     counts = rows.groupBy(partition.alias("p")).count()
@@ -130,7 +137,7 @@ def numbered(found: DataFrame) -> tuple[DataFrame, int]:
     n = starts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     inside = F.col("uid").bitwiseAND(F.lit((1 << 33) - 1))
     return (rows.withColumn("p", partition).join(starts.drop("count"), "p")
-            .withColumn("number", F.col("start") + inside).drop("p", "start", "uid")), n
+            .withColumn("number", F.col("start") + inside).drop("p", "start", "uid")), n, path
 
 
 def shard_name(folder: str, shard: int) -> str:
@@ -141,61 +148,87 @@ def materialise(docs: DataFrame, folder: str, length: int = LENGTH, per_shard: i
                 key: int = KEY, vocabulary: str | None = None) -> DataFrame:
     """Write the shards and ``manifest.json`` into ``folder``; (doc_id, part, n_tokens, slot).
 
-    A shard is one task's file, put in place whole, so a lost executor's shards are written anew
-    and the result stays the same. Rows are packed by shard before they are exchanged.
+    A task writes a few shards in a row and puts each in place whole, so a lost executor's shards
+    are written anew and the result stays the same. Rows are packed for the task that writes them
+    before they are exchanged.
     """
-    rows, n = numbered(sequences(docs, length, vocabulary))
+    rows, n, held_at = numbered(sequences(docs, length, vocabulary))
     stride = 2 * length
+    span = per_shard * SPAN
+    schema = pa.schema([("group", pa.int64()), ("offsets", pa.binary()), ("lines", pa.binary()),
+                        ("size", pa.int64())])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = permute(batch.column(3).to_numpy(), n, key)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(slots)],
+                                             names=["doc_id", "part", "n_tokens", "slot"])
+
+    narrow = stage(rows.select("doc_id", "part", "n_tokens", "number"), "numbered")
+    placed = narrow.transform(arrow, place, narrow.withColumnRenamed("number", "slot").schema)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+
+        def flush() -> pa.RecordBatch:
+            slots = permute(np.concatenate(numbers), n, key)
+            order = np.argsort(slots // span, kind="stable")
+            slots, lines = slots[order], np.concatenate(held)[order]
+            group, offsets = slots // span, (slots % span).astype("<u4")
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+            numbers.clear()
+            held.clear()
+            return pa.RecordBatch.from_pylist([
+                {"group": int(group[a]), "offsets": offsets[a:b].tobytes(),
+                 "lines": codec.compress(lines[a:b].tobytes(), asbytes=True), "size": stride * (b - a)}
+                for a, b in itertools.pairwise(cuts)], schema)
+
+        numbers: list[np.ndarray] = []
+        held: list[np.ndarray] = []
         for batch in batches:
-            slots = permute(batch.column(0).to_numpy(), n, key)
-            order = np.argsort(slots)
-            slots, shard = slots[order], slots[order] // per_shard
-            lines = batch.column(1).take(pa.array(order)).to_pylist()
-            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-            packed = [(int(shard[a]), slots[a:b].astype("<i8").tobytes(), zlib.compress(b"".join(lines[a:b]), 1))
-                      for a, b in itertools.pairwise(cuts) if a < b]
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("shard", "slots", "lines"), x)) for x in packed],
-                pa.schema([("shard", pa.int64()), ("slots", pa.binary()), ("lines", pa.binary())]))
+            numbers.append(batch.column(0).to_numpy())
+            lines = b"".join(batch.column(1).to_pylist())
+            held.append(np.frombuffer(lines, np.uint8).reshape(-1, stride))
+            if sum(map(len, held)) * stride >= BUFFER:
+                yield flush()
+        if sum(map(len, held)):
+            yield flush()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            files.put(shard_name(folder, current), bytes(content))
-            return pa.RecordBatch.from_pylist([{"shard": current, "bytes": len(content)}])
+            for k, at in enumerate(range(0, len(content), per_shard)):
+                files.put(shard_name(folder, current * SPAN + k), content[at:at + per_shard].tobytes())
+            return pa.RecordBatch.from_pylist([{"group": current, "bytes": content.nbytes}])
 
-        current, content = -1, bytearray()
+        codec = pa.Codec("zstd")
+        current, content = -1, np.empty((0, stride), np.uint8)
         for batch in batches:
-            for shard, slots, lines in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != current:
+            for group, offsets, lines, size in zip(*(c.to_pylist() for c in batch.columns)):
+                if group != current:
                     if current >= 0:
                         yield flush()
-                    current = shard
-                    content = bytearray(min(per_shard, n - shard * per_shard) * stride)
-                lines = zlib.decompress(lines)
-                for k, slot in enumerate(np.frombuffer(slots, "<i8").tolist()):
-                    at = (slot - shard * per_shard) * stride
-                    content[at:at + stride] = lines[k * stride:(k + 1) * stride]
+                    current = group
+                    content = np.zeros((min(span, n - group * span), stride), np.uint8)
+                lines = codec.decompress(lines, size, asbytes=True)
+                content[np.frombuffer(offsets, "<u4")] = np.frombuffer(
+                    lines, np.uint8).reshape(-1, stride)
         if current >= 0:
             yield flush()
 
-    packed = rows.select("number", "tokens").transform(arrow, pack, "shard long, slots binary, lines binary")
-    wrote = stage(packed.repartitionByRange("shard").sortWithinPartitions("shard")
-                  .transform(arrow, write, "shard long, bytes long"), "shards")
+    packed = rows.select("number", "tokens").transform(
+        arrow, pack, "group long, offsets binary, lines binary, size long")
+    # Each task gets a range of slots; they are uniform, so the ranges are even without sampling.
+    groups = -(-n // span)
+    tasks = max(1, min(groups, TASKS))
+    place_of = F.floor(F.col("group") * tasks / max(1, groups)).cast("int")
+    wrote = (packed.repartitionById(tasks, place_of).sortWithinPartitions("group")
+             .transform(arrow, write, "group long, bytes long"))
     if wrote.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] != n * stride:
         raise RuntimeError("shards are incomplete")
     files.put(f"{folder}/manifest.json", json.dumps(
         {"sequences": n, "length": length, "per_shard": per_shard, "key": key, "bytes_per_token": 2}).encode())
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = permute(batch.column(3).to_numpy(), n, key)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(slots)],
-                                             names=["doc_id", "part", "n_tokens", "slot"])
-
-    narrow = rows.select("doc_id", "part", "n_tokens", "number")
-    return narrow.transform(arrow, place, narrow.withColumnRenamed("number", "slot").schema)
+    remove(docs.sparkSession, held_at)  # the shards hold all of it now
+    return placed
 
 
 def manifest(folder: str) -> dict:
@@ -236,7 +269,7 @@ def read_back(spark: SparkSession, folder: str) -> DataFrame:
                      pa.array(crcs, pa.int64())], names=["slot", "shard", "byte_offset", "record_crc32"])
 
     shards = -(-n // per_shard)
-    return spark.range(0, shards, 1, max(1, min(shards, 100_000))).transform(
+    return spark.range(0, shards, 1, max(1, min(-(-shards // READ), TASKS))).transform(
         arrow, run, "slot long, shard long, byte_offset long, record_crc32 long")
 
 
@@ -251,5 +284,6 @@ def training_order(docs: DataFrame, length: int = LENGTH, per_shard: int = PER_S
     """
     folder = new_path(docs.sparkSession, "training-order")
     placed = materialise(docs, folder, length, per_shard, key, vocabulary)
-    return placed.join(read_back(docs.sparkSession, folder), "slot").select(
+    found = stage(read_back(docs.sparkSession, folder), "read-back")  # written, so its size is known
+    return placed.join(found, "slot").select(
         "doc_id", "part", "n_tokens", "slot", "shard", "byte_offset", "record_crc32")
