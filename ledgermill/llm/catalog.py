@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, langid, mix, order, recipes, resample, rules, shards, simhash, warc
+from ledgermill.llm import bpe, counts, langid, mix, order, recipes, resample, rules, shards, simhash, warc
 from ledgermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
             table(spark, folder, "documents"), table(spark, folder, "labels")),
         "op9_bpe": on_documents(bpe.digests),
         "op10_warc_index": lambda spark, folder: warc.archive(table(spark, folder, "pages")),
+        "op11_token_counts": on_documents(counts.token_counts),
         "pipeline": pipeline,
     }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -25,7 +26,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows and bytes of one batch to a Python worker.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
          "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
-_shipped: set[str] = set()
+_shipped: set[tuple[str, str]] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -33,12 +34,15 @@ def ship(spark: SparkSession) -> None:
     executors need not have it installed and workers keep its modules between tasks.
 
     Texts may be long, so batches to the workers hold few rows and, beyond one row, few bytes.
+    Spark reads these two settings when a query runs, so they are set, and stay, in each session
+    that runs an operator.
     """
+    for name, most in BATCH.items():
+        if spark.conf.get(name) != most:
+            spark.conf.set(name, most)
     application = spark.sparkContext.applicationId
-    if application in _shipped:
+    if (application, "") in _shipped:
         return
-    for name, most in BATCH.items():
-        spark.conf.set(name, most)
     top = Path(__file__).resolve().parents[2]
     content = io.BytesIO()
     with zipfile.ZipFile(content, "w") as out:
@@ -47,7 +51,19 @@ def ship(spark: SparkSession) -> None:
     path = f"{shared_root(spark)}/ledgermill.zip"
     files.put(path, content.getvalue())
     spark.sparkContext.addPyFile(path)
-    _shipped.add(application)
+    _shipped.add((application, ""))
+
+
+def shared_copy(spark: SparkSession, path: str) -> str:
+    """Where all executors find a copy of a file of the driver's machine, named by its content."""
+    content = Path(path).read_bytes()
+    digest = hashlib.sha256(content).hexdigest()
+    uri = f"{shared_root(spark)}/files/{digest[:32]}-{Path(path).name}"
+    application = spark.sparkContext.applicationId
+    if (application, uri) not in _shipped:
+        files.put(uri, content)
+        _shipped.add((application, uri))
+    return uri
 
 
 def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

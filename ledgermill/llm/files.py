@@ -6,11 +6,20 @@ import uuid
 
 import pyarrow.fs as pafs
 
+#: Schemes of Hadoop's connectors and what pyarrow calls the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def known_uri(uri: str) -> str:
+    """``uri`` with a scheme that pyarrow knows; a plain path is a local file's."""
+    scheme, there, rest = uri.partition("://")
+    if there:
+        return f"{SCHEMES.get(scheme, scheme)}://{rest}"
+    return "file://" + uri.removeprefix("file:")
+
 
 def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in uri:
-        uri = ("file:" if uri.startswith("file:") else "file://") + uri.removeprefix("file:")
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(known_uri(uri))
 
 
 def own_name(stem: str, ending: str) -> str:
@@ -39,3 +48,8 @@ def put(uri: str, content: bytes) -> None:
 def open_random(uri: str):
     fs, path = resolve(uri)
     return fs.open_input_file(path)
+
+
+def content(uri: str) -> bytes:
+    with open_random(uri) as file:
+        return file.read()

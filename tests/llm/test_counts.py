@@ -1,0 +1,114 @@
+"""Token counts against the libraries, and what the cache saves."""
+
+import shutil
+
+import public_tokenizers
+import pytest
+from llm.examples import awkward, bag
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ledgermill.llm import counts
+from ledgermill.workspace import new_path
+
+
+def library(path):
+    if path.endswith(".json"):
+        out = Tokenizer.from_file(path)
+        out.no_truncation()
+        out.no_padding()
+        return lambda text: len(out.encode(text, add_special_tokens=False).ids)
+    from sentencepiece import SentencePieceProcessor
+
+    out = SentencePieceProcessor(model_file=path)
+    return lambda text: len(out.encode(text))
+
+
+TRICKY = ["<|endoftext|>", "a<|endoftext|>b <|ENDOFTEXT|>", "  two  words\n\nhere\x0b", "a\x1cb\x85c d", "J̌ ǰ",
+          "İstanbul İ", "don't DON'T '  s", "ΟΔΟΣ Σ", "x" * 5000, "日本語　テキスト 123", "é É", "<s> </s> <unk>"]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [(r[0], r[1]) for r in awkward()] + [(500 + k, x) for k, x in enumerate(TRICKY)]
+    rows += [(600 + k, x.upper()) for k, x in enumerate(TRICKY)] + [(700 + k, x.lower()) for k, x in enumerate(TRICKY)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_same_as_the_library(texts, name):
+    path = public_tokenizers.path(name)
+    count = library(path)
+    want = []
+    for r in texts.collect():
+        n = count(r["text"] or "")
+        want.append(repr((r["doc_id"], len((r["text"] or "").encode()), n, n > 2048)))
+    got = counts.token_counts(texts, path)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(want)
+
+
+def test_a_full_memory_changes_nothing(texts, monkeypatch):
+    whole = bag(counts.token_counts(texts))
+    coder = counts.Counter(counts.default_tokenizer())
+    monkeypatch.setattr(counts, "WORDS", 3)
+    for r in texts.limit(30).collect():
+        assert coder.count((r["text"] or "").encode()) == library(counts.default_tokenizer())(r["text"] or "")
+    assert len(coder.words) <= 3 and bag(counts.token_counts(texts)) == whole
+
+
+def stored(spark, cache, path=None):
+    return counts.cached(spark, f"{cache}/version={counts.tokenizer_version(path or counts.default_tokenizer())}")
+
+
+def test_only_distinct_misses_are_encoded_and_appended(spark, texts):
+    cache = new_path(spark, "test-cache")
+    some = texts.filter("doc_id < 600 OR doc_id IS NULL")
+    first = bag(counts.token_counts(some, cache=cache))
+    one = stored(spark, cache).count()
+    assert one == stored(spark, cache).select("digest").distinct().count() < some.count()
+    assert bag(counts.token_counts(some, cache=cache)) == first
+    assert stored(spark, cache).count() == one  # nothing was encoded again
+    assert bag(counts.token_counts(texts, cache=cache)) == bag(counts.token_counts(texts))
+    more = stored(spark, cache)
+    assert one < more.count() == more.select("digest").distinct().count()
+
+
+def test_counts_come_from_the_cache(spark, texts):
+    """What is stored is believed, once per version, also if it is stored twice."""
+    cache = new_path(spark, "test-cache")
+    version = counts.tokenizer_version(counts.default_tokenizer())
+    digest = F.unhex(F.sha2(counts.normal(F.lit(" Hello  WORLD"), True), 256))
+    for _ in range(2):
+        spark.range(1).select(digest.alias("digest"), F.lit(77).cast("long").alias("n_tokens")).write.mode(
+            "append").parquet(f"{cache}/version={version}")
+    asked = spark.createDataFrame([(1, "hello world"), (2, "hello  World\n"), (3, "other")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in counts.token_counts(asked, cache=cache).collect()}
+    assert got == {1: 77, 2: 77, 3: 1}
+    other = counts.token_counts(asked, public_tokenizers.path("byte_bpe_50k.json"), cache)
+    assert 77 not in {r["n_tokens"] for r in other.collect()}
+
+
+def test_normalised_content_has_the_same_count(spark, texts):
+    count = library(counts.default_tokenizer())
+    for r in texts.select("text", counts.normal(F.col("text"), True).alias("normal")).collect():
+        assert count(r["text"] or "") == count(r["normal"])
+
+
+def test_many_files_spans_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(counts, "SPAN", 7)
+    path = new_path(spark, "test-files")
+    frame = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 90).alias("text"))
+    frame.repartition(5, "doc_id").write.parquet(path)
+    got = counts.token_counts(spark.read.parquet(path))
+    assert got.count() == 300
+    count = library(counts.default_tokenizer())
+    assert all(r["n_tokens"] == count(f"word {r['doc_id'] % 90}") for r in got.collect())
+    shutil.rmtree(path.removeprefix("file:"))
+
+
+def test_empty_clashing_and_limit(spark, docs, clashing, none):
+    assert counts.token_counts(none).count() == 0
+    more = clashing.select("*", *(F.lit(1).alias(c) for c in ("digest", "n_bytes", "file", "row", "part", "at")))
+    assert bag(counts.token_counts(more)) == bag(counts.token_counts(docs))
+    low = counts.token_counts(docs, limit=3)
+    assert low.filter("over_limit != (n_tokens > 3)").count() == 0 < low.filter("over_limit").count()
