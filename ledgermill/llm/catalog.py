@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, counts, langid, mix, order, recipes, resample, rules, shards, simhash, warc
+from ledgermill.llm import bpe, counts, langid, mix, negatives, order, recipes, resample, rules, shards, simhash, trie, warc
 from ledgermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def queries() -> dict[str, Query]:
         "op9_bpe": on_documents(bpe.digests),
         "op10_warc_index": lambda spark, folder: warc.archive(table(spark, folder, "pages")),
         "op11_token_counts": on_documents(counts.token_counts),
+        "op12_hard_negatives": lambda spark, folder: negatives.hard_negatives(
+            table(spark, folder, "embeddings")),
+        "op13_conversation_trie": lambda spark, folder: trie.prefix_trie(
+            table(spark, folder, "conversations")),
         "pipeline": pipeline,
     }
 
@@ -123,7 +127,66 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f"""
 
 
+def _op12() -> str:
+    every, low, high = negatives.EVERY, negatives.LOW, negatives.HIGH
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS uid, vec_id,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.uid AS a, a.vec_id AS anchor_id, c.uid AS c, c.vec_id AS other, a.label = c.label AS same,
+             coalesce(list_sum(list_transform(range(1, least(len(a.v), len(c.v)) + 1),
+                                              lambda i: a.v[i] * c.v[i])), 0)::BIGINT AS score
+      FROM t a JOIN t c ON a.vec_id % {every} = 0 AND a.uid <> c.uid),
+p AS (SELECT a, anchor_id, other AS positive_id, score,
+             row_number() OVER (PARTITION BY a ORDER BY score DESC, other NULLS LAST) AS slot
+      FROM s WHERE same QUALIFY slot <= {negatives.POSITIVES})
+SELECT p.anchor_id, p.positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       (row_number() OVER (PARTITION BY p.a, p.slot ORDER BY s.score DESC, s.other NULLS LAST))::INTEGER AS rank
+FROM p JOIN s ON p.a = s.a AND NOT s.same AND {low} * p.score <= 100 * s.score AND 100 * s.score <= {high} * p.score
+QUALIFY rank <= {negatives.NEGATIVES}"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a string of digits and signs, bit by bit."""
+    bit = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)"
+    byte = f"list_reduce(list_prepend(xor(a, b), [0::BIGINT FOR i IN range(8)]), lambda x, y: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {byte}), 4294967295::BIGINT)"
+
+
+def _op13() -> str:
+    heads, family = trie.HEADS, trie.FAMILY
+    return rf"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, turn, len(regexp_extract_all(text, {_WORDS}))::BIGINT AS words,
+             sha256('turn' || octet_length(encode(role)) || ' ' || role || text) AS name FROM t),
+own AS (SELECT c, list(name ORDER BY turn NULLS FIRST, name) AS names,
+               list(words ORDER BY turn NULLS FIRST, name) AS words FROM n GROUP BY c),
+h AS (SELECT c, c - c % {family} AS base, {_crc32('c::VARCHAR')} % {heads} AS h FROM own),
+r AS (SELECT h.c, coalesce(b.names[1:h.h], []) || o.names[h.h + 1:] AS names,
+             coalesce(b.words[1:h.h], []) || o.words[h.h + 1:] AS words
+      FROM h JOIN own o ON o.c = h.c LEFT JOIN own b ON b.c = h.base),
+path AS (SELECT c, d, md5(array_to_string(names[1:d], ' ')) AS name,
+                CASE WHEN d > 1 THEN md5(array_to_string(names[1:d - 1], ' ')) WHEN d = 1 THEN md5('') END AS parent,
+                CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(names) AS ends
+         FROM (SELECT *, unnest(range(0, len(names) + 1)) AS d FROM r)),
+node AS (SELECT name, d, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+         FROM path GROUP BY name, d),
+kids AS (SELECT parent AS name, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (SELECT p.name, p.d, sum((k.n IS NULL)::BIGINT) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+         FROM node v LEFT JOIN kids k ON k.name = v.name JOIN path p ON p.c = v.conv_id AND p.d <= v.d GROUP BY 1, 2)
+SELECT v.conv_id, v.d::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM node v JOIN sums s USING (name, d) LEFT JOIN kids k ON k.name = v.name LEFT JOIN node u ON u.name = v.parent"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others are tested against brute force."""
     return {"op4_chunk_recipes": _op4(), "op6_quality_rules": _op6(), "op7_source_mixing": _op7(),
-            "op10_warc_index": _op10()}
+            "op10_warc_index": _op10(), "op12_hard_negatives": _op12(),
+            "op13_conversation_trie": _op13()}
