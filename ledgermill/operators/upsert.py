@@ -7,8 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgermill import schemas
+from ledgermill.operators.keyfilters import (
+    LITERALS, add_filters, narrowed, pushed_literals, write_options,
+)
 from ledgermill.operators.tables import (
-    append, read_table, rewrite_table, table_exists,
+    append, data_files, finish_swaps, read_table, rewrite_table, table_exists,
 )
 from ledgermill.workspace import scratch, stage
 
@@ -40,6 +43,11 @@ def _marked(df: DataFrame, side: str) -> DataFrame:
     return df.withColumn(f"_in_{side}", F.lit(True)).alias(side)
 
 
+def _as_they_came(target_rows: DataFrame, source_rows: DataFrame) -> dict[str, Column]:
+    """The batch's values of the table's columns; NULL where it has none."""
+    return {c: source(c) if c in source_rows.columns else F.lit(None) for c in target_rows.columns}
+
+
 ACTIONS = ("insert", "update", "duplicate", "untouched")
 
 
@@ -69,9 +77,7 @@ def upsert(
     A ``duplicate`` is a batch row whose key is known and that doesn't update; an ``untouched`` row
     has no batch row. Expressions name the two sides ``source`` and ``target``. Source keys must be unique.
     """
-    inserted = insert_values or {
-        c: source(c) if c in source_rows.columns else F.lit(None) for c in target_rows.columns
-    }
+    inserted = insert_values or _as_they_came(target_rows, source_rows)
     merged = (
         _marked(target_rows, "target")
         .join(_marked(source_rows, "source"), _match(keys), "full_outer")
@@ -114,66 +120,90 @@ def upsert_table(
 ) -> dict[str, int]:
     """Merge a batch into a stored table and return the rows inserted, updated and duplicate.
 
-    Only keys, condition columns and the partition column of the target are read to decide, and
-    they meet the staged batch in an inner join: Spark broadcasts a small batch to the scan, so
-    the table's keys are not shuffled. Only partitions that change are rewritten. Decisions are
-    written down first, so the rewrite and the counts see the same ones whatever is recomputed.
-    ``schema`` is the table's; without it the schemas of its files are merged.
+    The staged batch meets keys and condition columns of the target's files that may hold one of
+    its keys, in an inner join: Spark broadcasts a small batch to the scan, so the table's keys
+    are not shuffled. New rows are new files; of the table only the files with updated rows are
+    written anew. Both are put in place by one swap, which an interruption delays and doesn't
+    tear, so a repeated merge finds either none or all of it. Decisions are written down first,
+    and the rewrite and the counts see the same ones whatever is recomputed. ``schema`` is the
+    table's; without it the schemas of its files are merged.
     """
+    options = write_options(keys[0])
+
+    def even(rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *filter(None, [partition_by]))
+
     if not table_exists(spark, path):
-        append(batch.hint("rebalance", *filter(None, [partition_by])), path, partition_by)
-        return {
-            "insert": read_table(spark, path, batch.schema).count(), "update": 0, "duplicate": 0}
+        append(even(batch), path, partition_by, options)
+        table = read_table(spark, path, batch.schema)
+        add_filters(table, path, keys)
+        return {"insert": table.count(), "update": 0, "duplicate": 0}
+    finish_swaps(spark, path)
     table = read_table(spark, path, schema)
     with scratch(spark):
-        if not partition_by:
-            merged = stage(
-                upsert(table, batch, keys, update_set, condition, insert_values), "upsert")
-            counts = _counts(merged)
-            merged.drop("_action").write.mode("overwrite").parquet(path)
-            spark.catalog.refreshByPath(path)
-            return counts
         batch = stage(batch, "batch")
-        known = stage(known_keys(table, batch, keys, condition, partition_by), "known")
-        decided = stage(decisions(batch, known, keys, partition_by), "decided")
-        moved = decided.filter("_action <> 'duplicate'")
-        # No more values than the table will have partition folders, which the driver lists anyway.
-        touched = [row[0] for row in moved.select("_home").distinct().collect()]
-        if touched:
-            home = F.col(partition_by)
-            affected = table.filter(
-                home.isin([v for v in touched if v is not None])
-                | (home.isNull() if None in touched else F.lit(False)))
-            merged = upsert(
-                affected, moved.drop("_action", "_home"), keys, update_set, condition,
-                insert_values)
-            rewrite_table(
-                merged.drop("_action"), path, partition_by,
-                lambda rows: rows.hint("rebalance", partition_by))
-        return _counts(decided)
+        with pushed_literals(spark, LITERALS):
+            likely = narrowed(table, path, batch, keys)
+            known = stage(known_keys(likely, batch, keys, condition), "known")
+        decided = stage(decisions(batch, known, keys), "decided")
+        counts = _counts(decided)
+        new = old = None
+        if counts["insert"]:
+            new = _inserted(table, decided.filter("_action = 'insert'"), insert_values)
+        if counts["update"]:
+            changed = decided.filter("_action = 'update'")
+            # No more names than the table has files, which the driver lists anyway.
+            files = [row[0] for row in changed.select("_file").distinct().collect()]
+            affected = table.filter(F.col("_metadata.file_path").isin(files))
+            old = _updated(affected, changed.drop("_action", "_file"), keys, update_set)
+            rewrite_table(old, path, data_files(affected), partition_by, even, options, more=new)
+        elif new is not None:
+            rewrite_table(new, path, [], partition_by, even, options)
+        if counts["insert"] or counts["update"]:
+            add_filters(read_table(spark, path, table.schema), path, keys)
+        return counts
+
+
+def _inserted(
+    table: DataFrame, rows: DataFrame, insert_values: Mapping[str, Column] | None
+) -> DataFrame:
+    values = insert_values or _as_they_came(table, rows)
+    return rows.alias("source").select(*(
+        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in table.schema.fields))
+
+
+def _updated(
+    affected: DataFrame, changed: DataFrame, keys: Sequence[str], update_set: Mapping[str, Column]
+) -> DataFrame:
+    """All rows of the affected files; a left join, so that a small batch is broadcast."""
+    joined = affected.alias("target").join(_marked(changed, "source"), _match(keys), "left")
+
+    def value(name: str, kind) -> Column:
+        if name not in update_set:
+            return target(name)
+        return F.when(F.col("_in_source"), update_set[name]).otherwise(target(name)).cast(
+            kind).alias(name)
+
+    return joined.select(*(value(f.name, f.dataType) for f in affected.schema.fields))
 
 
 def known_keys(
-    table: DataFrame, batch: DataFrame, keys: Sequence[str], condition: Column | None,
-    partition_by: str,
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], condition: Column | None
 ) -> DataFrame:
-    """Batch keys that the table has, what becomes of them, and the partition they are in."""
+    """Batch keys that the table has, what becomes of them, and the file each is in."""
+    located = table.withColumn("_file", F.col("_metadata.file_path"))
     return (
-        batch.alias("source").join(table.alias("target"), _match(keys))
+        batch.alias("source").join(located.alias("target"), _match(keys))
         .select(*[source(k).alias(k) for k in keys],
-                _update_or_duplicate(condition).alias("_action"),
-                target(partition_by).alias("_home"))
+                _update_or_duplicate(condition).alias("_action"), target("_file").alias("_file"))
     )
 
 
-def decisions(
-    batch: DataFrame, known: DataFrame, keys: Sequence[str], partition_by: str
-) -> DataFrame:
-    """Every batch row with its action and the partition it belongs to."""
+def decisions(batch: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every batch row with its action and, where it is known, the file that it is in."""
     return batch.join(known, list(keys), "left").select(
-        *batch.columns, F.coalesce("_action", F.lit("insert")).alias("_action"),
-        F.when(F.col("_action").isNull(), F.col(partition_by)).otherwise(F.col("_home"))
-        .alias("_home"))
+        *batch.columns, F.coalesce("_action", F.lit("insert")).alias("_action"), "_file")
 
 
 def _counts(rows: DataFrame) -> dict[str, int]:

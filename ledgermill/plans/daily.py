@@ -14,7 +14,7 @@ from ledgermill.operators import clean, dedup, quality, tables, upsert
 from ledgermill.plans import customers as customer_plans
 from ledgermill.plans import risk, transactions
 from ledgermill.sources.scans import scan_day, scan_lookback
-from ledgermill.workspace import new_path, scratch
+from ledgermill.workspace import new_path, scratch, stage
 
 
 @dataclass(frozen=True)
@@ -129,7 +129,7 @@ def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
     }
     for name, (snapshot, order) in snapshots.items():
         ordered = tables.clustered(
-            snapshot.withColumn("processed_at", F.current_timestamp()), order
+            stage(snapshot.withColumn("processed_at", F.current_timestamp()), name), order
         )
         tables.replace_partition(ordered, lake.gold(name), "process_date", [day])
 

@@ -176,7 +176,7 @@ def test_a_small_batch_does_not_shuffle_the_table(spark, silver, tmp_path):
     table = spark.read.schema(schemas.SILVER).parquet(path)
     batch = stage(silver(transaction(1, status="failed"), transaction(60)), "batch")
     known = upsert.known_keys(
-        table, batch, ["transaction_id"], upsert.newer(), "event_date")
+        table, batch, ["transaction_id"], upsert.newer())
     plan = known._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     columns = [s for s in plan.split("ReadSchema: ")[1:] if "ingestion_timestamp" in s]
@@ -199,6 +199,76 @@ def test_rewrite_is_arranged_once(spark, silver, tmp_path):
     tables.append(rows, path, "event_date")
     spread = spark.read.schema(schemas.SILVER).parquet(path).repartition(64)
     tables.rewrite_table(
-        spread, path, "event_date", lambda df: df.hint("rebalance", "event_date"))
+        spread, path, tables.data_files(spread), "event_date",
+        lambda df: df.hint("rebalance", "event_date"))
     assert max(len(files(path, d)) for d in (15, 16, 17)) <= 2
     assert spark.read.parquet(path).count() == 300
+
+
+def test_partition_values_that_need_escaping(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    rows = spark.createDataFrame([(1, "a b:c"), (2, None), (3, "x/y"), (4, "z%"), (5, "")], "n int, p string")
+    tables.append(rows, path, "p")
+    latest = tables.latest_partition(spark, path, "p", "string")
+    assert [tuple(r) for r in latest.collect()] == [("z%",)]
+    tables.replace_partition(rows.filter("n = 1").withColumn("n", F.lit(9)), path, "p", ["a b:c", None, "z%"])
+    left = {r["n"]: r["p"] for r in spark.read.schema(rows.schema).parquet(path).collect()}
+    assert left == {9: "a b:c", 3: "x/y"}
+    tables.replace_partition(rows.limit(0), path, "p", ["a b:c", "x/y"])
+    assert tables.latest_partition(spark, path, "p", "string").first()[0] is None
+
+
+def test_latest_partition_passes_over_null_and_emptied_folders(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame([(1, "2024-01-02"), (2, "2023-12-31"), (3, None)], "n int, d string")
+    tables.append(rows.withColumn("d", F.col("d").cast("date")), path, "d")
+    assert str(tables.latest_partition(spark, path, "d").first()[0]) == "2024-01-02"
+    (tmp_path / "days" / "d=2025-05-05").mkdir()
+    assert str(tables.latest_partition(spark, path, "d").first()[0]) == "2024-01-02"
+    numbers = str(tmp_path / "numbers")
+    tables.append(spark.range(12).withColumn("p", F.col("id")), numbers, "p")
+    assert tables.latest_partition(spark, numbers, "p", "int").first()[0] == 11
+
+
+def test_compaction_of_escaped_partitions(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    rows = spark.range(40).withColumn("p", F.when(F.col("id") % 2 == 0, "a b:c%").otherwise(F.lit(None)))
+    tables.append(rows.repartition(4), path, "p")
+    before = sorted(map(str, spark.read.schema(rows.schema).parquet(path).collect()))
+    tables.compact_table(spark, path, "p")
+    table = spark.read.schema(rows.schema).parquet(path)
+    assert sorted(map(str, table.collect())) == before and len(tables.data_files(table)) == 2
+
+
+def test_z_order_narrows_every_column(spark, tmp_path):
+    """Files' ranges of the second column, of all its values, are a fraction of what a sort leaves."""
+    rows = spark.range(20_000).select(
+        F.col("id"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"),
+        F.format_string("s%03d", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000))).alias("b"))
+    path, plain = str(tmp_path / "z"), str(tmp_path / "plain")
+    rows.write.parquet(path)
+    rows.repartitionByRange(16, "a", "b").sortWithinPartitions("a", "b").write.parquet(plain)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        tables.cluster_table(spark, path, ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+    def width(folder, column):
+        table = spark.read.parquet(folder).withColumn("f", F.col("_metadata.file_path"))
+        spans = table.groupBy("f").agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        number = lambda v: int(str(v).lstrip("s"))
+        return sum(number(r["hi"]) - number(r["lo"]) for r in spans) / (1000 * len(spans))
+
+    assert spark.read.parquet(path).count() == 20_000
+    assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == sum(range(20_000))
+    assert width(plain, "b") > 0.9 and width(path, "b") < 0.5 and width(path, "a") < 0.5
+
+
+def test_z_order_of_nulls_few_values_and_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "x", 1)] * 30 + [(k % 3, None, k) for k in range(30)], "a int, b string, n int")
+    out = tables.clustered(rows, ["a", "b"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
+    assert tables.clustered(rows.limit(0), ["a", "b"]).count() == 0
