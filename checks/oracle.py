@@ -647,6 +647,10 @@ def oracle_sql() -> dict[str, str]:
     sql["keyed_json_sink"] = ledger(
         f"SELECT account_id AS key, {json_object(_SENT_JSON)} AS value FROM silver")
 
+    sql["keyed_json_ordered"] = ledger(
+        "SELECT account_id AS key, transaction_id, row_number() OVER (PARTITION BY account_id "
+        "ORDER BY \"timestamp\", transaction_id) AS seq FROM silver")
+
     # projections and filters
     sql["parse_payload"] = ledger("SELECT * FROM parsed")
     sql["split_valid"] = ledger(f"SELECT * FROM parsed WHERE NOT ({LACKING})")
@@ -979,6 +983,10 @@ def oracle_sql() -> dict[str, str]:
         "WHERE epoch_ms(hour + INTERVAL 1 HOUR) <= watermark".replace(
             "SELECT * EXCLUDE (granularity)",
             "SELECT hour, transaction_type, tx_count, total_volume, event_date"), WATERMARK)
+    sql["stream_hourly_corrected"] = ledger(
+        "SELECT hour, transaction_type, tx_count, total_volume, event_date "
+        f"FROM ({by_hour('silver')})")
+    sql["stream_profile_running"] = sql["stream_profile"]
     sql["stream_velocity"] = ledger(
         "SELECT DISTINCT account_id, second, tx_in_window AS trailing_count "
         "FROM counted, mark WHERE (second + 1) * 1000 <= watermark",

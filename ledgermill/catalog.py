@@ -352,6 +352,15 @@ def keyed_json_sink(t: Tables) -> DataFrame:
     return transport.keyed_json(sent)
 
 
+@query
+def keyed_json_ordered(t: Tables) -> DataFrame:
+    """The same messages, numbered in the order of each account's events."""
+    sent = t.silver.select("account_id", "transaction_id", "amount", "status", "timestamp")
+    return transport.ordered_json(sent).withColumn(
+        "transaction_id", F.get_json_object("value", "$.transaction_id")).select(
+            "key", "seq", "transaction_id")
+
+
 # --- projections and filters ----------------------------------------------------------------
 
 named("parse_payload", lambda t: t.parsed)
@@ -646,6 +655,30 @@ def stream_late_split_intent(t: Tables) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
+def late_messages(t: Tables) -> DataFrame:
+    """A stream of the messages, dealt by offset: every trigger brings rows hours behind the last."""
+    source = new_path(t.spark, "messages")
+    t.messages.repartition(3, "offset").write.parquet(source)
+    stream = transport.file_stream(t.spark, source, files_per_trigger=1)
+    return transport.bronze_project(stream, F.col("timestamp"))
+
+
+@query
+def stream_hourly_corrected(t: Tables) -> DataFrame:
+    """Volume of all hours, late rows and updates included as corrections."""
+    silver, hourly, checkpoint = (new_path(t.spark, n) for n in ("silver", "hourly", "checkpoint"))
+    flows.run_available(t.spark, flows.hourly_sink(late_messages(t), silver, hourly, checkpoint))
+    return flows.hourly_totals(t.spark, hourly)
+
+
+@query
+def stream_profile_running(t: Tables) -> DataFrame:
+    """Tallies of all messages after several triggers."""
+    path, checkpoint = new_path(t.spark, "tallies"), new_path(t.spark, "checkpoint")
+    flows.run_available(t.spark, flows.tally_sink(late_messages(t), path, checkpoint))
+    return flows.tallies(t.spark, path)
+
+
 @query
 def stream_upsert(t: Tables) -> DataFrame:
     path, checkpoint = new_path(t.spark, "stream-upsert"), new_path(t.spark, "checkpoint")

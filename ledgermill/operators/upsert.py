@@ -164,6 +164,14 @@ def upsert_table(
         return counts
 
 
+def likely_rows(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """A stored table without the files that can't hold a key of the (stored) batch."""
+    return narrowed(read_table(spark, path, schema), path, batch, keys)
+
+
 def _inserted(
     table: DataFrame, rows: DataFrame, insert_values: Mapping[str, Column] | None
 ) -> DataFrame:

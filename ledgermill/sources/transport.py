@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgermill import schemas
+from ledgermill.operators.sequence import numbered, send_in_order
 
 
 def kafka_options(
@@ -65,16 +68,33 @@ def bronze_project(messages: DataFrame, ingested_at: Column | None = None) -> Da
 
 
 def keyed_json(rows: DataFrame, key: str = "account_id") -> DataFrame:
-    """Rows as key and JSON value; one key stays in one topic partition, hence in order."""
+    """Rows as key and JSON value. A key's messages go to one topic partition; ``ordered_json``
+    numbers them and ``publish`` sends them in that order."""
     key_text = F.coalesce(F.col(key).cast("string"), F.lit("unknown"))
     return rows.select(
         key_text.alias("key"), F.to_json(F.struct(*rows.columns)).alias("value")
     )
 
 
-def publish(rows: DataFrame, servers: str, topic: str = schemas.TOPIC) -> None:
-    """Send rows to a broker. Needs the Kafka connector on the class path."""
-    (
-        keyed_json(rows).write.format("kafka")
-        .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
-    )
+def ordered_json(
+    rows: DataFrame, order: Sequence[str] = ("timestamp", "transaction_id"), key: str = "account_id",
+) -> DataFrame:
+    """(key, seq, value): JSON messages with their places in their key's order of events.
+
+    ``order`` ends in what tells rows apart.
+    """
+    held = rows.select(
+        F.coalesce(F.col(key).cast("string"), F.lit("unknown")).alias("key"),
+        F.to_json(F.struct(*rows.columns)).alias("value"),
+        *(F.col(c).alias(f"_order_{c}") for c in order))
+    return numbered(held, "key", [f"_order_{c}" for c in order]).select("key", "seq", "value")
+
+
+def publish(
+    rows: DataFrame, servers: str, topic: str = schemas.TOPIC,
+    order: Sequence[str] = ("timestamp", "transaction_id"),
+) -> None:
+    """Send rows to a broker, each key's in the order of its events. Needs the Kafka connector."""
+    send_in_order(ordered_json(rows, order), "key", "seq", lambda messages: (
+        messages.select("key", "value").write.format("kafka")
+        .option("kafka.bootstrap.servers", servers).option("topic", topic).save()))

@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ledgermill import schemas
-from ledgermill.functions.measures import rows, total
+from ledgermill.functions.measures import MONEY, rows, total
 from ledgermill.operators import clean
 from ledgermill.operators.dedup import dedup_latest
-from ledgermill.operators.upsert import upsert_table, upsert_transactions
+from ledgermill.operators.tables import finish_swaps, table_exists
+from ledgermill.operators.upsert import likely_rows, newer, upsert_table, upsert_transactions
+from ledgermill.plans import profile
 from ledgermill.session import ROCKSDB
+from ledgermill.streaming import additive
+from ledgermill.workspace import scratch, stage
 
 # Event-time slack and default trigger.
 WATERMARK = "30 minutes"
@@ -108,7 +112,7 @@ def hourly_volume(transactions: DataFrame) -> DataFrame:
     """Volume per closed hour and type.
 
     An hour is final once the watermark has passed it. Rows later than that are in the late
-    partition of ``late_split_sink``; the same function over them gives what to add.
+    partition of ``late_split_sink``; ``hourly_sink`` counts them, too.
     """
     hour = F.window("timestamp", "1 hour").alias("window")
     return (
@@ -145,3 +149,85 @@ def first_deliveries_sink(bronze: DataFrame, path: str, checkpoint: str) -> Data
             partition_by="event_date", schema=schemas.SILVER)
 
     return bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+# Fixed shape of the hourly aggregate: its keys and what is added up.
+HOURLY = f"hour timestamp, transaction_type string, tx_count bigint, total_volume {MONEY}"
+HOURLY_KEYS, HOURLY_SUMS = ["hour", "transaction_type"], ["tx_count", "total_volume"]
+
+
+def hourly_changes(spark: SparkSession, path: str, latest: DataFrame) -> DataFrame:
+    """What merging a batch of latest deliveries into silver does to the volume per hour and type.
+
+    A new id adds one transaction and its amount to its hour, however long that is past. A newer
+    delivery of a known id adds the difference of the amounts to the hour where the id is.
+    """
+    hour = F.date_trunc("hour", "timestamp")
+    one = latest.select(
+        "transaction_id", "ingestion_timestamp", hour.alias("hour"), "transaction_type", "amount")
+    change = one.withColumn("known", F.lit(False)).withColumn("before", F.lit(None).cast("decimal(18,2)"))
+    if table_exists(spark, path):
+        table = likely_rows(spark, path, latest, ["transaction_id"], schemas.SILVER)
+        known = stage(table.alias("target").join(
+            one.alias("source"), F.col("target.transaction_id") == F.col("source.transaction_id"))
+            .select("source.transaction_id", F.coalesce(newer(), F.lit(False)).alias("updates"),
+                    F.date_trunc("hour", "target.timestamp").alias("its_hour"),
+                    F.col("target.transaction_type").alias("its_type"),
+                    F.col("target.amount").alias("before")), "known-hours")
+        joined = one.join(known, "transaction_id", "left")
+        there = F.col("updates").isNotNull()
+        change = joined.filter(F.coalesce("updates", F.lit(True))).select(
+            F.when(there, F.col("its_hour")).otherwise(F.col("hour")).alias("hour"),
+            F.when(there, F.col("its_type")).otherwise(F.col("transaction_type"))
+            .alias("transaction_type"), "amount", there.alias("known"), "before")
+    amount = F.col("amount") - F.when(F.col("known"), F.coalesce("before", F.lit(0))).otherwise(0)
+    return change.groupBy(*HOURLY_KEYS).agg(
+        F.sum(F.when(F.col("known"), 0).otherwise(1)).cast("bigint").alias("tx_count"),
+        F.coalesce(F.sum(amount), F.lit(0)).cast(MONEY).alias("total_volume"))
+
+
+def merge_hourly(batch: DataFrame, number: int, silver: str, hourly: str) -> None:
+    """One micro-batch into silver and the hourly volume; repeating it changes nothing.
+
+    The batch's changes are written down before silver takes the batch: if they are there, they
+    were worked out against silver as it was, and only the merge, which is idempotent, is left.
+    """
+    spark = batch.sparkSession
+    with scratch(spark):
+        latest = stage(dedup_latest(clean.clean_transactions(batch)), "latest")
+        if not additive.counted(spark, hourly, number):
+            finish_swaps(spark, silver)
+            additive.add_batch(hourly_changes(spark, silver, latest), hourly, number)
+        upsert_transactions(spark, silver, latest)
+        additive.fold(spark, hourly, HOURLY, HOURLY_KEYS, HOURLY_SUMS)
+
+
+def hourly_sink(bronze: DataFrame, silver: str, hourly: str, checkpoint: str) -> DataStreamWriter:
+    """Silver and the volume per hour, with late rows and updates as corrections of past hours.
+
+    ``hourly_totals`` then equals the batch aggregate of silver after every trigger.
+    """
+    return bronze.writeStream.foreachBatch(
+        lambda batch, number: merge_hourly(batch, number, silver, hourly)
+    ).option("checkpointLocation", checkpoint)
+
+
+def hourly_totals(spark: SparkSession, hourly: str) -> DataFrame:
+    found = additive.totals(spark, hourly, HOURLY, HOURLY_KEYS, HOURLY_SUMS)
+    return found.withColumn("event_date", F.to_date("hour"))
+
+
+TALLY = "stat string, n bigint"
+
+
+def tally_sink(bronze: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Running tallies of the messages: each micro-batch adds its own, once."""
+    def add(batch: DataFrame, number: int) -> None:
+        additive.add_batch(profile.tally(batch), path, number)
+        additive.fold(batch.sparkSession, path, TALLY, ["stat"], ["n"])
+
+    return bronze.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+
+
+def tallies(spark: SparkSession, path: str) -> DataFrame:
+    return additive.totals(spark, path, TALLY, ["stat"], ["n"])

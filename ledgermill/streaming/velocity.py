@@ -3,7 +3,9 @@
 Built-in aggregation first reduces the stream to closed (account, second) counts. It merges
 map-side, so a hot account is one row per task and second, and it tolerates any disorder within
 the watermark. What it emits is final and only moves forward in time, so the stateful step that
-follows needs no timers: per account it keeps the counts of one window.
+follows keeps, per account, the counts of one window. An event-time timer drops them once the
+watermark has passed the last second's window: accounts that fall silent leave no state behind,
+and no count that is still to come could have used it.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ class TrailingCount(StatefulProcessor):
         self.span = span
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.recent = handle.getValueState("recent", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
@@ -53,10 +56,19 @@ class TrailingCount(StatefulProcessor):
         sums = trailing_sums(seconds, counts, self.span)
         keep = seconds >= seconds[-1] - self.span
         self.recent.update((seconds[keep].tolist(), counts[keep].tolist()))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        # Counts of the last second and earlier end in windows up to ``span`` seconds later.
+        self.handle.registerTimer(int(seconds[-1] + self.span + 1) * 1000)
         yield pd.DataFrame({
             "account_id": key[0], "second": new_seconds, "trailing_count": sums[len(known[0]):],
         })
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.recent.clear()
+        yield pd.DataFrame({"account_id": [], "second": [], "trailing_count": []}).astype(
+            {"account_id": object, "second": "int64", "trailing_count": "int64"})
+
     def close(self) -> None:
         pass
 
@@ -71,7 +83,7 @@ def trailing_counts(transactions: DataFrame, seconds: int = VELOCITY_SECONDS) ->
     )
     return per_second.groupBy("account_id").transformWithStateInPandas(
         statefulProcessor=TrailingCount(seconds), outputStructType=OUTPUT, outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
 
 

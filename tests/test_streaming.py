@@ -187,6 +187,103 @@ def test_running_tallies(spark, folder, bronze):
     assert rows(spark.table("tallies")) == rows(profile.tally(bronze))
 
 
+def silver_of(spark, folder):
+    bronze = transport.bronze_project(spark.read.parquet(folder), F.col("timestamp"))
+    return dedup.dedup_latest(clean.clean_transactions(bronze))
+
+
+def hourly_rows(df):
+    return rows(df.withColumn("total_volume", F.col("total_volume").cast("decimal(28,2)")))
+
+
+def test_hourly_corrections_reach_closed_hours(spark, disorder, monkeypatch):
+    """Early events come hours behind, in every trigger, and every trigger's totals are silver's."""
+    monkeypatch.setattr(flows.additive, "FOLD", 1)
+    silver, hourly, checkpoint = (new_path(spark, n) for n in ("silver", "hourly", "checkpoint"))
+    for _ in range(2):
+        flows.run_available(spark, flows.hourly_sink(stream(spark, disorder, 2), silver, hourly, checkpoint))
+        want = tx.hourly_volume(silver_of(spark, disorder)).drop("granularity")
+        assert hourly_rows(flows.hourly_totals(spark, hourly)) == hourly_rows(want)
+
+
+def changed(bronze, hours, amount):
+    """The same messages again, so many hours later and with another amount."""
+    later = F.col("ingestion_timestamp") + F.make_dt_interval(hours=F.lit(hours))
+    return bronze.withColumns({
+        "raw_payload": F.replace("raw_payload", F.lit('"amount":5'), F.lit(f'"amount":{amount}')),
+        "ingestion_timestamp": later})
+
+
+def test_repeated_batches_and_updates_of_past_hours(spark, bronze, monkeypatch):
+    silver, hourly = new_path(spark, "silver"), new_path(spark, "hourly")
+    first, again = bronze.filter("kafka_offset < 200"), changed(bronze.filter("kafka_offset < 120"), 5, 8)
+
+    def check():
+        table = spark.read.schema(schemas.SILVER).parquet(silver)
+        want = tx.hourly_volume(table).drop("granularity")
+        assert hourly_rows(flows.hourly_totals(spark, hourly)) == hourly_rows(want)
+
+    flows.merge_hourly(first, 0, silver, hourly)
+    check()
+    flows.merge_hourly(first, 0, silver, hourly)
+    check()
+    # The batch's changes are noted, then the merge fails; the batch is repeated.
+    with monkeypatch.context() as broken:
+        broken.setattr(flows, "upsert_transactions", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            flows.merge_hourly(again, 1, silver, hourly)
+    flows.merge_hourly(again, 1, silver, hourly)
+    check()
+    flows.merge_hourly(again, 1, silver, hourly)
+    flows.merge_hourly(bronze.filter("kafka_offset >= 200"), 2, silver, hourly)
+    check()
+    amounts = {float(r[0]) for r in spark.read.parquet(silver).select("amount").distinct().collect()}
+    assert amounts == {5.0, 8.0}
+
+
+def test_folding_counts_nothing_twice(spark):
+    from ledgermill.streaming import additive
+
+    path, shape = new_path(spark, "sums"), ("k string, n bigint", ["k"], ["n"])
+    for number in range(5):
+        rows_ = spark.createDataFrame([("a", 1), ("b", number), ("c", 1 if number else -4)], "k string, n bigint")
+        for _ in range(2):
+            additive.add_batch(rows_, path, number)
+        additive.fold(spark, path, *shape, most=2)
+    got = {r["k"]: r["n"] for r in additive.totals(spark, path, *shape).collect()}
+    assert got == {"a": 5, "b": 10}
+    assert additive.counted(spark, path, 1) and not additive.counted(spark, path, 5)
+
+
+def test_tallies_add_up_over_triggers(spark, folder, bronze):
+    path, checkpoint = new_path(spark, "tallies"), new_path(spark, "checkpoint")
+    for _ in range(2):
+        flows.run_available(spark, flows.tally_sink(stream(spark, folder, 3), path, checkpoint))
+    assert rows(flows.tallies(spark, path)) == rows(profile.tally(bronze))
+
+
+def test_an_idle_account_leaves_no_state(spark):
+    """One account stops; hours later its state is gone while the other's is still there."""
+    path, checkpoint = new_path(spark, "idle"), new_path(spark, "checkpoint")
+    for k in range(8):
+        event = START + dt.timedelta(minutes=20 * k)
+        accounts = ["idle", "busy"] if k < 2 else ["busy"]
+        sent = [(a.encode(), (
+            f'{{"transaction_id":"{a}{k}{n}","account_id":"{a}","customer_id":"C","transaction_type":"purchase",'
+            f'"amount":5,"currency":"USD","status":"completed","timestamp":"{event.isoformat()}"}}').encode(),
+            "t", 0, 10 * k + n, event) for a in accounts for n in range(2)]
+        spark.createDataFrame(sent, schemas.TRANSPORT).coalesce(1).write.mode("append").parquet(path)
+    out = new_path(spark, "out")
+    counts = velocity.trailing_counts(flows.cleaned(stream(spark, path)), seconds=1800)
+    flows.run_available(spark, flows.parquet_sink(counts, checkpoint), out)
+    got = {(r["account_id"], r["second"]): r["trailing_count"] for r in spark.read.parquet(out).collect()}
+    epoch = int((START - dt.datetime(1970, 1, 1)).total_seconds())
+    assert got == {("idle", epoch): 2, ("idle", epoch + 1200): 4, ("busy", epoch): 2} | {
+        ("busy", epoch + 1200 * k): 4 for k in range(1, 6)}
+    state = spark.read.format("statestore").option("stateVarName", "recent").option("operatorId", 0).load(checkpoint)
+    assert {r["key"][0] for r in state.select("key").collect()} == {"busy"}
+
+
 def test_trailing_sums():
     import numpy as np
     sums = velocity.trailing_sums(np.array([0, 5, 10, 11]), np.array([1, 2, 3, 4]), 10)
@@ -206,3 +303,20 @@ def test_keyed_json(spark):
         [("A", 1), (None, 2)], "account_id string, n int"))
     assert sorted(map(tuple, sent.collect())) == [
         ("A", '{"account_id":"A","n":1}'), ("unknown", '{"n":2}')]
+
+
+def test_messages_of_an_account_come_in_event_order(spark, bronze):
+    """A hot account takes several rounds; rows of one account never overtake each other."""
+    silver = dedup.dedup_latest(clean.clean_transactions(bronze))
+    sent = transport.ordered_json(silver.select("account_id", "transaction_id", "timestamp"))
+    out, place = [], {}
+    rounds = transport.send_in_order(sent, "key", "seq", lambda df: out.extend(
+        df.select("key", "seq", F.get_json_object("value", "$.transaction_id").alias("id")).collect()), most=30)
+    assert rounds == 4 and len(out) == 300
+    wanted = {}
+    for r in sorted(silver.collect(), key=lambda r: (r["timestamp"], r["transaction_id"])):
+        wanted.setdefault(r["account_id"], []).append(r["transaction_id"])
+    for r in out:
+        place.setdefault(r["key"], []).append((r["seq"], r["id"]))
+    assert {k: [i for _, i in v] for k, v in place.items()} == wanted
+    assert all([n for n, _ in v] == list(range(1, len(v) + 1)) for v in place.values())
