@@ -3,8 +3,9 @@
 Data files carry Parquet's own Bloom filters on the key, which literal keys of a small batch probe,
 so row groups that can't hold one are not read. For larger batches a table of filters, one for each
 part of a file that a task read, lies in the table's folder under a name that readers pass over:
-the batch's key hashes meet it in tasks and only files with a hit are read. Files without a filter
-are always read, so the filters save work and never decide.
+the batch's key hashes meet it in tasks and only files with a hit are read. The first such merge
+after files came in adds their filters, so the keys of a file are read once. Files without a
+filter are always read: the filters save work and never decide.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from ledgermill.operators.tables import (
 
 #: Keys that are probed as literals, and keys that meet the filter table, at most.
 LITERALS, HASHES = 200, 100_000
+#: A table is at least so many times as large as a batch that meets its filters.
+RATIO = 10
 #: Bits of a filter for each key and probes for each: some 3 in 10 million misses pass.
 BITS, PROBES = 32, 16
 #: Files of the filter table from which it is rewritten, without the filters of files that are gone.
@@ -172,14 +175,21 @@ def narrowed(table: DataFrame, path: str, batch: DataFrame, keys: Sequence[str])
     """``table`` with no more than the rows in files, or row groups, that may hold a batch's key.
 
     ``batch`` is a stored table of distinct keys. Up to ``LITERALS`` of them are literals in the
-    scan's filter (run what follows inside ``pushed_literals``), up to ``HASHES`` meet the filter
-    table; with more, nearly every file holds one, and the table stays as it is.
+    scan's filter (run what follows inside ``pushed_literals``). Up to ``HASHES`` meet the filter
+    table, which first gets the filters of new files. With more, or where the table is not much
+    larger than the batch, nearly every file holds one, and the table stays as it is.
     """
     count = batch.count()
-    if count > HASHES:
+    if count <= LITERALS:
+        some = [r[0] for r in batch.select(keys[0]).collect() if r[0] is not None]
+        return table.filter(F.col(keys[0]).isin(some) if some else F.lit(False))
+    if count > HASHES or _bytes(table) < RATIO * _bytes(batch):
         return table
-    if count > LITERALS:
-        hashes = batch.select(key_hash(keys).alias("h")).toArrow().column("h").to_numpy()
-        return table.filter(F.col("_metadata.file_path").isin(files_with(path, table, hashes)))
-    some = [r[0] for r in batch.select(keys[0]).collect() if r[0] is not None]
-    return table.filter(F.col(keys[0]).isin(some) if some else F.lit(False))
+    add_filters(table, path, keys)
+    hashes = batch.select(key_hash(keys).alias("h")).toArrow().column("h").to_numpy()
+    return table.filter(F.col("_metadata.file_path").isin(files_with(path, table, hashes)))
+
+
+def _bytes(stored: DataFrame) -> int:
+    """Size of a stored table's files, from the listing; no job runs."""
+    return int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgermill import schemas
 from ledgermill.operators.keyfilters import (
-    LITERALS, add_filters, narrowed, pushed_literals, write_options,
+    LITERALS, narrowed, pushed_literals, write_options,
 )
 from ledgermill.operators.tables import (
     append, data_files, finish_swaps, read_table, rewrite_table, table_exists,
@@ -135,9 +135,8 @@ def upsert_table(
 
     if not table_exists(spark, path):
         append(even(batch), path, partition_by, options)
-        table = read_table(spark, path, batch.schema)
-        add_filters(table, path, keys)
-        return {"insert": table.count(), "update": 0, "duplicate": 0}
+        return {
+            "insert": read_table(spark, path, batch.schema).count(), "update": 0, "duplicate": 0}
     finish_swaps(spark, path)
     table = read_table(spark, path, schema)
     with scratch(spark):
@@ -147,7 +146,7 @@ def upsert_table(
             known = stage(known_keys(likely, batch, keys, condition), "known")
         decided = stage(decisions(batch, known, keys), "decided")
         counts = _counts(decided)
-        new = old = None
+        new = None
         if counts["insert"]:
             new = _inserted(table, decided.filter("_action = 'insert'"), insert_values)
         if counts["update"]:
@@ -155,12 +154,10 @@ def upsert_table(
             # No more names than the table has files, which the driver lists anyway.
             files = [row[0] for row in changed.select("_file").distinct().collect()]
             affected = table.filter(F.col("_metadata.file_path").isin(files))
-            old = _updated(affected, changed.drop("_action", "_file"), keys, update_set)
-            rewrite_table(old, path, data_files(affected), partition_by, even, options, more=new)
+            changed = _updated(affected, changed.drop("_action", "_file"), keys, update_set)
+            rewrite_table(changed, path, data_files(affected), partition_by, even, options, more=new)
         elif new is not None:
             rewrite_table(new, path, [], partition_by, even, options)
-        if counts["insert"] or counts["update"]:
-            add_filters(read_table(spark, path, table.schema), path, keys)
         return counts
 
 

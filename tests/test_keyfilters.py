@@ -87,6 +87,7 @@ def test_larger_batches_read_only_files_with_a_hit(spark, silver, tmp_path, monk
     spread(spark, silver, path)
     table = tables.read_table(spark, path, schemas.SILVER)
     monkeypatch.setattr(keyfilters, "LITERALS", 2)
+    monkeypatch.setattr(keyfilters, "RATIO", 0)
     absent = stage(silver([f"TXN{k:03d}z" for k in range(500)]).select("transaction_id"), "batch")
     assert keyfilters.narrowed(table, path, absent, ["transaction_id"]).count() == 0
     home = {r["transaction_id"]: r["f"] for r in table.select("transaction_id", F.col("_metadata.file_path").alias("f")).collect()}
@@ -94,10 +95,17 @@ def test_larger_batches_read_only_files_with_a_hit(spark, silver, tmp_path, monk
     chosen = stage(silver([i for i, f in home.items() if f == one]).select("transaction_id"), "batch")
     found = keyfilters.narrowed(table, path, chosen, ["transaction_id"])
     assert tables.data_files(found) == [one]
-    # A file without a filter is always read.
+    # New files get their filters first; one without any would always be read.
     tables.append(silver([20_000]), path, "event_date")
     table = tables.read_table(spark, path, schemas.SILVER)
+    assert tables.data_files(keyfilters.narrowed(table, path, chosen, ["transaction_id"])) == [one]
+    monkeypatch.setattr(keyfilters, "add_filters", lambda *_: None)
+    tables.append(silver([30_000]), path, "event_date")
+    table = tables.read_table(spark, path, schemas.SILVER)
     assert len(tables.data_files(keyfilters.narrowed(table, path, chosen, ["transaction_id"]))) == 2
+    # A batch that is not much smaller than the table is joined with all of it.
+    monkeypatch.setattr(keyfilters, "RATIO", 10_000)
+    assert len(tables.data_files(keyfilters.narrowed(table, path, chosen, ["transaction_id"]))) == 8
 
 
 @pytest.mark.parametrize("limits", [(200, 100_000), (0, 100_000), (0, 0)])
@@ -105,6 +113,7 @@ def test_every_way_gives_the_same_table(spark, silver, tmp_path, monkeypatch, li
     path = str(tmp_path / "silver")
     monkeypatch.setattr(keyfilters, "LITERALS", limits[0])
     monkeypatch.setattr(keyfilters, "HASHES", limits[1])
+    monkeypatch.setattr(keyfilters, "RATIO", 0)
     upsert.upsert_transactions(spark, path, silver(range(0, 60)))
     upsert.upsert_transactions(spark, path, silver(range(40, 80), ingestion_hour=20, status="pending"))
     counts = upsert.upsert_transactions(spark, path, silver(range(70, 100), status="failed"))
@@ -131,6 +140,8 @@ def test_an_interrupted_swap_is_finished_by_the_next_merge(spark, silver, tmp_pa
 def test_filters_of_files_that_are_gone_go(spark, silver, tmp_path, monkeypatch):
     path = str(tmp_path / "silver")
     monkeypatch.setattr(keyfilters, "FILTER_FILES", 2)
+    monkeypatch.setattr(keyfilters, "LITERALS", 0)
+    monkeypatch.setattr(keyfilters, "RATIO", 0)
     for k in range(5):
         upsert.upsert_transactions(spark, path, silver([1, k + 50], ingestion_hour=10 + k))
     filters = keyfilters.stored_filters(spark, path)
