@@ -25,7 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import arrow, fresh
+from ledgermill.llm import files
+from ledgermill.llm.common import arrow, fresh, shared_copy
 
 #: Words and pieces that a worker keeps, some 80 MB of them.
 CACHE = 200_000
@@ -58,8 +59,7 @@ class Encoder:
     """Encodes as the vocabulary file's normaliser, splitter and merges say."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = json.loads(files.content(path))
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -192,6 +192,7 @@ def mapped(docs: DataFrame, carry: list[str], schema: str,
     """``carry`` and the columns of ``schema``, which ``row`` makes of each encoded text."""
     text = fresh(docs, "text_")
     kept = docs.select(*carry, F.col("text").cast("string").alias(text))
+    vocabulary = shared_copy(docs.sparkSession, vocabulary)
     made = docs.sparkSession.createDataFrame([], schema).schema
     out = docs.select(*carry).schema
     for field in made:
@@ -223,7 +224,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and SHA-256 of the ids and of the text decoded from them."""
+    """``doc_id``, ``n_tokens`` and SHA-256 of the ids and of the text decoded from them.
+
+    Null and empty texts have no tokens and the digests of nothing. A very long text is encoded
+    whole, word by word. Rows are independent: repeated and null ids come out as they came in,
+    other columns are not read, an empty table gives an empty one.
+    """
 
     def row(found: tuple[bytes, bytes, int]) -> tuple:
         ids, decoded, n = found

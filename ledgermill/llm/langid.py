@@ -8,15 +8,19 @@ the language whose prototype has the largest cosine with it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm import files
 from ledgermill.llm.common import arrow, fresh
+from ledgermill.workspace import new_path
 
 DIMENSIONS, GRAM, SEED = 1024, 3, 20
 UNKNOWN = "und"
@@ -24,8 +28,8 @@ UNKNOWN = "und"
 _CHUNK, _TEXTS = 200_000, 128
 #: n-gram vectors a worker keeps, one kilobyte each.
 _KEPT = 1 << 15
-#: Prototypes travel to every task, so there may be only so many; more is an error.
-MAX_LANGUAGES = 1000
+#: Prototypes that a worker compares, and keeps, at a time; more are read block by block.
+BLOCK = 1000
 
 
 @lru_cache(maxsize=1)
@@ -124,9 +128,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages, sorted, and their prototypes, from all rows with a language, id and text
-    that aren't held out. Tasks add up their own texts; only sums are shuffled and collected."""
+def learn(docs: DataFrame) -> str:
+    """Where the languages' prototypes are: a table of (lang, v), one line for each language of the
+    rows that have a language, id and text and aren't held out. Tasks add up their own texts; only
+    sums are shuffled, and nothing is collected."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                        & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
 
@@ -152,28 +157,69 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
              .groupBy("lang", "k").agg(F.sum("x").alias("x"))
              .groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))),
                                               lambda s: s["x"]).alias("v")))
-    found = sorted((r["lang"], r["v"]) for r in total.limit(MAX_LANGUAGES + 1).collect())
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
-    vectors = np.array([v for _, v in found], np.float64).reshape(-1, DIMENSIONS)
-    lengths = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
-    return [x for x, _ in found], vectors / lengths
+    path = new_path(docs.sparkSession, "prototypes")
+    total.write.parquet(path)
+    return path
+
+
+def _read_blocks(path: str, block: int) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Languages and unit prototypes, up to ``block`` at a time."""
+    fs, folder = files.resolve(path)
+    table = pads.dataset(folder, filesystem=fs, format="parquet")
+    names: list[str] = []
+    lines: list[np.ndarray] = []
+    for batch in table.to_batches(batch_size=block, batch_readahead=1, fragment_readahead=1, use_threads=False):
+        for at in range(0, batch.num_rows, block):
+            part = batch.slice(at, block)
+            if names and len(names) + part.num_rows > block:
+                yield names, np.concatenate(lines)
+                names, lines = [], []
+            if part.num_rows:
+                names += part.column("lang").to_pylist()
+                v = part.column("v").flatten().to_numpy().astype(np.float64).reshape(-1, DIMENSIONS)
+                lines.append(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1))
+    if names:
+        yield names, np.concatenate(lines)
+
+
+@lru_cache(maxsize=2)
+def _first_blocks(path: str, block: int) -> tuple[list, bool]:
+    """The first block, if any, and whether it is the only one."""
+    found = list(itertools.islice(_read_blocks(path, block), 2))
+    return found[:1], len(found) < 2
+
 
+def _blocks(path: str, block: int) -> Iterable[tuple[list[str], np.ndarray]]:
+    """All blocks; a worker keeps a single one, several are read anew."""
+    first, only = _first_blocks(path, block)
+    return first if only else _read_blocks(path, block)
 
-def predictor(langs: list[str], prototypes: np.ndarray):
+
+def predictor(path: str, block: int = BLOCK):
     """A function from a column of texts to (language, cosine) lists."""
 
     def predict(texts: pa.Array) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        if not langs:
-            return names, scores
         items = ((k, g) for k, x in enumerate(texts) if len(g := grams(x.as_py() or "")))
-        for places, found in _chunks(items):
-            vectors = bundle(list(range(len(places))), found, len(places))
-            lengths = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
-            cosine = vectors @ prototypes.T / lengths
-            for place, best, row in zip(places, cosine.argmax(axis=1), cosine):
-                names[place], scores[place] = langs[best], float(min(1.0, max(0.0, row[best])))
+        places: list[int] = []
+        lines: list[np.ndarray] = []
+        for chunk, found in _chunks(items):
+            vectors = bundle(list(range(len(chunk))), found, len(chunk))
+            places += chunk
+            lines.append(vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1))
+        if not places:
+            return names, scores
+        vectors, best = np.concatenate(lines), [None] * len(places)
+        for langs, prototypes in _blocks(path, block):
+            order = sorted(range(len(langs)), key=langs.__getitem__)
+            cosine = (vectors @ prototypes.T)[:, order]
+            for k, at in enumerate(cosine.argmax(axis=1)):
+                new = (-float(cosine[k, at]), langs[order[at]])
+                if best[k] is None or new < best[k]:
+                    best[k] = new
+        for place, found in zip(places, best):
+            if found is not None:
+                names[place], scores[place] = found[1], min(1.0, max(0.0, -found[0]))
         return names, scores
 
     return predict
@@ -187,7 +233,7 @@ def identify(docs: DataFrame) -> DataFrame:
     come out as often as they came in and null ids as null; an empty table gives an empty one;
     other columns are not read.
     """
-    predict = predictor(*learn(docs))
+    predict = predictor(learn(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,9 +253,11 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """``docs`` without texts whose language is ``und`` or whose cosine isn't above ``least``.
 
     Texts of letters that no learned language uses end at zero or below; a single short word of a
-    language is above. Columns and their order stay.
+    language is above. Columns and their order stay. Null and empty texts have no letter and go;
+    null ids, and repeated rows as often as they came, stay or go by their texts; an empty table
+    gives an empty one.
     """
-    predict = predictor(*learn(docs))
+    predict = predictor(learn(docs))
     text = fresh(docs, "text_")
     columns = docs.columns
 

@@ -121,6 +121,9 @@ def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: a row for every whole repeat and one for the part at a
     source's cut, its text up to the last word taken. Columns and their order stay.
 
+    Null and empty texts, and those without a word, give nothing and go. A null source is a source;
+    null ids and repeated rows are rows like any other. An empty table gives an empty one.
+
     A row's number of repeats follows from its key and its source's cut, so texts are not shuffled:
     they meet one line per source, and the rows at a cut, which the sizes alone tell apart.
     """

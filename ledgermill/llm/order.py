@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm import files
-from ledgermill.llm.common import arrow
+from ledgermill.llm.common import arrow, shared_copy
 from ledgermill.workspace import new_path, remove, stage
 
 LENGTH, PER_SHARD, KEY = 256, 8192, 0x5EED
@@ -46,8 +46,8 @@ def default_vocabulary() -> str:
 def _coder(path: str) -> tuple[tiktoken.Encoding, int]:
     import public_tokenizers
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    lines = files.content(path).splitlines()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     coder = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                               special_tokens={})
     return coder, max(ranks.values()) + 1
@@ -91,10 +91,17 @@ def permute(numbers: np.ndarray, n: int, key: int = KEY, inverse: bool = False)
     return out.astype(np.int64)
 
 
+def token_bytes(vocabulary: str) -> int:
+    """Bytes of a token in a record: two while the end token, the largest, fits."""
+    return 2 if _coder(vocabulary)[1] < 1 << 16 else 4
+
+
 def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id``, ``part``, ``n_tokens`` and ``tokens`` (16-bit little-endian, filled up with the
-    end token) of every sequence. Null text is an empty one: only its end token."""
-    path = vocabulary or default_vocabulary()
+    """``doc_id``, ``part``, ``n_tokens`` and ``tokens`` (little-endian, two or four bytes each by
+    the vocabulary's size, filled up with the end token) of every sequence. Null text is an empty
+    one: only its end token."""
+    path = shared_copy(docs.sparkSession, vocabulary or default_vocabulary())
+    width = token_bytes(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +112,13 @@ def sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = No
                 found = coder.encode_to_numpy(text.as_py() or "", disallowed_special=())
                 n = len(found) + 1
                 whole = -(-n // length)
-                line = np.full(whole * length, end, "<u2")
+                line = np.full(whole * length, end, f"<u{width}")
                 line[: n - 1] = found
                 line = line.tobytes()
                 ids += [k] * whole
                 part += range(whole)
                 count += [length] * (whole - 1) + [n - length * (whole - 1)]
-                tokens += [line[a:a + 2 * length] for a in range(0, len(line), 2 * length)]
+                tokens += [line[a:a + width * length] for a in range(0, len(line), width * length)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(ids, pa.int64())), pa.array(part, pa.int64()),
                  pa.array(count, pa.int64()), pa.array(tokens, pa.binary())],
@@ -153,7 +160,8 @@ def materialise(docs: DataFrame, folder: str, length: int = LENGTH, per_shard: i
     before they are exchanged.
     """
     rows, n, held_at = numbered(sequences(docs, length, vocabulary))
-    stride = 2 * length
+    width = token_bytes(vocabulary or default_vocabulary())
+    stride = width * length
     span = per_shard * SPAN
     schema = pa.schema([("group", pa.int64()), ("offsets", pa.binary()), ("lines", pa.binary()),
                         ("size", pa.int64())])
@@ -226,7 +234,7 @@ def materialise(docs: DataFrame, folder: str, length: int = LENGTH, per_shard: i
     if wrote.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] != n * stride:
         raise RuntimeError("shards are incomplete")
     files.put(f"{folder}/manifest.json", json.dumps(
-        {"sequences": n, "length": length, "per_shard": per_shard, "key": key, "bytes_per_token": 2}).encode())
+        {"sequences": n, "length": length, "per_shard": per_shard, "key": key, "bytes_per_token": width}).encode())
     remove(docs.sparkSession, held_at)  # the shards hold all of it now
     return placed
 
@@ -246,7 +254,7 @@ def read_from(folder: str, slot: int, count: int) -> list[np.ndarray]:
         n = min(per_shard - at, stop - slot)
         with files.open_random(shard_name(folder, shard)) as file:
             data = file.read_at(n * stride, at * stride)
-        out += list(np.frombuffer(data, "<u2").reshape(n, -1))
+        out += list(np.frombuffer(data, f"<u{spec['bytes_per_token']}").reshape(n, -1))
         slot += n
     return out
 
@@ -279,6 +287,8 @@ def training_order(docs: DataFrame, length: int = LENGTH, per_shard: int = PER_S
     sequence with ``doc_id``, ``part`` (its number in the document), ``n_tokens`` (end token
     included, filling not), ``slot``, ``shard``, ``byte_offset`` and ``record_crc32``.
 
+    Slots follow from the number of a sequence, and numbers from the input's partitions: the same
+    files under the same split settings give the same order, other splits another one.
     Null and empty texts give one sequence with only the end token. Null and repeated ids are rows
     like any other. An empty table gives no shards and no rows; other columns are not read.
     """

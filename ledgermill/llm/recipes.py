@@ -106,7 +106,11 @@ def duplicates(docs: DataFrame, carry: list[str] | None = None, hashed=digest) -
 
 
 def keep_last(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``duplicates`` drops; columns and their order stay."""
+    """``docs`` without the rows that ``duplicates`` drops; columns and their order stay.
+
+    Null text counts as empty, so of null and empty texts together one row stays. Of repeated rows
+    and of rows with the same or no id one stays, too. An empty table gives an empty one.
+    """
     rows, anchor = anchored(docs)
     found = duplicates(rows.select("doc_id", "text", *anchor), ["doc_id", *anchor])
     dropped = stage(found.filter(~F.col("kept")).select(*anchor), "dropped")

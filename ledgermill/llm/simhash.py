@@ -242,7 +242,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each group: the smallest doc_id, nulls last, then file order."""
+    """``docs`` with one document of each group: the smallest doc_id, nulls last, then file order.
+
+    Texts without words, null and empty ones included, share fingerprint zero and are one group
+    with whatever links to it. Of repeated rows one stays. Columns and their order stay; an empty
+    table gives an empty one.
+    """
     rows, anchor = anchored(docs)
     marked, ids = _grouped(rows, ["doc_id", *anchor], words, radius)
     key = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", *anchor)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import gzip
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -27,8 +28,10 @@ from ledgermill.llm.common import anchored, arrow
 from ledgermill.workspace import new_path, stage
 
 LINES, LEAST_PAYLOAD = 1000, 100
-#: Bytes after which a task starts another archive, and of archive that one reading task takes.
-ARCHIVE, READ = 1 << 30, 4 << 20
+#: Bytes after which a task starts another archive, and of records that one reading task takes.
+ARCHIVE, READ = 1 << 30, 8 << 20
+#: Reading tasks at most; bytes of neighbouring records, gaps of so many included, in one request.
+TASKS, REQUEST, GAP = 100_000, 4 << 20, 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 NO_ID = -(1 << 63)
 _URL = re.compile(r"(?:([a-z][a-z0-9+.-]*)://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)", re.I | re.S)
@@ -109,6 +112,9 @@ def revisits(rows: DataFrame, anchor: list[str]) -> DataFrame:
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages into archives in ``folder``; (key, id, file, offset, length), one per record.
 
+    Pages meet the revisits by their place in the input: while these are few they are broadcast;
+    beyond the session's limit all payloads are shuffled once.
+
     Every attempt of a task writes archives of its own name and only a finished attempt's rows
     come out, so what a lost executor left behind is never read.
     """
@@ -267,23 +273,51 @@ def lookup(queries: DataFrame, folder: str, parts: list[dict]) -> DataFrame:
 _PAGE_SQL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
+def requests(places: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Of ascending (offset, length) in one file, the runs to read at once: (first, last, end).
+
+    A run goes on while the gap is small and the whole stays below ``REQUEST``; a larger record is
+    read alone.
+    """
+    first = 0
+    for k in range(1, len(places) + 1):
+        end = places[k - 1][0] + places[k - 1][1]
+        if k == len(places) or places[k][0] - end > GAP or places[k][0] + places[k][1] - places[first][0] > REQUEST:
+            yield first, k, end
+            first = k
+
+
 def read(captures: DataFrame, folder: str) -> DataFrame:
-    """The records at (file, offset, length), archive by archive in file order."""
+    """The records at (file, offset, length), archive by archive in file order.
+
+    The number of tasks follows from the records' bytes, not from the few bytes of the places, and
+    is stated, so adaptive execution doesn't merge them. Neighbours are read in one request.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, file = None, None
         for batch in batches:
-            made = []
-            for where, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
-                if where != name:
-                    name, file = where, files.open_random(f"{folder}/{where}")
-                made.append(parse(zlib.decompress(file.read_at(length, offset), wbits=31)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([m[f.name] for m in made], f.type) for f in _PAGE], schema=_PAGE)
-
-    span = F.floor(F.col("offset") / READ)
-    return (captures.select("file", "offset", "length").repartition("file", span)
-            .sortWithinPartitions("file", "offset").transform(arrow, run, _PAGE_SQL))
+            names = batch.column(0).to_pylist()
+            places = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            cuts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+            for begin, stop in itertools.pairwise(cuts):
+                if begin == stop:
+                    continue
+                if names[begin] != name:
+                    name, file = names[begin], files.open_random(f"{folder}/{names[begin]}")
+                for first, last, end in requests(own := places[begin:stop]):
+                    start = own[first][0]
+                    data = memoryview(file.read_at(end - start, start))
+                    made = [parse(zlib.decompress(data[a - start:a - start + n], wbits=31)) for a, n in own[first:last]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([m[f.name] for m in made], f.type) for f in _PAGE], schema=_PAGE)
+
+    found = stage(captures.select("file", "offset", "length"), "to-read")
+    size = found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, min(TASKS, -(-size // READ)))
+    span = F.floor(F.col("offset") / REQUEST)
+    return (found.repartition(tasks, "file", span).sortWithinPartitions("file", "offset")
+            .transform(arrow, run, _PAGE_SQL))
 
 
 _PAGE = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),

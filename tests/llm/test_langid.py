@@ -65,3 +65,57 @@ def test_many_grams_go_beyond_what_is_kept(monkeypatch):
     for _ in range(2):
         assert np.array_equal(vectors.of(grams), [vectors.bind(int(g)) for g in grams])
     assert len(vectors.at) == 10
+
+
+def plain(rows):
+    """(language, cosine) of each text by sums over its n-grams, one after another."""
+    def vector(text):
+        return sum((langid._Vectors.bind(int(g)).astype(float) for g in langid.grams(text or "")),
+                   np.zeros(langid.DIMENSIONS))
+
+    made = {}
+    for i, text, lang in rows:
+        if i is not None and text is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            v = vector(text)
+            if v.any() or len(langid.grams(text)):
+                made[lang] = made.get(lang, 0) + v
+    out = []
+    for i, text, _ in rows:
+        v = vector(text)
+        if not len(langid.grams(text or "")) or not made:
+            out.append((i, "und", 0.0))
+            continue
+        cosine = {x: float(v @ p) / max(1, np.linalg.norm(v)) / max(1, np.linalg.norm(p)) for x, p in made.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        out.append((i, best, min(1.0, max(0.0, cosine[best]))))
+    return out
+
+
+def same(got, want):
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[2], 6))
+    got, want = sorted(got, key=key), sorted(want, key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want], atol=1e-9)
+
+
+def test_same_as_brute_force(spark, docs):
+    df = docs.filter("length(text) < 2000 OR text IS NULL")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in df.collect()]
+    same([(r["doc_id"], r["lang_pred"], r["score"]) for r in langid.identify(df).collect()], plain(rows))
+
+
+def test_more_languages_than_a_block(spark):
+    """1001 languages; and the same predictions in blocks of any size."""
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(1001)]
+    rows = [(k, f"{w} {w}", f"l{k:04d}") for k, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify(df).collect()
+    learned = [r for r in found if not r["held_out"]]
+    assert len(found) == 1001
+    assert np.mean([r["lang_pred"] == f"l{r['doc_id']:04d}" for r in learned]) > 0.99
+    path = langid.learn(df)
+    import pyarrow as pa
+    texts = pa.array([r[1] for r in rows[:60]] + ["", None])
+    (some, low), (every, high) = (langid.predictor(path, block)(texts) for block in (7, 5000))
+    assert some == every and np.allclose(low, high, atol=1e-12)

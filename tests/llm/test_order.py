@@ -57,3 +57,25 @@ def test_rows_of_the_query(docs, none, clashing):
     assert all(r["shard"] == r["slot"] // 1000 and r["byte_offset"] == r["slot"] % 1000 * 32 for r in rows)
     assert order.training_order(none).count() == 0
     assert order.training_order(clashing, 16, 1000).count() == len(rows)
+
+
+def test_a_vocabulary_of_more_than_16_bits(spark, tmp_path):
+    """70,000 tokens: records take four bytes a token, and say so."""
+    import base64
+
+    ranks = [bytes([b]) for b in range(256)]
+    ranks += [bytes([a, b]) for a in range(256) for b in range(256)]
+    ranks += [b"aaa" + bytes([97 + k % 26, 97 + k // 26 % 26, 97 + k // 676]) for k in range(70_000 - len(ranks))]
+    path = tmp_path / "large.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(x) + b" %d\n" % k for k, x in enumerate(ranks)))
+    folder = new_path(spark, "order-test")
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "zz zz")], "doc_id long, text string")
+    placed = order.materialise(docs, folder, length=8, per_shard=2, vocabulary=str(path))
+    assert order.manifest(folder)["bytes_per_token"] == 4
+    records = order.read_from(folder, 0, 10)
+    coder, end = order._coder(str(path))
+    assert end == 70_000
+    want = {r["slot"]: r["doc_id"] for r in placed.collect()}
+    text = {1: "some text", 2: "", 3: "zz zz"}
+    for slot, doc in want.items():
+        assert records[slot].tolist() == ([*coder.encode_ordinary(text[doc])] + [end] * 8)[:8]

@@ -70,3 +70,41 @@ def test_defined_cases(spark, docs, clashing, none):
     assert resample.resample(none, labels).count() == 0
     assert resample.resample(docs, labels.limit(0)).filter("kept").count() == docs.count()
     assert resample.resample(docs, labels, share=0.0).filter("kept").count() == 0
+
+
+def test_same_rows_as_brute_force(spark, docs):
+    """Weights, keys and what is kept, from counts of buckets in plain Python."""
+    import math
+    import zlib
+    from collections import Counter
+
+    import xxhash
+
+    df = docs.filter("length(text) < 2000 OR text IS NULL")
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    quality = {i: int(zlib.crc32(str(i).encode()) % 3 > 0) for i, _ in rows if i is not None and i % 2 == 0}
+    labels = spark.createDataFrame([(i, q, 0) for i, q in quality.items()], "doc_id long, quality int, toxic int")
+    raw, good = Counter(), Counter()
+    for i, text in rows:
+        found = resample.features(text).tolist()
+        raw.update(found)
+        if quality.get(i):
+            good.update(found)
+    every = [sum(c.values()) + resample.BUCKETS for c in (raw, good)]
+    ratio = {b: math.log((good[b] + 1) / every[1]) - math.log((raw[b] + 1) / every[0]) for b in raw}
+    want = []
+    for i, text in rows:
+        weight = sum(ratio[b] for b in resample.features(text).tolist())
+        u = ((xxhash.xxh64_intdigest(f"{resample.SEED}|{i}|{text or ''}".encode()) >> 11) + 0.5) / (1 << 53)
+        want.append((i, weight, weight - math.log(-math.log(u))))
+    keep = int(sum(quality.values()) / len(quality) * len(rows) + 0.5)
+    order = lambda r: (-r[2], r[0] is None, r[0] or 0)
+    want.sort(key=order)
+    got = sorted(((r["doc_id"], r["log_weight"], r["gumbel_key"], r["kept"])
+                  for r in resample.resample(df, labels).collect()), key=order)
+    assert [r[0] for r in got] == [r[0] for r in want]
+    assert all(abs(a - b) < 1e-6 for g, w in zip(got, want) for a, b in zip(g[1:3], w[1:]))
+    # Rows that are equal in id and text may stand for each other at the cut.
+    assert sum(r[3] for r in got) == keep
+    last = want[keep - 1][2]
+    assert all(r[3] == (r[2] > last) for r in got if abs(r[2] - last) > 1e-6)

@@ -90,3 +90,23 @@ def test_empty_and_clashing(spark, pages):
     assert warc.archive(spark.createDataFrame([], PAGES)).count() == 0
     more = pages.select("*", *(F.lit(1).alias(c) for c in ("payload", "digest", "revisit", "anchor_file", "key", "id")))
     assert bag(warc.archive(more)) == bag(warc.archive(pages))
+
+
+def test_reading_tasks_follow_the_archives_bytes(spark, pages, monkeypatch):
+    """As many rows, larger records: more tasks; and neighbours come in one request."""
+    folder = new_path(spark, "warc-test")
+    captures = warc.write(pages, folder)
+    size = captures.selectExpr("sum(length)").first()[0]
+    for part in (size, -(-size // 7)):
+        monkeypatch.setattr(warc, "READ", part)
+        found = warc.read(captures, folder)
+        assert found.rdd.getNumPartitions() == -(-size // part)
+        assert found.count() == len(rows())
+
+
+def test_requests_take_neighbours_together(monkeypatch):
+    monkeypatch.setattr(warc, "REQUEST", 100)
+    monkeypatch.setattr(warc, "GAP", 10)
+    places = [(0, 30), (30, 30), (70, 30), (100, 30), (200, 500), (700, 5), (720, 5)]
+    assert list(warc.requests(places)) == [(0, 3, 100), (3, 4, 130), (4, 5, 700), (5, 6, 705), (6, 7, 725)]
+    assert list(warc.requests([])) == []
