@@ -983,6 +983,16 @@ def oracle_sql() -> dict[str, str]:
         "WHERE epoch_ms(hour + INTERVAL 1 HOUR) <= watermark".replace(
             "SELECT * EXCLUDE (granularity)",
             "SELECT hour, transaction_type, tx_count, total_volume, event_date"), WATERMARK)
+    sql["gold_customers_incremental"] = sql["gold_customers"]
+    sql["weekly_quantiles"] = ledger(f"""
+      SELECT CAST(date_trunc('week', event_date) AS DATE) AS week, transaction_type,
+        count(*) AS tx_count, {money('sum(amount)')} AS total_volume,
+        quantile_disc(amount, 0.5) AS p50_amount, quantile_disc(amount, 0.95) AS p95_amount,
+        quantile_disc(amount, 0.99) AS p99_amount
+      FROM silver GROUP BY 1, 2""")
+    sql["monthly_merchants"] = ledger("""
+      SELECT CAST(date_trunc('month', event_date) AS DATE) AS month, merchant_category,
+        count(DISTINCT merchant) AS unique_merchants FROM silver GROUP BY 1, 2""")
     sql["stream_hourly_corrected"] = ledger(
         "SELECT hour, transaction_type, tx_count, total_volume, event_date "
         f"FROM ({by_hour('silver')})")

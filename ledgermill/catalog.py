@@ -15,7 +15,7 @@ from ledgermill import schemas
 from ledgermill.functions import measures, scoring, times
 from ledgermill.operators import clean, dedup, quality, tables, trailing, upsert
 from ledgermill.plans import customers as cust
-from ledgermill.plans import lookups, profile, reports, risk, star
+from ledgermill.plans import lookups, profile, reports, risk, rollups, star
 from ledgermill.plans import transactions as tx
 from ledgermill.sources import ledger, scans, synth, transport
 from ledgermill.streaming import flows, velocity
@@ -608,6 +608,43 @@ named("rpt_dq_dashboard", lambda t: reports.dq_dashboard(t.dq_metrics, PROCESS_D
 # --- gold, star schema, generated input -----------------------------------------------------
 
 named("gold_customers", lambda t: cust.gold_customers(t.silver, t.customers, PROCESS_DATE))
+
+
+@query
+def gold_customers_incremental(t: Tables) -> DataFrame:
+    """The same snapshot from daily states, which follow silver as it grows."""
+    states, accounts = new_path(t.spark, "customer-days"), new_path(t.spark, "customer-accounts")
+    grown = new_path(t.spark, "growing")
+    early = F.col("event_date") < times.day(MERGE_DAY)
+    for part in (t.silver.filter(early), t.silver.filter(~early)):
+        tables.append(part, grown, "event_date")
+        silver = t.spark.read.schema(t.silver.schema).parquet(grown)
+        rollups.refresh(silver, states, rollups.customer_days)
+        rollups.refresh(silver, accounts, rollups.customer_day_accounts)
+    return rollups.gold_customers_from_days(t.spark, states, accounts, t.customers, PROCESS_DATE)
+
+
+@query
+def weekly_quantiles(t: Tables) -> DataFrame:
+    """Amount quantiles per week and type, merged from stored daily sketches."""
+    path = new_path(t.spark, "amount-days")
+    rollups.refresh(t.silver, path, rollups.amount_days)
+    states = rollups.read_states(t.spark, path, rollups.AMOUNT_DAYS)
+    week = F.trunc("event_date", "week").alias("week")
+    return rollups.amounts_over(states, [week, "transaction_type"])
+
+
+@query
+def monthly_merchants(t: Tables) -> DataFrame:
+    """Distinct merchants per month and category, from stored daily bitmaps."""
+    path, ids = new_path(t.spark, "merchant-days"), new_path(t.spark, "merchant-ids")
+    known = rollups.add_merchant_ids(t.silver, ids)
+    rollups.refresh(t.silver, path, lambda days: rollups.merchant_days(days, known))
+    states = rollups.read_states(t.spark, path, rollups.MERCHANT_DAYS)
+    month = F.trunc("event_date", "month").alias("month")
+    return rollups.merchants_over(states, [month, "merchant_category"])
+
+
 named("gold_transactions", lambda t: tx.gold_transactions(t.silver, PROCESS_DATE))
 named("gold_risk", lambda t: risk.gold_risk(t.silver, PROCESS_DATE))
 named("dim_date_intent", lambda t: star.dim_date(t.silver))

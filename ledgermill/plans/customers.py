@@ -101,6 +101,11 @@ def gold_customers(
     core = stage(
         customer_core_agg(recent_activity(silver, process_date), process_date), "customer-core"
     )
+    return snapshot(core, customers, process_date)
+
+
+def snapshot(core: DataFrame, customers: DataFrame, process_date: str | dt.date) -> DataFrame:
+    """Scores, tier and attributes beside the (staged) customer aggregate of a day."""
     scored = with_tier(rfm_scores(rfm_from_core(core, process_date)))
     return (
         with_customer(scored, customers)
