@@ -653,6 +653,14 @@ def oracle_sql() -> dict[str, str]:
 
     # projections and filters
     sql["parse_payload"] = ledger("SELECT * FROM parsed")
+    sql["payload_drift"] = ledger("""
+      SELECT ingestion_date, field, kind, count(*) AS row_count FROM (
+        SELECT ingestion_date, unnest([
+          {'field': 'payment_method', 'kind': 'STRING', 'there': payment_method IS NOT NULL},
+          {'field': 'device_fingerprint', 'kind': 'STRING', 'there': device_fingerprint IS NOT NULL},
+          {'field': 'ip_country', 'kind': 'STRING', 'there': ip_country IS NOT NULL},
+          {'field': '_is_late_arrival', 'kind': 'BOOLEAN', 'there': true}], recursive := true)
+        FROM sent WHERE NOT corrupt) WHERE there GROUP BY ALL""")
     sql["split_valid"] = ledger(f"SELECT * FROM parsed WHERE NOT ({LACKING})")
     sql["split_quarantine"] = ledger(rejected)
     normal = ("trim(transaction_id) AS transaction_id, trim(customer_id) AS customer_id, "

@@ -9,11 +9,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgermill import schemas
 from ledgermill.functions import measures, scoring, times
-from ledgermill.operators import clean, dedup, quality, tables, trailing, upsert
+from ledgermill.operators import clean, dedup, drift, quality, tables, trailing, upsert
 from ledgermill.plans import customers as cust
 from ledgermill.plans import lookups, profile, reports, risk, rollups, star
 from ledgermill.plans import transactions as tx
@@ -260,7 +260,8 @@ def stored_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     """First arrivals of the early days as stored table, last arrivals of all days as batch."""
     early = t.staging.filter(F.col("event_date") < times.day(MERGE_DAY))
     arrival = [F.asc(c) for c in ("ingestion_timestamp", "kafka_partition", "kafka_offset")]
-    return dedup.keep_first(early, ["transaction_id"], arrival), dedup.dedup_latest(t.staging)
+    return (dedup.keep_first(early, ["transaction_id"], arrival),
+            stage(dedup.dedup_latest(t.staging), "batch"))
 
 
 UPSERT_COLUMNS = ["transaction_id", "status", "amount", "ingestion_timestamp",
@@ -379,6 +380,15 @@ named("clean_transactions", lambda t: t.cleaned)
 named("quarantine_reasons_intent",
       lambda t: clean.decision_tree(stage(t.parsed, "parsed")).select(
           *POSITION, "transaction_id", "quarantine_reason"))
+
+
+@query
+def payload_drift(t: Tables) -> DataFrame:
+    """What a reader of the first payload version doesn't know, per day of arrival."""
+    first = [f.name for f in T.StructType.fromDDL(schemas.PAYLOAD_V1)]
+    return drift.drift_report(t.bronze, first)
+
+
 named("filter_not_failed", lambda t: scans.not_failed(t.silver).select("transaction_id", "status"))
 named("filter_open_status",
       lambda t: scans.open_status(t.silver).select("transaction_id", "status"))
@@ -443,9 +453,8 @@ named("hourly_volume", lambda t: tx.hourly_volume(t.silver))
 named("daily_by_payment", lambda t: tx.daily_by_payment(t.silver))
 named("currency_volume", lambda t: tx.currency_volume(t.silver))
 named("percentiles", lambda t: tx.quantiles(t.silver, ["transaction_type", "currency"]))
-named("benchmark_agg", lambda t: lookups.spend_naive(
-    scans.scan_lookback(t.silver, PROCESS_DATE, scans.TRANSACTION_LOOKBACK), t.customers,
-    t.accounts, lookups.TYPE_KEYS))
+named("benchmark_agg", lambda t: lookups.spend_by_account_type(
+    t.silver, t.customers, t.accounts, PROCESS_DATE))
 named("stream_profile", lambda t: profile.tally(t.bronze))
 
 # --- window functions -----------------------------------------------------------------------

@@ -57,11 +57,8 @@ def _update_or_duplicate(condition: Column | None) -> Column:
 
 
 def _action(condition: Column | None) -> Column:
-    return (
-        F.when(F.col("_in_target").isNull(), "insert")
-        .when(F.col("_in_source").isNull(), "untouched")
-        .otherwise(_update_or_duplicate(condition))
-    )
+    return F.when(F.col("_in_source").isNull(), "untouched").otherwise(
+        _update_or_duplicate(condition))
 
 
 def upsert(
@@ -74,24 +71,29 @@ def upsert(
 ) -> DataFrame:
     """The merged table as one frame, with what happened to each row in ``_action``.
 
+    The batch is joined to the target, and the batch keys that the target lacks are added: no join
+    needs the target on its outer side twice, so a small batch is broadcast and the target is not
+    shuffled. The batch is read three times; stage it where computing it is dear.
+
     A ``duplicate`` is a batch row whose key is known and that doesn't update; an ``untouched`` row
     has no batch row. Expressions name the two sides ``source`` and ``target``. Source keys must be unique.
     """
-    inserted = insert_values or _as_they_came(target_rows, source_rows)
-    merged = (
-        _marked(target_rows, "target")
-        .join(_marked(source_rows, "source"), _match(keys), "full_outer")
-        .withColumn("_action", _action(condition))
-    )
+    columns = target_rows.schema.fields
+    joined = _marked(target_rows, "target").join(
+        _marked(source_rows, "source"), _match(keys), "left").withColumn("_action", _action(condition))
 
     def value(name: str, kind) -> Column:
-        chosen = F.when(F.col("_action") == "insert", inserted.get(name, F.lit(None)))
-        if name in update_set:
-            chosen = chosen.when(F.col("_action") == "update", update_set[name])
-        return chosen.otherwise(target(name)).cast(kind).alias(name)
-
-    columns = [value(f.name, f.dataType) for f in target_rows.schema.fields]
-    return merged.select(*columns, "_action")
+        if name not in update_set:
+            return target(name)
+        return F.when(F.col("_action") == "update", update_set[name]).otherwise(
+            target(name)).cast(kind).alias(name)
+
+    stored = joined.select(*(value(f.name, f.dataType) for f in columns), "_action")
+    known = source_rows.alias("source").join(target_rows.alias("target"), _match(keys)).select(
+        *(source(k) for k in keys))
+    new = source_rows.join(known, list(keys), "left_anti")
+    inserted = _inserted(target_rows, new, insert_values).withColumn("_action", F.lit("insert"))
+    return stored.unionByName(inserted)
 
 
 def upsert_latest(target_rows: DataFrame, source_rows: DataFrame) -> DataFrame:

@@ -272,3 +272,12 @@ def test_z_order_of_nulls_few_values_and_nothing(spark, tmp_path):
     out = tables.clustered(rows, ["a", "b"])
     assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
     assert tables.clustered(rows.limit(0), ["a", "b"]).count() == 0
+
+
+def test_a_merged_frame_does_not_shuffle_the_target(spark, silver, tmp_path):
+    path = str(tmp_path / "silver")
+    tables.append(silver(*[transaction(i) for i in range(50)]), path, "event_date")
+    table = spark.read.schema(schemas.SILVER).parquet(path)
+    batch = stage(silver(transaction(1, status="failed"), transaction(60)), "batch")
+    plan = upsert.upsert_latest(table, batch)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
