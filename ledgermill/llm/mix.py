@@ -1,8 +1,10 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Every document gets a hash-random key. Within a source documents lie in key order; the order is
-cut into ranges by the key's first hex digits, so a hot source is many tasks' work. Prefix sums of
-the ranges' token counts and of the tokens inside a range give each document its place on the
+cut into ranges by the key's first hex digits, so a hot source is many tasks' work. Rows that are
+equal in id and text share a key: those of one input task are one line of a range, so however
+often a row is repeated a range has a line for each task at most. Prefix sums of the ranges' token
+counts, of the lines inside a range and of the rows of a line give each document its place on the
 source's line of tokens, and the line is cut at the source's budget, after as many whole passes
 over the source as fit.
 """
@@ -66,8 +68,10 @@ def _placed(docs: DataFrame, carry: list[str], seed: int) -> DataFrame:
     the source, and ``part``, the words taken of the row beyond these."""
     rows = stage(docs.select(
         *carry, F.col("doc_id").alias("id"), F.col("source").cast("string").alias("source"),
-        tokens(F.col("text").cast("string")).alias("size"), key(seed).alias("key")), "sized")
-    rows = rows.withColumn("range", F.substring("key", 1, DIGITS))
+        tokens(F.col("text").cast("string")).alias("size"), key(seed).alias("key"),
+        F.monotonically_increasing_id().alias("uid")), "sized")
+    rows = rows.withColumn("range", F.substring("key", 1, DIGITS)).withColumn(
+        "task", F.shiftrightunsigned("uid", 33))
     ranges = stage(rows.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")
     wanted = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")))
     budget = F.floor(F.col("target") + 0.5)
@@ -83,15 +87,23 @@ def _placed(docs: DataFrame, carry: list[str], seed: int) -> DataFrame:
                     F.col("range").alias("c_range"), "start", "source_size", "target", "passes",
                     (F.col("budget") - F.col("passes") * F.col("source_size")).alias("rest")))
     cuts = stage(cuts, "cuts")
-    place = Window.partitionBy("source", "range").orderBy("key", "size", "id").rowsBetween(
+    lines = rows.groupBy("source", "range", "key", "task").agg(
+        F.max("size").alias("each"), F.count("*").alias("n"))
+    place = Window.partitionBy("source", "range").orderBy("key", "task").rowsBetween(
         Window.unboundedPreceding, -1)
-    placed = (rows.withColumn("inside", F.coalesce(F.sum("size").over(place), F.lit(0)))
-              .withColumn("none", F.col("source").isNull())
-              .withColumn("source", F.coalesce("source", F.lit(""))))
-    joined = placed.join(cuts, (placed.source == cuts.c_source) & (placed.none == cuts.c_null)
-                         & (placed.range == cuts.c_range))
-    part = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("start") - F.col("inside")))
-    return joined.select(
+    lines = (lines.withColumn("inside", F.coalesce(F.sum(F.col("each") * F.col("n")).over(place), F.lit(0)))
+             .withColumn("none", F.col("source").isNull())
+             .withColumn("source", F.coalesce("source", F.lit(""))))
+    lines = stage(lines.join(cuts, (lines.source == cuts.c_source) & (lines.none == cuts.c_null)
+                             & (lines.range == cuts.c_range)).select(
+        "source", "none", "key", "task", "source_size", "target", "passes",
+        (F.col("rest") - F.col("start") - F.col("inside")).alias("left")), "lines")
+    same = ["source", "none", "key", "task"]
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("uid")) - 1
+    known = rows.withColumn("none", F.col("source").isNull()).withColumn(
+        "source", F.coalesce("source", F.lit(""))).withColumn("nth", nth)
+    part = F.greatest(F.lit(0), F.least("size", F.col("left") - F.col("nth") * F.col("size")))
+    return known.join(lines, same).select(
         *carry, F.when(~F.col("none"), F.col("source")).alias("source"), "key", "size", "source_size",
         "target", "passes", part.cast("long").alias("part"))
 
@@ -102,8 +114,8 @@ def mix(docs: DataFrame, carry: list[str] | None = None, seed: int = SEED) -> Da
 
     A source gives its target, rounded, to the word: all its words as often as they fit, then the
     documents first in key order, the last of them in part. Null and empty texts have size 0 and
-    give nothing, a null source is a source. Rows with equal keys come by size and id; rows that
-    are equal in these are interchangeable. An empty table gives an empty one, other columns are
+    give nothing, a null source is a source. Rows with equal keys are equal in id and text, hence
+    interchangeable; they come in input order. An empty table gives an empty one, other columns are
     not read, and reruns agree.
     """
     carry = carry or ["doc_id"]

@@ -86,3 +86,12 @@ def test_first_words(spark):
 def test_no_python_on_the_main_path(docs):
     plan = mix.mix(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_repeated_row_is_no_long_group(spark):
+    """A third of all rows are one row without an id: a range has a line per task, not per row."""
+    rows = [(None, "same words again", "a")] * 600 + [(k, "w " * (k % 9), "ab"[k % 2]) for k in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    check(df)
+    taken = [r["taken"] for r in mix.mix(df).filter("doc_id IS NULL").collect()]
+    assert len(taken) == 600 and sum(1 for t in taken if t % 3) <= 1
