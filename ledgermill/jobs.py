@@ -50,6 +50,9 @@ def parser() -> argparse.ArgumentParser:
     }.items():
         job = jobs.add_parser(name, help=text)
         job.add_argument("--process-date", default=today)
+        if name in ("gold", "day"):
+            job.add_argument("--from-states", action="store_true",
+                             help="customers from daily states instead of the ledger")
         if name in ("check", "day"):
             job.add_argument("--as-of", help="moment of checking; now, or the end of a past day")
             job.add_argument("--threshold", action="append", default=[], metavar="CHECK=RATE",
@@ -94,10 +97,11 @@ def run(spark: SparkSession, arguments: list[str]) -> int:
                 spark, lake, options.process_date, options.as_of, dict(options.threshold))
             return 0 if passed else 1
         elif options.job == "gold":
-            daily.gold_day(spark, lake, options.process_date)
+            daily.gold_day(spark, lake, options.process_date, options.from_states)
         elif options.job == "day":
             result = daily.run_day(
-                spark, lake, options.process_date, options.as_of, dict(options.threshold))
+                spark, lake, options.process_date, options.as_of, dict(options.threshold),
+                options.from_states)
             print(json.dumps(result))
             return 0 if result["gate_passed"] else 1
         elif options.job == "gate":

@@ -12,7 +12,7 @@ from ledgermill import schemas
 from ledgermill.functions import times
 from ledgermill.operators import clean, dedup, quality, tables, upsert
 from ledgermill.plans import customers as customer_plans
-from ledgermill.plans import risk, transactions
+from ledgermill.plans import risk, rollups, transactions
 from ledgermill.sources.scans import scan_day, scan_lookback
 from ledgermill.workspace import new_path, scratch, stage
 
@@ -46,6 +46,9 @@ class Lake:
     def dq_metrics(self) -> str:
         return self.path("silver", "dq_metrics")
 
+    def states(self, table: str) -> str:
+        return self.path("states", table)
+
     def gold(self, table: str) -> str:
         return self.path("gold", table)
 
@@ -114,13 +117,33 @@ def bronze_is_fresh(spark: SparkSession, lake: Lake, as_of: str | None = None) -
     return quality.bronze_freshness(bronze, as_of).first()["is_fresh"]
 
 
-def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
-    """Replace the day's snapshots of all gold tables; one that comes out empty goes."""
+def customers_from_states(
+    spark: SparkSession, lake: Lake, customers: DataFrame, day: str | dt.date
+) -> DataFrame:
+    """The customer snapshot from daily states, brought up to date with silver first."""
+    for table, build in (("customer_days", rollups.customer_days),
+                         ("customer_day_accounts", rollups.customer_day_accounts)):
+        rollups.refresh(_silver(spark, lake), lake.states(table), build)
+    return rollups.gold_customers_from_days(
+        spark, lake.states("customer_days"), lake.states("customer_day_accounts"), customers, day)
+
+
+def gold_day(
+    spark: SparkSession, lake: Lake, day: str | dt.date, from_states: bool = False
+) -> None:
+    """Replace the day's snapshots of all gold tables; one that comes out empty goes.
+
+    ``from_states`` takes the customers from daily states, of which a day changes few, instead of
+    91 days of the ledger; quantiles of customers with over 200 transactions are then within 1.7 %
+    of their rank.
+    """
     silver = _silver(spark, lake)
     customers = spark.read.schema(schemas.CUSTOMERS).parquet(lake.customers)
+    of_customers = (customers_from_states(spark, lake, customers, day) if from_states
+                    else customer_plans.gold_customers(silver, customers, day))
     snapshots = {
         "customer_analytics": (
-            customer_plans.gold_customers(silver, customers, day), ["customer_id", "segment"]),
+            of_customers, ["customer_id", "segment"]),
         "transaction_analytics": (
             transactions.gold_transactions_union(silver, day), ["event_date", "transaction_type"]),
         "risk_metrics": (risk.gold_risk(silver, day), ["currency"]),
@@ -136,12 +159,12 @@ def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
 
 def run_day(
     spark: SparkSession, lake: Lake, day: str | dt.date, as_of: str | None = None,
-    thresholds: Mapping[str, float] | None = None,
+    thresholds: Mapping[str, float] | None = None, from_states: bool = False,
 ) -> dict:
     """Silver, quality, and gold unless the gate is shut; leaves no working tables behind."""
     with scratch(spark):
         counts = refine_day(spark, lake, day)
         passed = check_day(spark, lake, day, as_of, thresholds)
         if passed:
-            gold_day(spark, lake, day)
+            gold_day(spark, lake, day, from_states)
     return {**counts, "gate_passed": passed}

@@ -111,3 +111,11 @@ def test_products_have_the_entity_schema(spark):
     wanted = spark.createDataFrame([], schemas.PRODUCTS)
     assert dict(products.dtypes) == dict(wanted.dtypes)
     assert star.dim_product(products).count() == products.count() > 0
+
+
+def test_gold_from_states_equals_gold_from_the_ledger(spark, lake):
+    run_day(spark, lake, DAY, as_of=f"{DAY} 23:59:59", thresholds=LENIENT)
+    plain = contents(spark, lake.gold("customer_analytics"), "processed_at")
+    for _ in range(2):
+        run_day(spark, lake, DAY, as_of=f"{DAY} 23:59:59", thresholds=LENIENT, from_states=True)
+        assert contents(spark, lake.gold("customer_analytics"), "processed_at") == plain
