@@ -151,11 +151,15 @@ def swap_files(spark: SparkSession, path: str, copy: str, old: Iterable[str]) ->
 
 
 def finish_swaps(spark: SparkSession, path: str) -> None:
-    """Finish the swaps that were noted in a table's folder and not completed."""
+    """Finish the swaps that were noted in a table's folder and not completed; copies that were
+    never noted go. A table has one writer at a time."""
     jpath, fs = hadoop_path(spark, path)
     if fs.exists(jpath):
-        for entry in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(jpath, "_swap-*.json")):
+        path_of = spark._jvm.org.apache.hadoop.fs.Path
+        for entry in fs.globStatus(path_of(jpath, "_swap-*.json")):
             _finish(spark, path, entry.getPath().toString())
+        for entry in fs.globStatus(path_of(jpath, "_copy-*")):
+            fs.delete(entry.getPath(), True)
 
 
 def _finish(spark: SparkSession, path: str, note: str) -> None:

@@ -135,6 +135,7 @@ def test_an_interrupted_swap_is_finished_by_the_next_merge(spark, silver, tmp_pa
     assert upsert.upsert_transactions(spark, path, batch) == {"insert": 0, "update": 0, "duplicate": 20}
     table = spark.read.schema(schemas.SILVER).parquet(path)
     assert table.count() == 30 and table.filter("status = 'failed'").count() == 20
+    assert not [p for p in (tmp_path / "silver").iterdir() if p.name.startswith(("_copy", "_swap"))]
 
 
 def test_filters_of_files_that_are_gone_go(spark, silver, tmp_path, monkeypatch):
