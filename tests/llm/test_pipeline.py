@@ -24,7 +24,7 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_a_query_for_every_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{k}" for k in range(1, 14)), "pipeline"]
 
 
 def test_stages_apply_the_operators(spark, docs):
