@@ -991,7 +991,7 @@ def oracle_sql() -> dict[str, str]:
         "WHERE epoch_ms(hour + INTERVAL 1 HOUR) <= watermark".replace(
             "SELECT * EXCLUDE (granularity)",
             "SELECT hour, transaction_type, tx_count, total_volume, event_date"), WATERMARK)
-    sql["gold_customers_incremental"] = sql["gold_customers"]
+    sql["gold_customers_incremental"] = sql["gold_customers_bucketed"] = sql["gold_customers"]
     sql["weekly_quantiles"] = ledger(f"""
       SELECT CAST(date_trunc('week', event_date) AS DATE) AS week, transaction_type,
         count(*) AS tx_count, {money('sum(amount)')} AS total_volume,

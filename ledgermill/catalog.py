@@ -29,6 +29,8 @@ AS_OF = "2024-01-31 00:00:00"
 MERGE_DAY = "2024-01-16"
 UNTOUCHED_BEFORE = "2024-01-05"
 DAY_SECONDS = 86_400
+# Buckets of customers in the bucketed snapshot.
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -619,18 +621,28 @@ named("rpt_dq_dashboard", lambda t: reports.dq_dashboard(t.dq_metrics, PROCESS_D
 named("gold_customers", lambda t: cust.gold_customers(t.silver, t.customers, PROCESS_DATE))
 
 
-@query
-def gold_customers_incremental(t: Tables) -> DataFrame:
-    """The same snapshot from daily states, which follow silver as it grows."""
+def _customers_from_growing_silver(t: Tables, buckets: int | None = None) -> DataFrame:
     states, accounts = new_path(t.spark, "customer-days"), new_path(t.spark, "customer-accounts")
     grown = new_path(t.spark, "growing")
     early = F.col("event_date") < times.day(MERGE_DAY)
     for part in (t.silver.filter(early), t.silver.filter(~early)):
         tables.append(part, grown, "event_date")
         silver = t.spark.read.schema(t.silver.schema).parquet(grown)
-        rollups.refresh(silver, states, rollups.customer_days)
-        rollups.refresh(silver, accounts, rollups.customer_day_accounts)
-    return rollups.gold_customers_from_days(t.spark, states, accounts, t.customers, PROCESS_DATE)
+        rollups.refresh_customers(silver, states, accounts, buckets)
+    return rollups.gold_customers_from_days(
+        t.spark, states, accounts, t.customers, PROCESS_DATE, buckets)
+
+
+@query
+def gold_customers_incremental(t: Tables) -> DataFrame:
+    """The same snapshot from daily states, which follow silver as it grows."""
+    return _customers_from_growing_silver(t)
+
+
+@query
+def gold_customers_bucketed(t: Tables) -> DataFrame:
+    """The same from daily states in buckets of customers."""
+    return _customers_from_growing_silver(t, BUCKETS)
 
 
 @query

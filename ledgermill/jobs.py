@@ -53,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
         if name in ("gold", "day"):
             job.add_argument("--from-states", action="store_true",
                              help="customers from daily states instead of the ledger")
+            job.add_argument("--buckets", type=int,
+                             help="keep daily states in so many buckets of customers")
         if name in ("check", "day"):
             job.add_argument("--as-of", help="moment of checking; now, or the end of a past day")
             job.add_argument("--threshold", action="append", default=[], metavar="CHECK=RATE",
@@ -97,11 +99,12 @@ def run(spark: SparkSession, arguments: list[str]) -> int:
                 spark, lake, options.process_date, options.as_of, dict(options.threshold))
             return 0 if passed else 1
         elif options.job == "gold":
-            daily.gold_day(spark, lake, options.process_date, options.from_states)
+            daily.gold_day(spark, lake, options.process_date, options.from_states,
+                           options.buckets)
         elif options.job == "day":
             result = daily.run_day(
                 spark, lake, options.process_date, options.as_of, dict(options.threshold),
-                options.from_states)
+                options.from_states, options.buckets)
             print(json.dumps(result))
             return 0 if result["gate_passed"] else 1
         elif options.job == "gate":

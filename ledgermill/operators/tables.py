@@ -103,22 +103,27 @@ def append_quarantine(rejected: DataFrame, path: str) -> None:
 
 
 def replace_partition(
-    df: DataFrame, path: str, partition_by: str, values: Sequence | None = None
+    df: DataFrame, path: str, partition_by: str, values: Sequence | None = None,
+    write: Callable[[], None] | None = None,
 ) -> None:
     """Replace the partitions that occur in ``df``; running it twice changes nothing.
 
     ``values`` names the partitions that ``df`` is the whole new content of: one of them that has
-    no rows in ``df`` is removed, so that nothing stale stays.
+    no rows in ``df`` is removed, so that nothing stale stays. ``write`` is another way to write
+    ``df`` over its partitions.
     """
     spark = df.sparkSession
     folders = [f"{path}/{partition_folder(spark, partition_by, v)}" for v in values or ()]
     before = {folder: _files(spark, folder) for folder in folders}
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    if write:
+        write()
+    else:
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_by)
+            .parquet(path)
+        )
     for folder, names in before.items():
         if names and _files(spark, folder) == names:  # a written partition has files of its own
             remove(spark, folder)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgermill.functions.measures import mean_from, rows, total
 from ledgermill.functions.times import day
+from ledgermill.operators.buckets import Buckets, read_buckets, replace_buckets
 from ledgermill.operators.sequence import numbered
 from ledgermill.operators.tables import append, replace_partition, table_exists
 from ledgermill.plans.customers import snapshot
@@ -37,12 +38,16 @@ def source_marks(silver: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.sort_array(F.collect_list("file")), "|"), 256).alias("source"))
 
 
-def refresh(silver: DataFrame, path: str, build: Build) -> list[dt.date]:
+def refresh(
+    silver: DataFrame, path: str, build: Build, schema: T.StructType | str | None = None,
+    buckets: Buckets | None = None,
+) -> list[dt.date]:
     """Bring a table of daily states up to date with silver; the days that were worked out again.
 
     ``silver`` is a stored table partitioned by day and ``build`` maps rows of some days to their
     states. Days whose files changed are replaced, days that are gone go, the rest is not read.
-    What the states were made from is noted last: after an interruption days are redone.
+    What the states were made from is noted last: after an interruption days are redone. With
+    ``buckets`` the table, of the given schema, is bucketed.
     """
     spark = silver.sparkSession
     noted = f"{path}/{SOURCES}"
@@ -53,12 +58,19 @@ def refresh(silver: DataFrame, path: str, build: Build) -> list[dt.date]:
     days = sorted(r[0] for r in changed.select("event_date").collect())  # as many as silver has days
     if days:
         states = build(silver.filter(F.col("event_date").isin(days)))
-        replace_partition(states.hint("rebalance", "event_date"), path, "event_date", days)
+        if buckets:
+            replace_buckets(states, path, schema, "event_date", buckets, days)
+        else:
+            replace_partition(states.hint("rebalance", "event_date"), path, "event_date", days)
         now.coalesce(1).write.mode("overwrite").parquet(noted)
     return days
 
 
-def read_states(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_states(
+    spark: SparkSession, path: str, schema: T.StructType | str, buckets: Buckets | None = None
+) -> DataFrame:
+    if buckets:
+        return read_buckets(spark, path, schema, "event_date", buckets)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -78,6 +90,18 @@ CUSTOMER_DAYS = (
 CUSTOMER_DAY_ACCOUNTS = "event_date date, customer_id string, account_id string"
 
 
+def by_customer(count: int | None) -> tuple[Buckets | None, Buckets | None]:
+    """Buckets of the customers' days and of their days' accounts; None for plain tables.
+
+    A customer has one row a day in the first. In the second a customer may have any number, so
+    the account is part of the bucket: distinct accounts need no exchange, and what is summed per
+    customer after that is one number for each bucket.
+    """
+    if not count:
+        return None, None
+    return Buckets(("customer_id",), count), Buckets(("customer_id", "account_id"), count)
+
+
 def customer_days(silver: DataFrame) -> DataFrame:
     """One row per day and customer; failed transactions don't count."""
     kind = F.col("transaction_type")
@@ -94,6 +118,16 @@ def customer_day_accounts(silver: DataFrame) -> DataFrame:
     return not_failed(silver).select("event_date", "customer_id", "account_id").distinct()
 
 
+def refresh_customers(
+    silver: DataFrame, states: str, accounts: str, buckets: int | None = None
+) -> list[dt.date]:
+    """Both tables of customers' days brought up to date; the days that were worked out again."""
+    of_days, of_accounts = by_customer(buckets)
+    days = refresh(silver, states, customer_days, CUSTOMER_DAYS, of_days)
+    return sorted({*days, *refresh(
+        silver, accounts, customer_day_accounts, CUSTOMER_DAY_ACCOUNTS, of_accounts)})
+
+
 def core_from_days(
     days: DataFrame, accounts: DataFrame, process_date: str | dt.date,
     lookback: int = CUSTOMER_LOOKBACK,
@@ -121,11 +155,12 @@ def core_from_days(
 
 def gold_customers_from_days(
     spark: SparkSession, states: str, accounts: str, customers: DataFrame,
-    process_date: str | dt.date,
+    process_date: str | dt.date, buckets: int | None = None,
 ) -> DataFrame:
-    """The customer snapshot of one day from stored daily states."""
-    core = core_from_days(read_states(spark, states, CUSTOMER_DAYS),
-                          read_states(spark, accounts, CUSTOMER_DAY_ACCOUNTS), process_date)
+    """The customer snapshot of one day from stored daily states, in ``buckets`` where given."""
+    of_days, of_accounts = by_customer(buckets)
+    core = core_from_days(read_states(spark, states, CUSTOMER_DAYS, of_days),
+                          read_states(spark, accounts, CUSTOMER_DAY_ACCOUNTS, of_accounts), process_date)
     return snapshot(stage(core, "customer-core"), customers, process_date)
 
 
