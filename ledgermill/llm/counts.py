@@ -50,6 +50,8 @@ _WORDWISE = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}],
 }
 
+#: What a special string has in it where ``normal`` is to tell texts that may hold one.
+SPECIAL = "<|"
 CACHE = "digest binary, n_tokens long"
 
 
@@ -61,11 +63,12 @@ def default_tokenizer() -> str:
 
 
 def wordwise(spec: dict) -> bool:
-    """Whether a tokenizers file's counts are sums over words between ASCII blanks."""
+    """Whether a tokenizers file's counts are sums over words between ASCII blanks, and ASCII texts
+    without ``SPECIAL`` have the same count in lower case."""
     steps = {name: (spec.get(key) or {}).get(name) for key, name in (
         ("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))}
     plain = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])
-                and len(t["content"].split()) == 1 for t in spec["added_tokens"])
+                and len(t["content"].split()) == 1 and SPECIAL in t["content"] for t in spec["added_tokens"])
     return steps == _WORDWISE and plain and not spec.get("post_processor")
 
 
@@ -141,7 +144,7 @@ def normal(text: Column, by_words: bool) -> Column:
     if not by_words:
         return text
     blanks = F.trim(F.regexp_replace(text, f"{BLANK}+", " "))
-    plain = (F.octet_length(text) == F.char_length(text)) & ~F.contains(text, F.lit("<|"))
+    plain = (F.octet_length(text) == F.char_length(text)) & ~F.contains(text, F.lit(SPECIAL))
     return F.when(plain, F.lower(blanks)).otherwise(blanks)
 
 

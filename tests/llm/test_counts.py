@@ -1,5 +1,6 @@
 """Token counts against the libraries, and what the cache saves."""
 
+import json
 import shutil
 
 import public_tokenizers
@@ -94,6 +95,22 @@ def test_normalised_content_has_the_same_count(spark, texts):
         assert count(r["text"] or "") == count(r["normal"])
 
 
+def test_a_vocabulary_with_other_special_strings(spark, tmp_path):
+    """Case and blanks may matter to a special string, so texts are then told apart by them."""
+    with open(counts.default_tokenizer(), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["added_tokens"].append({**spec["added_tokens"][-1], "id": len(spec["model"]["vocab"]) + 9, "content": "[PAD]"})
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    texts = ["a [PAD] b", "a [pad] b", "[Pad]", "A  [PAD]\nb", "A b", "a b", "<|endoftext|>"]
+    count = library(path)
+    assert count("a [PAD] b") != count("a [pad] b")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in counts.token_counts(frame, path).collect()}
+    assert got == {k: count(x) for k, x in enumerate(texts)}
+
+
 def test_many_files_spans_and_copies(spark, monkeypatch):
     monkeypatch.setattr(counts, "SPAN", 7)
     path = new_path(spark, "test-files")
