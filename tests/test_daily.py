@@ -116,6 +116,6 @@ def test_products_have_the_entity_schema(spark):
 def test_gold_from_states_equals_gold_from_the_ledger(spark, lake):
     run_day(spark, lake, DAY, as_of=f"{DAY} 23:59:59", thresholds=LENIENT)
     plain = contents(spark, lake.gold("customer_analytics"), "processed_at")
-    for _ in range(2):
-        run_day(spark, lake, DAY, as_of=f"{DAY} 23:59:59", thresholds=LENIENT, from_states=True)
+    for buckets in (None, None, 3):
+        run_day(spark, lake, DAY, as_of=f"{DAY} 23:59:59", thresholds=LENIENT, from_states=True, buckets=buckets)
         assert contents(spark, lake.gold("customer_analytics"), "processed_at") == plain
