@@ -8,11 +8,12 @@ roll up from one scan.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgermill.functions.measures import mean_from, quantiles_by, rows, total
+from ledgermill.functions.measures import (
+    beside, mean_from, quantile_bounds, quantiles_by, quantiles_within, rows, total,
+)
 from ledgermill.functions.times import day
 from ledgermill.operators.clean import tag_rows, unify_versions
 from ledgermill.sources.scans import TRANSACTION_LOOKBACK, has_payment, scan_lookback
@@ -26,8 +27,9 @@ def _volume() -> list[Column]:
 
 
 def quantiles(df: DataFrame, keys: list[str], accuracy: int = 10_000) -> DataFrame:
-    """Amount quantiles per group."""
-    return quantiles_by(df, keys, [], QUANTILES, accuracy)
+    """Exact amount quantiles per group; the bounds they are looked for in are staged."""
+    bounds = stage(quantile_bounds(df, keys, QUANTILES, accuracy), "quantile-bounds")
+    return quantiles_within(df, bounds, keys, QUANTILES)
 
 
 def daily_by_type(transactions: DataFrame) -> DataFrame:
@@ -96,13 +98,6 @@ def _rolled(base: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
         *[F.sum(c).alias(c) for c in ["tx_count", *counts]])
 
 
-def _beside(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Join on keys that may be NULL."""
-    same = reduce(Column.__and__, [df[k].eqNullSafe(other[k]) for k in keys])
-    return df.join(other, same).select(
-        *[df[c] for c in df.columns], *[other[c] for c in other.columns if c not in keys])
-
-
 def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> DataFrame:
     """All four granularities in one snapshot; columns a granularity lacks are NULL.
 
@@ -114,7 +109,7 @@ def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> D
     mean = mean_from(F.col("total_volume"), F.col("tx_count"))
     type_keys = ["event_date", "transaction_type", "currency"]
     merchant_keys = ["event_date", "merchant_category"]
-    by_type = _beside(
+    by_type = beside(
         _rolled(base, type_keys, ["completed_count", "failed_count", "late_arrival_count"]),
         quantiles(recent, type_keys), type_keys,
     ).withColumns({
@@ -124,7 +119,7 @@ def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> D
     })
     merchants = recent.groupBy(*merchant_keys).agg(
         F.count_distinct("merchant").alias("unique_merchants"))
-    by_merchant = _beside(_rolled(base, merchant_keys, []), merchants, merchant_keys).withColumns(
+    by_merchant = beside(_rolled(base, merchant_keys, []), merchants, merchant_keys).withColumns(
         {"avg_amount": mean, "granularity": F.lit("daily_by_merchant")})
     hourly = _rolled(base, ["hour", "transaction_type"], []).withColumns(
         {"event_date": F.to_date("hour"), "granularity": F.lit("hourly")})

@@ -1,0 +1,90 @@
+"""Exact quantiles of large groups against sorted amounts."""
+
+import math
+from decimal import Decimal
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from ledgermill import schemas
+from ledgermill.operators import tables
+from ledgermill.plans import customers, rollups
+from ledgermill.plans import transactions as tx
+from ledgermill.workspace import new_path
+
+DAY = "2024-01-15"
+
+
+def many(spark, n=200_000):
+    """Silver rows of a day: a hot group whose amounts nearly all differ, some small ones, null keys."""
+    x = F.pmod(F.xxhash64("id"), F.lit(50_000_000))
+    kind = F.when(F.col("id") % 100 == 7, F.lit(None)).when(F.col("id") % 100 == 8, "refund").otherwise("purchase")
+    known = {
+        "transaction_id": F.col("id").cast("string"), "amount": x / 100, "transaction_type": kind,
+        "currency": F.lit("USD"), "customer_id": F.when(F.col("id") % 3 == 0, "c").otherwise("hot"),
+        "account_id": F.lit("a"), "status": F.lit("completed"), "event_date": F.lit(DAY),
+        "is_late_arrival": F.lit(False)}
+    return spark.range(0, n, 1, 7).select(*(
+        known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in T.StructType.fromDDL(schemas.SILVER).fields))
+
+
+def disc(rows, key):
+    """Nearest-rank quantiles of the amounts per key."""
+    groups = {}
+    for r in rows.select(key, "amount").collect():
+        groups.setdefault(r[0], []).append(r[1])
+    out = {}
+    for k, values in groups.items():
+        own = sorted(v for v in values if v is not None)
+        out[k] = tuple(
+            own[max(1, math.ceil(Fraction(str(q)) * len(own))) - 1] if own else None
+            for q in tx.QUANTILES.values())
+    return out
+
+
+@pytest.fixture(scope="module")
+def ledger(spark):
+    path = new_path(spark, "quantile-silver")
+    tables.append(many(spark), path, "event_date")
+    return spark.read.schema(schemas.SILVER).parquet(path)
+
+
+def by_key(df, key):
+    return {r[key]: tuple(r[n] for n in tx.QUANTILES) for r in df.collect()}
+
+
+def test_quantiles_of_large_groups_are_exact(ledger):
+    assert by_key(tx.quantiles(ledger, ["transaction_type"]), "transaction_type") == disc(ledger, "transaction_type")
+
+
+def test_daily_quantiles_are_exact_beside_the_other_measures(ledger):
+    found = tx.daily_by_type(ledger)
+    assert by_key(found, "transaction_type") == disc(ledger, "transaction_type")
+    assert {r["transaction_type"]: r["tx_count"] for r in found.collect()} == {
+        None: 2000, "refund": 2000, "purchase": 196_000}
+
+
+def test_snapshot_quantiles_are_exact(ledger):
+    union = tx.gold_transactions_union(ledger, DAY).filter("granularity = 'daily_by_type'")
+    assert by_key(union, "transaction_type") == disc(ledger, "transaction_type")
+
+
+def test_a_coarse_sketch_only_widens_the_bounds(ledger):
+    assert by_key(tx.quantiles(ledger, ["transaction_type"], 100), "transaction_type") == disc(
+        ledger, "transaction_type")
+
+
+def test_groups_of_one_value_of_few_and_of_none(spark):
+    rows = [("one", Decimal("5.00"))] * 50 + [("few", Decimal(i)) for i in (3, 1, 2)] + [("none", None)] * 3
+    rows += [("half", None), ("half", Decimal(-7))]
+    df = spark.createDataFrame(rows, "k string, amount decimal(18,2)").repartition(5)
+    assert by_key(tx.quantiles(df, ["k"]), "k") == disc(df, "k")
+    assert tx.quantiles(df.limit(0), ["k"]).count() == 0
+
+
+def test_a_hot_customers_quantile_is_exact(ledger):
+    core = customers.customer_core_agg(ledger, DAY)
+    own = {k: v[1] for k, v in disc(ledger, "customer_id").items()}
+    assert {r["customer_id"]: r["p95_transaction_value"] for r in core.collect()} == own
