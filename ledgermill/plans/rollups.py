@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgermill.functions.measures import mean_from, rows, total
+from ledgermill.functions.measures import mean_from, quantiles_of_counts, rows, total
 from ledgermill.functions.times import day
 from ledgermill.operators.buckets import Buckets, read_buckets, replace_buckets
 from ledgermill.operators.sequence import numbered
@@ -189,6 +189,24 @@ def amounts_over(states: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
         *(quantile("sketch", share).alias(name) for name, share in QUANTILES.items()))
 
 
+#: The exact form of the same states: how often an amount occurs, a row per amount.
+AMOUNT_COUNTS = (
+    "event_date date, transaction_type string, currency string, amount decimal(18,2), n bigint")
+
+
+def amount_counts(silver: DataFrame) -> DataFrame:
+    """Per day, type and currency: every amount and how often it occurs."""
+    return silver.groupBy("event_date", "transaction_type", "currency", "amount").agg(rows().alias("n"))
+
+
+def amounts_exactly(states: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Count, sum and exact quantiles of any groups of days, types and currencies, from the counts."""
+    merged = states.groupBy(*keys, "amount").agg(F.sum("n").alias("n"))
+    return quantiles_of_counts(
+        merged, [c for c in merged.columns if c not in ("amount", "n")], QUANTILES,
+        [F.sum("n").alias("tx_count"), total(F.col("amount") * F.col("n")).alias("total_volume")])
+
+
 # --- merchants ---
 
 MERCHANT_IDS = "merchant string, id bigint"

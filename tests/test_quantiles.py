@@ -7,7 +7,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from ledgermill import schemas
+from ledgermill import catalog, schemas
 from ledgermill.operators import tables
 from ledgermill.plans import customers, rollups
 from ledgermill.plans import transactions as tx
@@ -88,3 +88,23 @@ def test_a_hot_customers_quantile_is_exact(ledger):
     core = customers.customer_core_agg(ledger, DAY)
     own = {k: v[1] for k, v in disc(ledger, "customer_id").items()}
     assert {r["customer_id"]: r["p95_transaction_value"] for r in core.collect()} == own
+
+
+def test_weeks_from_daily_counts_are_exact(spark, ledger):
+    path = new_path(spark, "amount-counts")
+    assert len(rollups.refresh(ledger, path, rollups.amount_counts)) == 1
+    assert rollups.refresh(ledger, path, rollups.amount_counts) == []
+    week = F.trunc("event_date", "week").alias("week")
+    found = rollups.amounts_exactly(
+        rollups.read_states(spark, path, rollups.AMOUNT_COUNTS), [week, "transaction_type"])
+    assert by_key(found, "transaction_type") == disc(ledger, "transaction_type")
+    sums = {r[0]: (r[1], r[2]) for r in ledger.groupBy("transaction_type").agg(
+        F.count("*"), F.sum("amount")).collect()}
+    assert {r["transaction_type"]: (r["tx_count"], r["total_volume"]) for r in found.collect()} == sums
+
+
+def test_the_weekly_query_counts_amounts(spark, ledger, monkeypatch):
+    """A group larger than the sketches hold, by way of the query."""
+    monkeypatch.setattr(catalog.Tables, "silver", ledger)
+    found = catalog.weekly_quantiles(catalog.Tables(spark, "unread"))
+    assert by_key(found, "transaction_type") == disc(ledger, "transaction_type")
