@@ -8,6 +8,8 @@ roll up from one scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -98,13 +100,12 @@ def _rolled(base: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
         *[F.sum(c).alias(c) for c in ["tx_count", *counts]])
 
 
-def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> DataFrame:
-    """All four granularities in one snapshot; columns a granularity lacks are NULL.
+def granularities(recent: DataFrame) -> DataFrame:
+    """All four granularities in one frame; columns a granularity lacks are NULL.
 
-    One wide scan is summed and staged; the other two scans read what sums cannot give, quantile
-    sketches and distinct merchants, and only the columns for these.
+    One wide scan is summed and staged; the other scans read what sums cannot give, quantiles and
+    distinct merchants, and only the columns for these.
     """
-    recent = scan_lookback(silver, process_date, TRANSACTION_LOOKBACK)
     base = stage(volume_base(recent), "volume-base")
     mean = mean_from(F.col("total_volume"), F.col("tx_count"))
     type_keys = ["event_date", "transaction_type", "currency"]
@@ -125,8 +126,29 @@ def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> D
         {"event_date": F.to_date("hour"), "granularity": F.lit("hourly")})
     by_payment = _rolled(has_payment(base), ["event_date", "payment_method"], []).withColumn(
         "granularity", F.lit("daily_by_payment"))
-    parts = unify_versions(by_type, by_merchant, hourly, by_payment)
-    return tag_rows(parts, process_date=day(process_date))
+    return unify_versions(by_type, by_merchant, hourly, by_payment)
+
+
+def gold_transactions_union(silver: DataFrame, process_date: str | dt.date) -> DataFrame:
+    """All four granularities in one snapshot."""
+    recent = scan_lookback(silver, process_date, TRANSACTION_LOOKBACK)
+    return tag_rows(granularities(recent), process_date=day(process_date))
+
+
+def gold_transactions_snapshots(
+    silver: DataFrame, process_dates: Sequence[str | dt.date]
+) -> dict[str | dt.date, DataFrame]:
+    """``gold_transactions_union`` of several days, the ledger aggregated once for all of them.
+
+    Every row is of one event day (that of the timestamps), so snapshots that share a day share
+    its rows: they are staged, and a snapshot is a selection of days.
+    """
+    wanted = reduce(Column.__or__, [
+        F.col("event_date").between(F.date_sub(day(d), TRANSACTION_LOOKBACK), day(d))
+        for d in process_dates])
+    days = stage(granularities(silver.filter(wanted)), "gold-days")
+    return {d: tag_rows(scan_lookback(days, d, TRANSACTION_LOOKBACK), process_date=day(d))
+            for d in process_dates}
 
 
 def currency_volume(transactions: DataFrame) -> DataFrame:
