@@ -119,6 +119,7 @@ def upsert_table(
     insert_values: Mapping[str, Column] | None = None,
     partition_by: str | None = None,
     schema: T.StructType | str | None = None,
+    staged: bool = False,
 ) -> dict[str, int]:
     """Merge a batch into a stored table and return the rows inserted, updated and duplicate.
 
@@ -126,8 +127,9 @@ def upsert_table(
     its keys, in an inner join: Spark broadcasts a small batch to the scan, so the table's keys
     are not shuffled. New rows are new files; of the table only the files with updated rows are
     written anew. Both are put in place by one swap, which an interruption delays and doesn't
-    tear, so a repeated merge finds either none or all of it. Decisions are written down first,
-    and the rewrite and the counts see the same ones whatever is recomputed. ``schema`` is the
+    tear, so a repeated merge finds either none or all of it. The batch and what is known of its
+    keys are written down first, and the rewrite and the counts see the same decisions whatever is
+    recomputed; ``staged`` says that the batch is a stored table already. ``schema`` is the
     table's; without it the schemas of its files are merged.
     """
     options = write_options(keys[0])
@@ -142,11 +144,12 @@ def upsert_table(
     finish_swaps(spark, path)
     table = read_table(spark, path, schema)
     with scratch(spark):
-        batch = stage(batch, "batch")
+        if not staged:
+            batch = stage(batch, "batch")
         with pushed_literals(spark, LITERALS):
             likely = narrowed(table, path, batch, keys)
             known = stage(known_keys(likely, batch, keys, condition), "known")
-        decided = stage(decisions(batch, known, keys), "decided")
+        decided = decisions(batch, known, keys)
         counts = _counts(decided)
         new = None
         if counts["insert"]:
@@ -218,9 +221,11 @@ def _counts(rows: DataFrame) -> dict[str, int]:
     return {action: found.get(action, 0) for action in ("insert", "update", "duplicate")}
 
 
-def upsert_transactions(spark: SparkSession, path: str, batch: DataFrame) -> dict[str, int]:
+def upsert_transactions(
+    spark: SparkSession, path: str, batch: DataFrame, staged: bool = False
+) -> dict[str, int]:
     """``upsert_latest`` on a stored table partitioned by event day."""
     return upsert_table(
         spark, path, batch, ["transaction_id"], {c: source(c) for c in UPDATABLE}, newer(),
-        partition_by="event_date", schema=schemas.SILVER,
+        partition_by="event_date", schema=schemas.SILVER, staged=staged,
     )

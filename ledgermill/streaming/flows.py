@@ -198,7 +198,7 @@ def merge_hourly(batch: DataFrame, number: int, silver: str, hourly: str) -> Non
         if not additive.counted(spark, hourly, number):
             finish_swaps(spark, silver)
             additive.add_batch(hourly_changes(spark, silver, latest), hourly, number)
-        upsert_transactions(spark, silver, latest)
+        upsert_transactions(spark, silver, latest, staged=True)
         additive.fold(spark, hourly, HOURLY, HOURLY_KEYS, HOURLY_SUMS)
 
 
