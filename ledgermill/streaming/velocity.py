@@ -36,6 +36,14 @@ def trailing_sums(seconds: np.ndarray, counts: np.ndarray, span: int) -> np.ndar
     return running[1:] - running[first]
 
 
+def summed(seconds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending seconds, each once, with the sums of their counts."""
+    found, at = np.unique(seconds, return_inverse=True)
+    out = np.zeros(len(found), "int64")
+    np.add.at(out, at, counts)
+    return found, out
+
+
 class TrailingCount(StatefulProcessor):
     """Counts of one account; a batch brings one row per second the watermark has closed."""
 
@@ -47,27 +55,31 @@ class TrailingCount(StatefulProcessor):
         self.recent = handle.getValueState("recent", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        batch = pd.concat(list(rows))
-        batch = batch.groupby("second", sort=True)["n"].sum()
-        new_seconds, new_counts = batch.index.to_numpy("int64"), batch.to_numpy("int64")
-        known = self.recent.get() if self.recent.exists() else ([], [])
+        # Few calls to the state, as each is a round trip: one read, one write, at most two timers.
+        parts = [(b["second"].to_numpy("int64"), b["n"].to_numpy("int64")) for b in rows]
+        new_seconds, new_counts = summed(*map(np.concatenate, zip(*parts)))
+        stored = self.recent.get()
+        known = stored if stored is not None else ([], [])
         seconds = np.concatenate((np.asarray(known[0], "int64"), new_seconds))
         counts = np.concatenate((np.asarray(known[1], "int64"), new_counts))
         sums = trailing_sums(seconds, counts, self.span)
         keep = seconds >= seconds[-1] - self.span
         self.recent.update((seconds[keep].tolist(), counts[keep].tolist()))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        # Counts of the last second and earlier end in windows up to ``span`` seconds later.
-        self.handle.registerTimer(int(seconds[-1] + self.span + 1) * 1000)
+        # An account has one timer, that of the last second it has counts of.
+        if len(known[0]):
+            self.handle.deleteTimer(self.expiry(known[0][-1]))
+        self.handle.registerTimer(self.expiry(seconds[-1]))
         yield pd.DataFrame({
             "account_id": key[0], "second": new_seconds, "trailing_count": sums[len(known[0]):],
         })
 
+    def expiry(self, last_second: int) -> int:
+        """Counts of the last second and earlier end in windows up to ``span`` seconds later."""
+        return int(last_second + self.span + 1) * 1000
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.recent.clear()
-        yield pd.DataFrame({"account_id": [], "second": [], "trailing_count": []}).astype(
-            {"account_id": object, "second": "int64", "trailing_count": "int64"})
+        return iter(())
 
     def close(self) -> None:
         pass
